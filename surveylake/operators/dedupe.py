@@ -13,8 +13,7 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFram
     The best row per key is kept while aggregating before the shuffle, so each
     task sends one row per key even when one key has most of the rows.
     """
-    rest = [c for c in df.columns if c not in keys]
-    row = F.struct(*[F.col(f"`{c}`") for c in rest])
-    rank = F.struct(*[F.col(f"`{c}`") for c in order], row)
-    best = df.groupBy(*keys).agg(F.max_by(row, rank).alias("_row"))
-    return best.select(*keys, "_row.*").select(*[F.col(f"`{c}`") for c in df.columns])
+    rest = F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in keys])
+    ranked = F.struct(*[F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order)], rest.alias("row"))
+    best = df.groupBy(*keys).agg(F.max(ranked).alias("best"))
+    return best.select(*keys, "best.row.*").select(*[F.col(f"`{c}`") for c in df.columns])

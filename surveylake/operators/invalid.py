@@ -70,20 +70,25 @@ def check_domain(
     return replace_value(df, col, F.when(~bad, c), bad)
 
 
+def _typed_key(key: str, type_: str) -> Column:
+    return F.trim(F.col(key).cast("string")).try_cast(type_)
+
+
 def usable_key(keys: Sequence[str], type_: str = "bigint") -> Column:
     """True where every key column holds a value that can be read as ``type_``."""
     ok = F.lit(True)
     for k in keys:
-        ok = ok & F.trim(F.col(k).cast("string")).try_cast(type_).isNotNull()
+        ok = ok & _typed_key(k, type_).isNotNull()
     return ok
 
 
 def split_quarantine(
     df: DataFrame, keys: Sequence[str], type_: str = "bigint"
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows with a usable key, and the rest."""
+    """Rows with a usable key, the key now typed, and the rest as they came."""
     ok = usable_key(keys, type_)
-    return df.filter(ok), df.filter(~ok)
+    typed = {k: _typed_key(k, type_) for k in keys}
+    return df.filter(ok).withColumns(typed), df.filter(~ok)
 
 
 def quarantine_report(
@@ -95,8 +100,9 @@ def quarantine_report(
     before the shuffle, so a key with very many copies costs no more than another.
     """
     row = F.struct(*content)
+    key = F.struct(*[_typed_key(k, type_).alias(k) for k in keys])
     ok = usable_key(keys, type_)
-    per_key = df.groupBy(F.when(ok, F.struct(*keys)).alias("k")).agg(
+    per_key = df.groupBy(F.when(ok, key).alias("k")).agg(
         F.count("*").alias("n"), F.min(row).alias("first"), F.max(row).alias("last")
     )
     keyed = F.col("k").isNotNull()

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from surveylake.functions import list_size, split_list, tidy
 from surveylake.operators.category import map_category
+from surveylake.operators.dedupe import dedupe
 from surveylake.operators.derive import add_aux, add_band
-from surveylake.operators.invalid import check_range
+from surveylake.operators.invalid import check_range, split_quarantine
 from surveylake.operators.issues import no_issues
 from surveylake.operators.missing import null_sentinels
 from surveylake.operators.technology import explode_tech
 from surveylake.operators.typed import enforce_schema, to_date_fmt, to_decimal_br
-from surveylake.rules import SILVER_SCHEMA, TECH_CATEGORIES, SilverRules
+from surveylake.rules import RAW_COLUMNS, SILVER_SCHEMA, TECH_CATEGORIES, SilverRules
 
 _CATEGORY = ("role", "region", "state", "seniority", "work_model", "ai_use")
 
@@ -30,10 +31,10 @@ def build_silver(raw: DataFrame, rules: SilverRules = SilverRules()) -> DataFram
     # trim, then "no answer" to NULL: before types, so that a missing value is
     # not reported as an unreadable one
     df = df.withColumns({c: tidy(c) for c in _CATEGORY if c in here})
-    df = null_sentinels(df, [c for c in raw.columns if c[:1] != "_"], rules.missing_words)
+    df = null_sentinels(df, [c for c in RAW_COLUMNS[1:] if c in here], rules.missing_words)
 
     if "resp_id" in here:
-        df = df.withColumn("resp_id", F.trim("resp_id").try_cast("bigint"))
+        df = df.withColumn("resp_id", F.trim(F.col("resp_id").cast("string")).try_cast("bigint"))
     if "pay" in here:
         df = to_decimal_br(df, "pay")
         df = check_range(df, "pay", lo=0, lo_open=True)
@@ -57,6 +58,12 @@ def build_silver(raw: DataFrame, rules: SilverRules = SilverRules()) -> DataFram
     return enforce_schema(df, type(SILVER_SCHEMA)(contract))
 
 
+def latest_answers(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One raw answer per key, that of the latest batch; and the rows without a key."""
+    keyed, rejected = split_quarantine(bronze, ["resp_id"])
+    return dedupe(keyed, ["resp_id"], ["_batch_id"]), rejected
+
+
 def build_tech(silver: DataFrame) -> DataFrame:
     """One row per (answer, category, technology), distinct as it stands."""
     return explode_tech(silver)
