@@ -116,7 +116,7 @@ known AS (
 ),
 typed AS (
   SELECT TRY_CAST(resp_id AS BIGINT) AS resp_id, {_date("answered_at")} AS answered_at,
-         {_tidy("role")} AS role, {_tidy("region")} AS region, {_tidy("state")} AS state,
+         trim(role) AS role, trim(region) AS region, trim(state) AS state,
          {_seniority("seniority")} AS seniority, {_rank("seniority")} AS seniority_rank,
          CASE WHEN {_money("pay")} > 0 THEN {_money("pay")} END AS pay,
          {_model("work_model")} AS work_model, {_yes("ai_use")} AS ai_use,

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from surveylake.plans.silver import build_silver, build_tech
 from surveylake.rules import RAW_COLUMNS, TECH_CATEGORIES
@@ -26,8 +26,20 @@ _PEOPLE = {"role", "region", "state"}
 _TOOLS = {"ai_use", *TECH_CATEGORIES}
 
 
+# Columns read of the given tables; a stated schema saves a look into the files.
+_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+              "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,93 +53,71 @@ def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _tools(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct choices per order. A group is reduced to its distinct (type, brand,
-    name) before the shuffle, so an order with very many lines stays small."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", "p_name")
+    """Distinct choices per order, sorted. A group is reduced to its distinct parts
+    (by type, brand and name) before the shuffle, so an order with very many lines stays small."""
+    parts = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey", "p_type", "p_brand",
+        "split_part(p_name, ' ', 1) AS first", "split_part(p_name, ' ', 2) AS second",
+    )
     return (
-        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        table(spark, sf_dir, "lineitem")
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("l_orderkey")
-        .agg(F.collect_set(F.struct("p_type", "p_brand", "p_name")).alias("items"))
-    )
-
-
-def _chosen(of) -> Column:
-    return F.array_sort(F.array_distinct(F.transform("items", of)))
-
-
-def _joined(of) -> Column:
-    return F.coalesce(F.array_join(_chosen(of), ";"), F.lit(""))
-
-
-def _expressions() -> dict[str, Column]:
-    k = F.col("o_orderkey")
-
-    clean = (
-        F.when(F.col("o_orderpriority") == "1-URGENT", "Sênior")
-        .when(F.col("o_orderpriority") == "2-HIGH", "Pleno")
-        .when(F.col("o_orderpriority") == "3-MEDIUM", "Júnior")
-        .when(F.col("o_orderpriority") == "5-LOW", "Gestor")
-    )
-    seniority = (
-        F.when(clean.isNull() & (k % 3 == 0), "")
-        .when(clean.isNull() & (k % 3 == 1), "N/A")
-        .when(clean.isNull(), F.lit(None).cast("string"))
-        .when(k % 5 == 1, F.upper(clean))
-        .when(k % 5 == 2, F.concat(F.lit("  "), clean, F.lit(" ")))
-        .when(k % 5 == 3, F.translate(clean, "êú", "eu"))
-        .otherwise(clean)
+        .agg(F.collect_set(F.struct("p_type", "p_brand", "first", "second")).alias("parts"))
+        .selectExpr(
+            "l_orderkey",
+            "sort_array(array_distinct(parts.p_type)) AS types",
+            "sort_array(array_distinct(parts.p_brand)) AS brands",
+            "sort_array(array_distinct(parts.first)) AS firsts",
+            "sort_array(array_distinct(parts.second)) AS seconds",
+        )
     )
 
-    amount = F.translate(F.col("o_totalprice").cast("decimal(12,2)").cast("string"), ".", ",")
-    pay = (
-        F.when(k % 101 == 0, "-1,00")
-        .when(k % 29 == 0, "não informado")
-        .when(k % 11 == 0, F.concat(F.lit("R$ "), amount))
-        .otherwise(amount)
-    )
-
-    model = (
-        F.when(F.col("o_orderstatus") == "F", "Presencial")
-        .when(F.col("o_orderstatus") == "P", "Híbrido")
-        .when(F.col("o_orderstatus") == "O", "Remoto")
-    )
-    work_model = (
-        F.when(k % 37 == 0, "outro??")
-        .when(k % 4 == 1, F.lower(model))
-        .when(k % 4 == 2, F.translate(model, "í", "i"))
-        .otherwise(model)
-    )
-
-    answered_at = F.when(k % 97 == 0, "31/02/2000").otherwise(
-        F.date_format(F.col("o_orderdate").cast("date"), "dd/MM/yyyy")
-    )
-
-    yes = F.when(k % 3 == 0, "Sim").when(k % 3 == 1, "S").otherwise(" sim")
-    no = F.when(k % 3 == 0, "Não").when(k % 3 == 1, "NAO").otherwise("n")
-    promo = F.exists("items", lambda x: x["p_type"] == "PROMO")
-    ai_use = F.when(promo, yes).when(~promo, no)
 
-    types = _chosen(lambda x: x["p_type"])
-    langs = F.coalesce(
-        F.when(k % 7 == 1, F.lower(F.array_join(types, "; "))).otherwise(F.array_join(types, ";")),
-        F.lit(""),
-    )
-    return {
-        "resp_id": k.cast("string"),
-        "role": F.col("c_mktsegment"),
-        "region": F.col("r_name"),
-        "state": F.col("n_name"),
-        "seniority": seniority,
-        "pay": pay,
-        "work_model": work_model,
-        "answered_at": answered_at,
-        "ai_use": ai_use,
-        "langs": langs,
-        "bi_tools": _joined(lambda x: F.split_part(x["p_name"], F.lit(" "), F.lit(2))),
-        "databases": _joined(lambda x: F.split_part(x["p_name"], F.lit(" "), F.lit(1))),
-        "clouds": _joined(lambda x: x["p_brand"]),
-    }
+# The dirt rules: what each question holds, from the order and what is joined to it.
+_SENIORITY = """CASE o_orderpriority WHEN '1-URGENT' THEN 'Sênior' WHEN '2-HIGH' THEN 'Pleno'
+    WHEN '3-MEDIUM' THEN 'Júnior' WHEN '5-LOW' THEN 'Gestor' END"""
+_AMOUNT = "translate(CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING), '.', ',')"
+_MODEL = """CASE o_orderstatus WHEN 'F' THEN 'Presencial' WHEN 'P' THEN 'Híbrido'
+    WHEN 'O' THEN 'Remoto' END"""
+
+_QUESTIONS = {
+    "resp_id": "CAST(o_orderkey AS STRING)",
+    "role": "c_mktsegment",
+    "region": "r_name",
+    "state": "n_name",
+    "seniority": f"""CASE
+        WHEN o_orderpriority = '4-NOT SPECIFIED' THEN
+            CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'N/A' END
+        WHEN o_orderkey % 5 = 1 THEN upper({_SENIORITY})
+        WHEN o_orderkey % 5 = 2 THEN concat('  ', {_SENIORITY}, ' ')
+        WHEN o_orderkey % 5 = 3 THEN translate({_SENIORITY}, 'êú', 'eu')
+        ELSE {_SENIORITY} END""",
+    "pay": f"""CASE
+        WHEN o_orderkey % 101 = 0 THEN '-1,00'
+        WHEN o_orderkey % 29 = 0 THEN 'não informado'
+        WHEN o_orderkey % 11 = 0 THEN concat('R$ ', {_AMOUNT})
+        ELSE {_AMOUNT} END""",
+    "work_model": f"""CASE
+        WHEN o_orderkey % 37 = 0 THEN 'outro??'
+        WHEN o_orderkey % 4 = 1 THEN lower({_MODEL})
+        WHEN o_orderkey % 4 = 2 THEN translate({_MODEL}, 'í', 'i')
+        ELSE {_MODEL} END""",
+    "answered_at": """CASE
+        WHEN o_orderkey % 97 = 0 THEN '31/02/2000'
+        ELSE date_format(CAST(o_orderdate AS DATE), 'dd/MM/yyyy') END""",
+    "ai_use": """CASE
+        WHEN array_contains(types, 'PROMO') THEN
+            CASE o_orderkey % 3 WHEN 0 THEN 'Sim' WHEN 1 THEN 'S' ELSE ' sim' END
+        WHEN types IS NOT NULL THEN
+            CASE o_orderkey % 3 WHEN 0 THEN 'Não' WHEN 1 THEN 'NAO' ELSE 'n' END
+        END""",
+    "langs": """coalesce(CASE WHEN o_orderkey % 7 = 1 THEN lower(array_join(types, '; '))
+        ELSE array_join(types, ';') END, '')""",
+    "bi_tools": "coalesce(array_join(seconds, ';'), '')",
+    "databases": "coalesce(array_join(firsts, ';'), '')",
+    "clouds": "coalesce(array_join(brands, ';'), '')",
+}
 
 
 def survey_raw(
@@ -139,8 +129,7 @@ def survey_raw(
         df = df.join(_people(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
     if wanted & _TOOLS:
         df = df.join(_tools(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    made = _expressions()
-    return df.select(*[made[c].alias(c) for c in RAW_COLUMNS if c in wanted])
+    return df.selectExpr(*[f"{sql} AS {c}" for c, sql in _QUESTIONS.items() if c in wanted])
 
 
 def survey_batches(spark: SparkSession, sf_dir: str, columns: Sequence[str] = RAW_COLUMNS) -> DataFrame:
@@ -149,24 +138,16 @@ def survey_batches(spark: SparkSession, sf_dir: str, columns: Sequence[str] = RA
     Each answer gives its one to three copies by itself, so the survey is built once.
     """
     columns = list(dict.fromkeys(["resp_id", "pay", *columns]))
-    k = F.col("resp_id").try_cast("bigint")
-
-    def copy(batch: int, key: Column, pay: Column) -> Column:
-        return F.struct(F.lit(batch).alias("_batch_id"), key.alias("resp_id"), pay.alias("pay"))
-
-    same, pay = F.col("resp_id"), F.col("pay")
-    changed = F.when(k % 100 == 0, "1000,00").otherwise(pay)
-    copies = F.array(
-        copy(1, same, pay),
-        F.when(k % 50 == 0, copy(2, same, changed)),
-        F.when(k % 1000 == 7, copy(2, F.lit(""), pay)),
-    )
+    k = "CAST(resp_id AS BIGINT)"  # made from a number above
+    copies = f"""inline(array_compact(array(
+        named_struct('_batch_id', 1, 'resp_id', resp_id, 'pay', pay),
+        CASE WHEN {k} % 50 = 0 THEN named_struct('_batch_id', 2, 'resp_id', resp_id,
+            'pay', CASE WHEN {k} % 100 = 0 THEN '1000,00' ELSE pay END) END,
+        CASE WHEN {k} % 1000 = 7 THEN named_struct('_batch_id', 2, 'resp_id', '', 'pay', pay) END
+    )))"""
     rest = [c for c in RAW_COLUMNS if c in columns and c not in ("resp_id", "pay")]
-    return (
-        survey_raw(spark, sf_dir, columns)
-        .select(F.explode(F.array_compact(copies)).alias("c"), *rest)
-        .select("c.*", *rest)
-        .select("_batch_id", *[c for c in RAW_COLUMNS if c in columns])
+    return survey_raw(spark, sf_dir, columns).selectExpr(copies, *rest).select(
+        "_batch_id", *[c for c in RAW_COLUMNS if c in columns]
     )
 
 

@@ -12,10 +12,10 @@ from surveylake.rules import MULTI_SEP
 
 def split_list(c: Column | str, sep: str = MULTI_SEP) -> Column:
     """``'b; a;b'`` to ``['A', 'B']``: upper case, no repeats, sorted; empty is NULL."""
-    parts = F.split(_col(c), re.escape(sep))
-    parts = F.filter(F.transform(parts, lambda x: F.upper(F.trim(x))), lambda x: x != "")
-    parts = F.array_sort(F.array_distinct(parts))
-    return F.when(F.array_size(parts) > 0, parts)
+    # built-in array functions without a lambda, so the whole stays in generated code
+    parts = F.split(F.upper(F.trim(_col(c))), f" *{re.escape(sep)} *")
+    parts = F.sort_array(F.array_distinct(F.array_remove(parts, "")))
+    return F.nullif(parts, F.array().cast("array<string>"))
 
 
 def join_list(c: Column | str, sep: str = MULTI_SEP) -> Column:

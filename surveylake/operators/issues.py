@@ -22,7 +22,8 @@ def replace_value(df: DataFrame, col: str, value: Column, rejected: Column) -> D
 
 def convert(df: DataFrame, col: str, value: Column) -> DataFrame:
     """Set ``col`` to ``value``; a value present before and NULL after is an issue."""
-    return replace_value(df, col, value, F.col(col).isNotNull() & value.isNull())
+    # the new value comes first: it is always needed, so it is computed only once
+    return replace_value(df, col, value, value.isNull() & F.col(col).isNotNull())
 
 
 def issue_report(df: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from surveylake.functions import list_size, split_list, tidy
+from surveylake.functions import list_size, split_list
 from surveylake.operators.category import map_category
 from surveylake.operators.dedupe import dedupe
 from surveylake.operators.derive import add_aux, add_band
@@ -15,7 +15,7 @@ from surveylake.operators.technology import explode_tech
 from surveylake.operators.typed import enforce_schema, to_date_fmt, to_decimal_br
 from surveylake.rules import RAW_COLUMNS, SILVER_SCHEMA, TECH_CATEGORIES, SilverRules
 
-_CATEGORY = ("role", "region", "state", "seniority", "work_model", "ai_use")
+_NAMES = ("role", "region", "state")
 
 
 def build_silver(raw: DataFrame, rules: SilverRules = SilverRules()) -> DataFrame:
@@ -30,7 +30,7 @@ def build_silver(raw: DataFrame, rules: SilverRules = SilverRules()) -> DataFram
 
     # trim, then "no answer" to NULL: before types, so that a missing value is
     # not reported as an unreadable one
-    df = df.withColumns({c: tidy(c) for c in _CATEGORY if c in here})
+    df = df.withColumns({c: F.trim(c) for c in _NAMES if c in here})
     df = null_sentinels(df, [c for c in RAW_COLUMNS[1:] if c in here], rules.missing_words)
 
     if "resp_id" in here:
