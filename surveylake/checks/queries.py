@@ -210,7 +210,7 @@ def silver_survey(spark, sf):
 
 def catalog_profile(spark, sf):
     cols = ["seniority", "pay", "work_model", "ai_use", "answered_at", "n_tools"]
-    return groups.profile(survey_silver(spark, sf, cols))
+    return groups.profile(survey_silver(spark, sf, cols), exact=True)
 
 
 def sql_view_query(spark, sf):

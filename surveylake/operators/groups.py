@@ -76,11 +76,12 @@ def one_way(
     )
 
 
-def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
+def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = False) -> DataFrame:
     """Per column: rows, NULLs, distinct values, least and greatest value as text.
 
-    ``exact=False`` estimates the distinct values, so a table of any width is
-    profiled in one pass without a shuffle of its rows.
+    Distinct values are estimated, so a table of any width is profiled in one
+    pass without a shuffle of its rows; ``exact=True`` counts them, which shuffles
+    the distinct values of every column.
     """
     cols = list(cols or df.columns)
     distinct = F.count_distinct if exact else F.approx_count_distinct

@@ -9,9 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from surveylake.functions import split_list
 from surveylake.rules import MULTI_SEP, TECH_CATEGORIES
 
-_PAIRS = "array<struct<category:string,technology:string>>"
-
-
 def split_multi(df: DataFrame, col: str, sep: str = MULTI_SEP) -> DataFrame:
     return df.withColumn(col, split_list(col, sep))
 
@@ -29,16 +26,15 @@ def explode_tech(
     row whose technology is NULL: counting rows per category and technology then
     gives the answered base together with the uses, in one aggregation.
     """
-    def pairs(col: str, category: str) -> Column:
+    def listed(col: str, category: str) -> Column:
         items = F.col(col)
         if with_base:
             items = F.array_append(items, F.lit(None).cast("string"))
-        named = F.transform(
-            items, lambda t: F.struct(F.lit(category).alias("category"), t.alias("technology"))
-        )
-        return F.coalesce(named, F.array().cast(_PAIRS))
-
-    lists = [pairs(col, category) for col, category in cols.items()]
-    return df.select(*keep, F.explode(F.concat(*lists)).alias("t")).select(
-        *keep, "t.category", "t.technology"
+        return F.struct(F.lit(category).alias("category"), items.alias("items"))
+
+    # first a row per category, then a row per technology: both are plain
+    # generators, and a list that is NULL gives no row
+    lists = F.array(*[listed(col, category) for col, category in cols.items()])
+    return df.select(*keep, F.inline(lists)).select(
+        *keep, "category", F.explode("items").alias("technology")
     )

@@ -220,7 +220,7 @@ def tech_pairs(silver: DataFrame, min_n: int = 1) -> DataFrame:
     ])
     length = F.when(F.col("at") == 0, 1).otherwise(F.size("names"))
     counts = (
-        silver.select(F.array_sort(names).alias("names"))
+        silver.select(F.sort_array(names).alias("names"))
         .filter(F.size("names") > 0)
         .select(F.concat(F.array(F.lit("")), F.col("names")).alias("names"))
         .select(F.posexplode("names").alias("at", "a"), "names")

@@ -37,7 +37,7 @@ def run_silver(
     write_table(build_silver(kept, rules), lake, "silver", "answers", ["edition"])
     write_table(rejected, lake, "silver", "quarantine")
     answers = read_table(spark, lake, "silver", "answers")
-    write_table(build_tech(answers), lake, "silver", "tech")
+    write_table(build_tech(answers), lake, "silver", "tech", rebalance=False)
     register(spark, lake, "silver", "answers", "typed, standard answers, one per key")
     register(spark, lake, "silver", "quarantine", "raw rows without a usable key")
     register(spark, lake, "silver", "tech", "one row per answer, category and technology")

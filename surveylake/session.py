@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # call sites of every expression are not recorded: plans are built much faster
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -34,16 +34,19 @@ def read_table(spark: SparkSession, lake: Lake, layer: str, name: str) -> DataFr
 
 
 def write_table(
-    df: DataFrame, lake: Lake, layer: str, name: str, partition: Sequence[str] = ()
+    df: DataFrame, lake: Lake, layer: str, name: str,
+    partition: Sequence[str] = (), rebalance: bool = True,
 ) -> str:
     """Replace a table; returns its folder.
 
     Rows are rebalanced first: Spark splits a hot partition and merges small
     ones by their measured size, so a small gold table is one file and a large
-    silver edition is many, without passing through a single task.
+    silver edition is many, without passing through a single task. A table made
+    row by row from another one keeps that one's file sizes: ``rebalance=False``
+    then saves a shuffle of all its rows.
     """
     path = lake.path(layer, name)
-    writer = df.hint("rebalance", *partition).write.mode("overwrite")
+    writer = (df.hint("rebalance", *partition) if rebalance else df).write.mode("overwrite")
     if partition:
         writer = writer.partitionBy(*partition)
     writer.parquet(path)
@@ -68,14 +71,14 @@ def write_batch(df: DataFrame, lake: Lake, name: str, batch_id: int) -> str:
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ",") -> str:
-    """Write CSV with a header; lists become text joined by ``;``."""
+    """Write CSV with a header, a file per task; lists become text joined by ``;``."""
     flat = df.select(*[
         join_list(F.col(f"`{f.name}`")).alias(f.name)
         if isinstance(f.dataType, T.ArrayType) else F.col(f"`{f.name}`")
         for f in df.schema
     ])
     (
-        flat.hint("rebalance").write.mode("overwrite")
+        flat.write.mode("overwrite")
         .option("header", True).option("sep", sep).option("escape", '"')
         .csv(path)
     )

@@ -149,8 +149,8 @@ def test_opportunity_ranks_high_pay_and_little_ai_first(spark):
 
 
 def test_profile_estimates(silver):
-    exact = {r["column"]: r for r in groups.profile(silver, ["role", "pay"]).collect()}
-    near = {r["column"]: r for r in groups.profile(silver, ["role", "pay"], exact=False).collect()}
+    exact = {r["column"]: r for r in groups.profile(silver, ["role", "pay"], exact=True).collect()}
+    near = {r["column"]: r for r in groups.profile(silver, ["role", "pay"]).collect()}
     for c in exact:
         assert exact[c]["nulls"] == near[c]["nulls"]
         assert near[c]["distinct_values"] == pytest.approx(exact[c]["distinct_values"], rel=0.1)
