@@ -20,7 +20,10 @@ def tidy(c: Column | str) -> Column:
 
 def text_key(c: Column | str) -> Column:
     """The form in which two spellings of one category are equal."""
-    return F.lower(F.translate(tidy(c), ACCENTED, PLAIN))
+    text = tidy(c)
+    # only text with a letter of more than one byte can have an accent to remove
+    plain = F.when(F.octet_length(text) != F.length(text), F.translate(text, ACCENTED, PLAIN))
+    return F.lower(plain.otherwise(text))
 
 
 def is_missing_word(c: Column | str, words: Iterable[str] = MISSING_WORDS) -> Column:
