@@ -26,22 +26,20 @@ def _sorted(names, rows):
     return sorted(plain, key=lambda r: tuple((v is not None, str(v)) for v in r))
 
 
-def differences(spark, con, query, text: str, sf_dir: str) -> list[str]:
-    df = query(spark, sf_dir)
-    got = [tuple(r) for r in df.collect()]
+def differences(columns: list, dtypes: list, got: list, con, text: str) -> list[str]:
     result = con.execute(text)
     names = [d[0] for d in result.description]
     kinds = {d[0]: str(d[1]) for d in result.description}
     want = result.fetchall()
     out = []
-    if sorted(df.columns) != sorted(names):
-        return [f"columns {sorted(df.columns)} / {sorted(names)}"]
-    for name, kind in df.dtypes:
+    if sorted(columns) != sorted(names):
+        return [f"columns {sorted(columns)} / {sorted(names)}"]
+    for name, kind in dtypes:
         if KINDS.get(kind) != kinds[name]:
             out.append(f"type of {name}: {kind} / {kinds[name]}")
     if len(got) != len(want):
         out.append(f"rows: {len(got)} / {len(want)}")
-    pairs = zip(_sorted(df.columns, got), _sorted(names, want))
+    pairs = zip(_sorted(columns, got), _sorted(names, want))
     bad = [(a, b) for a, b in pairs if a != b]
     if bad:
         out.append(f"{len(bad)} rows differ, first: {bad[0][0]} / {bad[0][1]}")

@@ -36,6 +36,24 @@ def small():
     return f"{TESTDATA}/sf0.001"
 
 
+@pytest.fixture(scope="session")
+def ran(spark, oracle_dir):
+    """Registered queries, each run once: columns, types, rows and the plan that ran."""
+    from plan_text import final_plan
+    from surveylake.checks.queries import QUERIES
+
+    done = {}
+
+    def run(name):
+        if name not in done:
+            df = QUERIES[name](spark, oracle_dir)
+            rows = [tuple(r) for r in df.collect()]
+            done[name] = (df.columns, df.dtypes, rows, final_plan(df))
+        return done[name]
+
+    return run
+
+
 @pytest.fixture(scope="session")
 def oracle_dir():
     return f"{TESTDATA}/sf{os.environ.get('ORACLE_SF', '0.001')}"

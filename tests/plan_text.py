@@ -6,7 +6,7 @@ import re
 
 
 def final_plan(df) -> str:
-    df.collect()
+    """``df`` must have been collected."""
     return _final(df._jdf.queryExecution().executedPlan().toString())
 
 

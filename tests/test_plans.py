@@ -2,7 +2,7 @@
 
 import pytest
 
-from plan_text import final_plan, scans
+from plan_text import scans
 from surveylake.checks.queries import FRONT_COLUMNS, QUERIES
 
 # Queries that put two tables, or three indicators, together by definition.
@@ -15,15 +15,8 @@ NO_SHUFFLE = (
 
 
 @pytest.fixture(scope="module")
-def plans(spark, small):
-    made = {}
-
-    def get(name):
-        if name not in made:
-            made[name] = final_plan(QUERIES[name](spark, small))
-        return made[name]
-
-    return get
+def plans(ran):
+    return lambda name: ran(name)[3]
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
