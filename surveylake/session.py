@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # the JVM does not compile methods above this size; beyond it, Spark then uses
+    # generated code in smaller pieces (wide cleaning projections)
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # call sites of every expression are not recorded: plans are built much faster
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
