@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as driver
+from surveylake.checks.oracle import ORACLE
+from surveylake.checks.queries import QUERIES
 from compare import connect, differences
 
 
@@ -13,14 +15,14 @@ def duck(oracle_dir):
     con.close()
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_as_sql(ran, duck, name):
     columns, dtypes, rows, _ = ran(name)
-    assert differences(columns, dtypes, rows, duck, driver.oracle_sql()[name]) == []
+    assert differences(columns, dtypes, rows, duck, ORACLE[name]) == []
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry_runs(spark):
