@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surveylake.llm.extraction import extract
+from surveylake.llm.lines import dedup_lines
 from surveylake.llm.packing import pack, token_pieces
+from surveylake.llm.quality import BASE, RULES, verdicts
 from surveylake.llm.sharding import write_shards
 from surveylake.llm.simhash import near_duplicates
 
@@ -22,11 +25,24 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", *BASE, "base_failed", "kept", *[f"score_{r}" for r in RULES])
+
+
+def op2_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=3)
     return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumnRenamed("_removed", "lines_removed")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_pieces(table(spark, sf_dir, "documents"), tokenizer_file()))
 
@@ -43,7 +59,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op2_extraction": op2_extraction,
     "op4_simhash": op4_simhash,
+    "op5_lines": op5_lines,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
