@@ -1,13 +1,13 @@
 """Quality rules with risk-controlled cutoffs.
 
 Each rule gives a text a score. For every stratum and rule, cutoffs are tried on
-labelled holdout rows in a fixed order, from lenient to strict. A cutoff passes if
+labelled holdout rows that pass the base rule, in a fixed order, from lenient to strict. A cutoff passes if
 so few good texts score above it that, by the exact binomial law, a true rate of
 false rejections over the limit is unlikely; the first that fails ends the row
 (fixed-sequence testing, so trying many cutoffs costs nothing). The error level is
 divided among all rules and strata (Bonferroni) and the limit among the rules.
-Among the cutoffs that passed, the one that catches most bad texts counts, the most
-lenient of equals. A stratum with too few labels passes none and keeps its texts.
+Among the cutoffs that passed, the one that catches most bad texts for the good ones
+it costs counts, the most lenient of equals. A stratum with too few labels passes none and keeps its texts.
 """
 
 from __future__ import annotations
@@ -33,16 +33,19 @@ SHARES = (0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.08, 0.06, 0.04, 0.02)
 RULES = {
     "symbols": ("poor", SHARES),
     "capitals": ("poor", (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3)),
-    "repeats": ("poor", SHARES),
     "toxic": ("toxic", (24.0, 16.0, 12.0, 10.0, 8.0, 6.0, 5.0, 4.0, 3.0, 2.0)),
 }
 #: At most this share of a stratum's good texts is rejected, all rules together, ...
-LIMIT = 0.04
+LIMIT = 0.075
 #: ... in all strata at once but for this probability.
 ERROR = 0.05
-#: Labelled rows, by hash of the id, that the word weights are fitted on; all others are holdout.
-FIT_ROWS = 4_000
-#: Words with weights, the heaviest.
+#: Word weights are fitted on a fifth of the labelled rows by hash of the id, at most so many; all others are holdout.
+FIT_ROWS = 10_000
+#: A word with a weight stands in at least this share of the fitted toxic texts: chance finds of a few copies have none.
+FIT_SHARE = 0.02
+#: A falsely rejected text weighs as much as so many bad ones caught when cutoffs that passed are compared.
+FALSE_COST = 5
+#: Words and beginnings with weights, the heaviest.
 FIT_WORDS = 2_000
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -72,8 +75,10 @@ def repeat_words(found: list[bytes]) -> int:
     return int((np.cumsum(edge[:-1]) > 0).sum())
 
 
-def plain(word: bytes) -> bytes:
-    return word.strip(b".,;:!?\"'()[]{}*#$%&|<>-_")
+def stems(text: bytes) -> set[tuple[bytes, ...]]:
+    """Each distinct word without marks around it, lower-case: itself and its first 4, 5 and 6 bytes."""
+    plain = {w.strip(b".,;:!?\"'()[]{}*#$%&|<>-_") for w in set(words(text.translate(LOWER)))}
+    return {(w, w[:4], w[:5], w[:6]) for w in plain if len(w) > 3}
 
 
 def features(text: bytes, weights: dict[bytes, float]) -> tuple:
@@ -87,9 +92,9 @@ def features(text: bytes, weights: dict[bytes, float]) -> tuple:
     repeated = repeat_words(found)
     letters = len(text) - len(text.translate(None, LETTERS))
     capitals = len(text) - len(text.translate(None, UPPER))
-    toxic = sum(weights.get(w, 0.0) for w in {plain(w) for w in set(words(text.translate(LOWER)))}) if weights else 0.0
+    toxic = math.fsum(max([weights[x] for x in forms if x in weights], default=0.0) for forms in stems(text)) if weights else 0.0
     return (n, chars, symbols, len(lines) - len(set(lines)), repeated,
-            symbols / max(chars, 1), capitals / max(letters, 1), repeated / max(n, 1), toxic)
+            symbols / max(chars, 1), capitals / max(letters, 1), toxic)
 
 
 def _with_features(weights: dict[bytes, float], drop_text: bool):
@@ -114,17 +119,18 @@ def with_features(docs: DataFrame, weights: dict[bytes, float], drop_text: bool
 
 def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        held = [sorted({plain(w) for w in words(t.translate(LOWER))}) for t in texts(batch)]
+        held = [sorted({x for forms in stems(t) for x in forms}) for t in texts(batch)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("toxic"), pa.array(held, pa.list_(pa.binary()))], ["toxic", "words"])
 
 
 def word_weights(docs: DataFrame, sample: DataFrame) -> dict[bytes, float]:
-    """Log-odds of words for toxic texts, at least 2, from the labelled ``sample`` of at most FIT_ROWS rows."""
+    """Log-odds of words and their beginnings for toxic texts, at least 2, from the labelled ``sample`` of at most FIT_ROWS rows."""
     found = docs.select("doc_id", "text").join(F.broadcast(sample.select("doc_id", "toxic")), "doc_id")
     rows = found.select("toxic", "text").mapInArrow(_distinct_words, "toxic int, words array<binary>")
-    counts = rows.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).where("t >= 5 AND length(word) > 0")
+    counts = rows.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
     totals = sample.agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).first()
+    counts = counts.where(F.col("t") >= max(5, FIT_SHARE * (totals["t"] or 0)))
     weight = F.log((F.col("t") + 0.5) / ((totals["t"] or 0) + 1)) - F.log((F.col("c") + 0.5) / ((totals["c"] or 0) + 1))
     top = counts.select("word", weight.alias("w")).where("w >= 2").orderBy(F.desc("w"), "word").limit(FIT_WORDS)
     return {bytes(r["word"]): r["w"] for r in top.collect()}
@@ -139,15 +145,16 @@ def binomial_below(k: int, n: int, p: float) -> float:
 
 
 def choose(cutoffs: tuple, good: list[int], bad: list[int], limit: float, error: float) -> float | None:
-    """``good[i]`` and ``bad[i]``: texts whose score reaches exactly the first i cutoffs."""
+    """``good[i]`` and ``bad[i]``: texts whose score reaches just the i strictest cutoffs."""
     n, best = sum(good), None
-    for i, cutoff in enumerate(cutoffs, 1):
-        if not n or binomial_below(sum(good[i:]), n, limit) > error:
+    for i, cutoff in zip(range(len(cutoffs), 0, -1), cutoffs):
+        false = sum(good[i:])
+        if not n or binomial_below(false, n, limit) > error:
             break
-        caught = sum(bad[i:])
-        if best is None or caught > best[0]:
-            best = (caught, cutoff)
-    return best[1] if best and best[0] else None
+        gain = sum(bad[i:]) - FALSE_COST * false
+        if best is None or gain > best[0]:
+            best = (gain, cutoff)
+    return best[1] if best and best[0] > 0 else None
 
 
 def _chosen(limit: float, error: float):
@@ -169,17 +176,22 @@ def _labels(labels: DataFrame) -> DataFrame:
 
 
 def fit_sample(labels: DataFrame) -> DataFrame:
-    return save(_labels(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS))
+    fifth = _labels(labels).where(F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0)
+    return save(fifth.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS))
 
 
 def _stratum(stratum: str) -> F.Column:
     return F.coalesce(F.col(stratum).cast("string"), F.lit(""))
 
 
+def base_failed() -> F.Column:
+    return (F.col("_n_words") < 20) | (100 * F.col("_n_repeat_words") > 30 * F.col("_n_words"))
+
+
 def cutoffs(scored: DataFrame, labels: DataFrame, sample: DataFrame, stratum: str, limit: float = LIMIT, error: float = ERROR) -> DataFrame:
     """(stratum, one column per rule): the chosen cutoffs, NULL where none passed. One row per stratum."""
     held = _labels(labels).join(sample.select("doc_id"), "doc_id", "left_anti")
-    rows = scored.join(held, "doc_id").select(
+    rows = scored.where(~base_failed()).join(held, "doc_id").select(
         _stratum(stratum).alias("stratum"), ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int").alias("good"),
         F.inline(F.array(*[
             F.struct(
@@ -197,7 +209,7 @@ def cutoffs(scored: DataFrame, labels: DataFrame, sample: DataFrame, stratum: st
 def judged(scored: DataFrame, chosen: DataFrame, stratum: str) -> DataFrame:
     """``scored`` with ``_base_failed`` and ``_kept``."""
     chosen = chosen.select(F.col("stratum").alias("_stratum"), *[F.col(r).alias(f"_cut_{r}") for r in RULES])
-    failed = (F.col("_n_words") < 20) | (100 * F.col("_n_repeat_words") > 30 * F.col("_n_words"))
+    failed = base_failed()
     over = [F.coalesce(F.col(f"_{r}") >= F.col(f"_cut_{r}"), F.lit(False)) for r in RULES]
     rejected = failed
     for x in over:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveylake.llm.extraction import extract
+from surveylake.llm.licences import scan_licences
 from surveylake.llm.lines import dedup_lines
 from surveylake.llm.packing import pack, token_pieces
 from surveylake.llm.quality import BASE, RULES, verdicts
@@ -43,6 +44,10 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumnRenamed("_removed", "lines_removed")
 
 
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_pieces(table(spark, sf_dir, "documents"), tokenizer_file()))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_extraction": op2_extraction,
     "op4_simhash": op4_simhash,
     "op5_lines": op5_lines,
+    "op6_licences": op6_licences,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
