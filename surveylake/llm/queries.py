@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surveylake.llm.decontamination import contaminated
 from surveylake.llm.extraction import extract
 from surveylake.llm.licences import scan_licences
 from surveylake.llm.lines import dedup_lines
@@ -48,6 +49,10 @@ def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_pieces(table(spark, sf_dir, "documents"), tokenizer_file()))
 
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_lines": op5_lines,
     "op6_licences": op6_licences,
+    "op7_decontamination": op7_decontamination,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
