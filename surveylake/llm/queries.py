@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surveylake.llm.contexts import score_texts
 from surveylake.llm.decontamination import contaminated
 from surveylake.llm.extraction import extract
 from surveylake.llm.licences import scan_licences
@@ -36,6 +37,10 @@ def op2_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op3_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=3)
     return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
@@ -71,6 +76,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_extraction": op2_extraction,
+    "op3_contexts": op3_contexts,
     "op4_simhash": op4_simhash,
     "op5_lines": op5_lines,
     "op6_licences": op6_licences,
