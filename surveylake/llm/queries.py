@@ -16,6 +16,7 @@ from surveylake.llm.packing import pack, token_pieces
 from surveylake.llm.quality import BASE, RULES, verdicts
 from surveylake.llm.sharding import write_shards
 from surveylake.llm.simhash import near_duplicates
+from surveylake.llm.suffixes import remove_repeats
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +59,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_pieces(table(spark, sf_dir, "documents"), tokenizer_file()))
 
@@ -81,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_lines": op5_lines,
     "op6_licences": op6_licences,
     "op7_decontamination": op7_decontamination,
+    "op8_suffixes": op8_suffixes,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
