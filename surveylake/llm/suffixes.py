@@ -9,8 +9,9 @@ start of its least GRAM-byte name, which equal strings choose alike (winnowing).
 Round 1 sorts (GRAM-byte name, name of all that strings with this anchor can hold).
 Anchors whose first name is unique are done: nothing over them repeats. An anchor
 equal to an earlier one in both is done too: everything over it repeats. Round 2
-reranks what is left at full length: Spark sorts the LONG-byte names of all starts
-over the remaining anchors, and each but the first of a name repeats.
+sorts the remaining anchors again with the bytes around them and reranks their starts
+at full length: each LONG-byte name but the first repeats. A gram with very many
+anchors leaves that to a third round, in which Spark sorts single starts by name.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ CHUNK_BYTES = 2 << 20
 #: What a start needs to the left and right of it.
 MARGIN = 2 * LONG
 FULL, OPEN = 1, 2
+#: Anchors that a task ranks at a time.
+HELD_ROWS = 8_192
 
 _BYTE_NAMES = np.random.default_rng(2024).integers(1, 1 << 63, 256, np.uint64)
 _K1, _K2, _S = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(29)
@@ -187,39 +190,89 @@ def _marked(chunk: Chunk, at: np.ndarray, anchor: np.ndarray, places: dict[int,
     return flags[anchor]
 
 
-def _long_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _arounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Open anchors with the bytes that LONG-byte strings over them can hold; ``left`` of them stand before the anchor."""
     for batch in batches:
-        ids = batch.column("doc_id").to_numpy()
-        places = {i: _of_kind(m, OPEN) for i, m in enumerate(batch.column("marks").to_pylist())}
-        for chunk in chunks((i, t) for i, t in enumerate(texts(batch)) if len(places[i])):
-            at, anchor = chunk.starts()
-            keep = _marked(chunk, at, anchor, places)
-            at, anchor = at[keep], anchor[keep]
-            owner = chunk.owner(at)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(chunk.name_long(at).view(np.int64)), pa.array(chunk.gram[anchor].astype(np.uint32).view(np.int32)),
-                 pa.array(ids[chunk.row[owner]]), pa.array((at - chunk.shift[owner]).astype(np.int32))],
-                ["name", "gram", "doc_id", "start"])
+        ids, grams, sides, rows = batch.column("doc_id").to_pylist(), [], [], ([], [], [])
+        for doc_id, marks, text in zip(ids, batch.column("marks").to_pylist(), texts(batch)):
+            for at in sorted({m["at"] for m in marks if m["kind"] == OPEN}):
+                low = max(0, at - SPAN + 1)
+                for column, value in zip(rows, (doc_id, at, at - low)):
+                    column.append(value)
+                grams.append(xxhash.xxh64_intdigest(text[at:at + GRAM]))
+                sides.append(text[low:at + LONG])
+        d, p, left = rows
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.array(grams, np.uint64).view(np.int64)), pa.array(d, pa.int64()), pa.array(p, pa.int32()), pa.array(left, pa.int32()), pa.array(sides, pa.binary())],
+            ["gram", "doc_id", "at", "left", "around"])
+
+
+def _ranked(rows: list[tuple], hot: bool) -> pa.RecordBatch:
+    """``rows`` of whole grams in order: runs of starts whose names came before. Of a hot gram: all starts with their names."""
+    gram, doc, at, left, around = zip(*rows)
+    chunk = Chunk([(i, x, 0, 0, len(x) - LONG + 1, len(x)) for i, x in enumerate(around)])
+    start, anchor = chunk.starts()
+    owner = chunk.owner(start)
+    mine = anchor == chunk.begin[owner] + np.array(left)[owner]
+    start, owner = start[mine], owner[mine]
+    name = chunk.name_long(start)
+    group = np.array(gram)[owner]
+    start = start - chunk.begin[owner] + (np.array(at) - np.array(left))[owner]
+    doc = np.array(doc)[owner]
+    if hot:
+        columns = (name.view(np.int64), group, doc, start, start)
+    else:
+        order = np.argsort(name, kind="stable")
+        same = (name[order[1:]] == name[order[:-1]]) & (group[order[1:]] == group[order[:-1]])
+        later = np.zeros(len(name), bool)
+        later[order[1:][same]] = True
+        k = np.flatnonzero(later)
+        goes_on = (owner[k[1:]] == owner[k[:-1]]) & (start[k[1:]] == start[k[:-1]] + 1)
+        head = k[np.concatenate(([True], ~goes_on))] if len(k) else k
+        tail = k[np.concatenate((~goes_on, [True]))] if len(k) else k
+        columns = (None, None, doc[head], start[head], start[tail])
+    n = len(columns[2])
+    return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()) if c is None else pa.array(c, pa.int64()) for c in columns], ["name", "gram", "doc_id", "first", "last"])
+
+
+def _resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of gram, doc_id, at. A gram with more than HELD_ROWS anchors is handed on, start by start, to a sort."""
+    held: list[tuple] = []
+    class_from, hot, before = 0, False, None
+    for batch in batches:
+        for row in zip(*(batch.column(k).to_pylist() for k in range(5))):
+            if row[:3] == before:
+                continue  # a repeated row of the table
+            before = row[:3]
+            if not held or row[0] != held[-1][0]:
+                if hot or len(held) >= HELD_ROWS:
+                    yield _ranked(held, hot)
+                    held, hot = [], False
+                class_from = len(held)
+            elif len(held) - class_from >= HELD_ROWS:
+                if class_from:
+                    yield _ranked(held[:class_from], False)
+                yield _ranked(held[class_from:], True)
+                held, class_from, hot = [], 0, True
+            held.append(row)
+    if held:
+        yield _ranked(held, hot)
 
 
 def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of name, gram, doc_id, start: all but the first of a name."""
+    """Rows in order of name, gram, doc_id, first: those without a name, and all but the first of a name."""
     last = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys = [batch.column(k).to_numpy() for k in range(4)]
-        same = np.ones(batch.num_rows, bool)
-        equal = np.ones(batch.num_rows, bool)
-        for k, x in enumerate(keys):
-            if k < 2:
-                same[1:] &= x[1:] == x[:-1]
-            equal[1:] &= x[1:] == x[:-1]
-        same[0] = last is not None and tuple(x[0] for x in keys[:2]) == last[:2]
-        equal[0] = last is not None and tuple(x[0] for x in keys) == last
-        last = tuple(x[-1] for x in keys)
-        found = same & ~equal
-        yield pa.RecordBatch.from_arrays([pa.array(keys[2][found]), pa.array(keys[3][found])], ["doc_id", "start"])
+        known = batch.column(0).is_null().to_numpy(zero_copy_only=False)
+        keys = [batch.column(k).fill_null(0).to_numpy() for k in range(4)]
+        same = np.zeros(batch.num_rows, bool)
+        same[1:] = (keys[0][1:] == keys[0][:-1]) & (keys[1][1:] == keys[1][:-1]) & ~known[:-1]
+        same[0] = last is not None and (keys[0][0], keys[1][0]) == last
+        last = None if known[-1] else (keys[0][-1], keys[1][-1])
+        found = known | same
+        yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(found)) for k in (2, 3, 4)], ["doc_id", "first", "last"])
 
 
 def runs(covered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -232,7 +285,7 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         held = list(texts(batch))
         places = {i: _of_kind(m or [], FULL) for i, m in enumerate(batch.column("marks").to_pylist())}
-        starts = {i: [np.array(s, np.int64)] for i, s in enumerate(batch.column("starts").to_pylist()) if s}
+        starts = {i: [np.arange(x["first"], x["last"] + 1) for x in s] for i, s in enumerate(batch.column("starts").to_pylist()) if s}
         for chunk in chunks((i, t) for i, t in enumerate(held) if len(places[i])):
             at, anchor = chunk.starts()
             at = at[_marked(chunk, at, anchor, places)]
@@ -279,9 +332,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     # Both joins below read the same exchange of the texts.
     dealt = docs.repartition("doc_id")
     open_ = dealt.join(marks.where(F.exists("marks", lambda m: m["kind"] == OPEN)), "doc_id").select("doc_id", "text", "marks")
-    order = ["name", "gram", "doc_id", "start"]
-    names = open_.mapInArrow(_long_names, "name long, gram int, doc_id long, start int")
-    later = names.repartition("name").sortWithinPartitions(*order).mapInArrow(_later, "doc_id long, start int")
-    later = later.groupBy("doc_id").agg(F.collect_list("start").alias("starts"))
+    around = open_.mapInArrow(_arounds, "gram long, doc_id long, at int, left int, around binary")
+    order = ["gram", "doc_id", "at"]
+    rows = around.repartition("gram").sortWithinPartitions(*order).mapInArrow(_resolved, "name long, gram long, doc_id long, first long, last long")
+    order = ["name", "gram", "doc_id", "first"]
+    later = rows.repartition(F.coalesce("name", F.xxhash64("doc_id", "first"))).sortWithinPartitions(*order).mapInArrow(_later, "doc_id long, first long, last long")
+    later = later.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("starts"))
     joined = dealt.join(marks, "doc_id", "left").join(later, "doc_id", "left").select("_id", "text", "marks", "starts")
     return joined.mapInArrow(_removed, "doc_id long, n_bytes long, n_removed long, spans array<struct<first: long, after: long>>, kept binary")
