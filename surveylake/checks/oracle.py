@@ -27,13 +27,18 @@ source AS (
   JOIN region ON n_regionkey = r_regionkey
   LEFT JOIN tools ON l_orderkey = o_orderkey
 ),
-survey_raw AS (
-  SELECT CAST(k AS VARCHAR) AS resp_id, c_mktsegment AS role, r_name AS region, n_name AS state,
+survey_raw AS MATERIALIZED (
+  SELECT CAST(k AS VARCHAR) AS resp_id,
+         CASE k % 6 WHEN 1 THEN lower(c_mktsegment) WHEN 2 THEN ' ' || c_mktsegment || chr(160)
+              ELSE c_mktsegment END AS role, r_name AS region,
+         CASE WHEN k % 8 = 3 THEN lower(replace(n_name, ' ', '  ')) ELSE n_name END AS state,
          CASE WHEN sen IS NULL AND k % 3 = 0 THEN '' WHEN sen IS NULL AND k % 3 = 1 THEN 'N/A'
               WHEN sen IS NULL THEN NULL WHEN k % 5 = 1 THEN upper(sen)
               WHEN k % 5 = 2 THEN '  ' || sen || ' '
               WHEN k % 5 = 3 THEN replace(replace(sen, 'ê', 'e'), 'ú', 'u') ELSE sen END AS seniority,
          CASE WHEN k % 101 = 0 THEN '-1,00' WHEN k % 29 = 0 THEN 'não informado'
+              WHEN k % 103 = 0 THEN '1234.56' WHEN k % 107 = 0 THEN '1.2.3' WHEN k % 109 = 0 THEN '1,239'
+              WHEN k % 113 = 0 THEN 'r$' || chr(160) || '1.234,5'
               WHEN k % 11 = 0 THEN 'R$ ' || amount ELSE amount END AS pay,
          CASE WHEN k % 37 = 0 THEN 'outro??' WHEN k % 4 = 1 THEN lower(model)
               WHEN k % 4 = 2 THEN replace(model, 'í', 'i') ELSE model END AS work_model,
@@ -43,6 +48,7 @@ survey_raw AS (
                 THEN CASE k % 3 WHEN 0 THEN 'Sim' WHEN 1 THEN 'S' ELSE ' sim' END
               ELSE CASE k % 3 WHEN 0 THEN 'Não' WHEN 1 THEN 'NAO' ELSE 'n' END END AS ai_use,
          COALESCE(CASE WHEN k % 7 = 1 THEN lower(array_to_string(types, '; '))
+                       WHEN k % 13 = 5 THEN array_to_string(types, ';') || '; Não  informado'
                        ELSE array_to_string(types, ';') END, '') AS langs,
          COALESCE(array_to_string(seconds, ';'), '') AS bi_tools,
          COALESCE(array_to_string(firsts, ';'), '') AS databases,
@@ -54,7 +60,7 @@ _MISSING = "('', 'n/a', 'null', 'não informado', 'nao informado', 'sem resposta
 
 
 def _tidy(c: str) -> str:
-    return rf"trim(regexp_replace({c}, '\s+', ' ', 'g'))"
+    return rf"trim(regexp_replace({c}, '[\s\p{{Z}}]+', ' ', 'g'))"
 
 
 def _key(c: str) -> str:
@@ -62,13 +68,15 @@ def _key(c: str) -> str:
 
 
 def _known(c: str) -> str:
-    return f"CASE WHEN lower(trim({c})) IN {_MISSING} THEN NULL ELSE {c} END"
+    return f"CASE WHEN lower({_tidy(c)}) IN {_MISSING} THEN NULL ELSE {c} END"
 
 
 def _money(c: str) -> str:
+    text = f"upper({_tidy(c)})"
+    form = r"[+-]?(R\$ ?)?[+-]?([0-9]+|[0-9]{1,3}(\.[0-9]{3})+)(,[0-9]{1,2})?"
     return (
-        rf"TRY_CAST(replace(replace(regexp_replace(trim({c}), '^R\$\s*', ''), '.', ''), ',', '.')"
-        " AS DECIMAL(12,2))"
+        f"CASE WHEN regexp_full_match({text}, '{form}') THEN TRY_CAST(replace(replace("
+        rf"regexp_replace({text}, 'R\$ ?', ''), '.', ''), ',', '.') AS DECIMAL(12,2)) END"
     )
 
 
@@ -77,7 +85,7 @@ def _date(c: str) -> str:
 
 
 def _list(c: str) -> str:
-    made = f"list_sort(list_distinct([upper(trim(x)) for x in string_split({c}, ';') if trim(x) <> '']))"
+    made = f"list_sort(list_distinct([upper({_tidy("x")}) for x in string_split({c}, ';') if lower({_tidy("x")}) NOT IN {_MISSING}]))"
     return f"CASE WHEN len({made}) > 0 THEN {made} END"
 
 
@@ -109,14 +117,14 @@ def _yes(c: str) -> str:
 
 
 _CLEAN = f"""
-known AS (
-  SELECT resp_id, role, region, state,
-         {", ".join(f"{_known(c)} AS {c}" for c in ("seniority", "pay", "work_model", "answered_at", "ai_use", "langs", "bi_tools", "databases", "clouds"))}
+known AS MATERIALIZED (
+  SELECT resp_id,
+         {", ".join(f"{_known(c)} AS {c}" for c in ("role", "region", "state", "seniority", "pay", "work_model", "answered_at", "ai_use", "langs", "bi_tools", "databases", "clouds"))}
   FROM survey_raw
 ),
 typed AS (
   SELECT TRY_CAST(resp_id AS BIGINT) AS resp_id, {_date("answered_at")} AS answered_at,
-         trim(role) AS role, trim(region) AS region, trim(state) AS state,
+         {", ".join(f"upper({_key(c)}) AS {c}" for c in ("role", "region", "state"))},
          {_seniority("seniority")} AS seniority, {_rank("seniority")} AS seniority_rank,
          CASE WHEN {_money("pay")} > 0 THEN {_money("pay")} END AS pay,
          {_model("work_model")} AS work_model, {_yes("ai_use")} AS ai_use,
@@ -456,9 +464,12 @@ FROM ({_one_way(_DIMS, "count(*) AS n")})"""),
     "f1_role_seniority": _answered_crosstab("role", "seniority"),
     "f1_edition_change": _silver(f"""
 SELECT role, edition, n, before, n - before AS change, {_pct("(n - before)", "before")} AS change_pct
-FROM (SELECT role, edition, count(*) AS n,
-             lag(count(*)) OVER (PARTITION BY role ORDER BY edition) AS before
-      FROM silver WHERE edition IS NOT NULL GROUP BY 1, 2)"""),
+FROM (SELECT role, edition, n, lag(n) OVER (PARTITION BY role ORDER BY edition) AS before
+      FROM (SELECT r.role, e.edition, count(s.edition) AS n
+            FROM (SELECT DISTINCT role FROM silver WHERE edition IS NOT NULL) r
+            CROSS JOIN (SELECT DISTINCT edition FROM silver WHERE edition IS NOT NULL) e
+            LEFT JOIN silver s ON s.edition = e.edition AND s.role IS NOT DISTINCT FROM r.role
+            GROUP BY 1, 2))"""),
     "f2_pay_seniority": _silver(f"""
 SELECT seniority, count(pay) AS n, round({_mean("pay")}, 4) AS mean,
        {_quantile("pay", 0.25)} AS p25, {_quantile("pay", 0.5)} AS p50, {_quantile("pay", 0.75)} AS p75
@@ -539,7 +550,7 @@ FROM (SELECT seniority, count(*) FILTER (ai_use) AS n_with, count(*) FILTER (NOT
              median(CAST(pay AS DOUBLE)) FILTER (ai_use) AS w,
              median(CAST(pay AS DOUBLE)) FILTER (NOT ai_use) AS wo
       FROM silver WHERE ai_use IS NOT NULL AND pay IS NOT NULL GROUP BY 1)"""),
-    "f5_ai_tech_lift": _lift("('cloud')"),
+    "f5_ai_tech_lift": _lift("('lang', 'bi', 'db', 'cloud')"),
     "f5_opportunity": _silver(f"""
 , g AS (SELECT role, region, seniority, count(*) AS n,
         {_mean("pay")} / (SELECT {_mean("pay")} FROM silver WHERE seniority IS NOT NULL) AS i,

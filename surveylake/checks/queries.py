@@ -219,7 +219,7 @@ def sql_view_query(spark, sf):
         spark,
         """
         SELECT work_model, seniority, count(*) AS n, CAST(max(pay) AS DOUBLE) AS max_pay
-        FROM silver_answers WHERE seniority IS NOT NULL
+        FROM {silver_answers} WHERE seniority IS NOT NULL
         GROUP BY work_model, seniority HAVING count(*) > 1
         """,
         views={"silver_answers": silver},
@@ -374,7 +374,7 @@ FRONT_COLUMNS = {
     "f4_pay_tech": ("pay", *_TECH),
     "f5_ai_rate": ("role", "seniority", "region", "work_model", "ai_use"),
     "f5_ai_pay": ("seniority", "ai_use", "pay"),
-    "f5_ai_tech_lift": ("ai_use", "clouds"),
+    "f5_ai_tech_lift": ("ai_use", "langs", "bi_tools", "databases", "clouds"),
     "f5_opportunity": ("role", "region", "seniority", "pay", "ai_use"),
 }
 

@@ -83,9 +83,10 @@ _MODEL = """CASE o_orderstatus WHEN 'F' THEN 'Presencial' WHEN 'P' THEN 'Híbrid
 
 _QUESTIONS = {
     "resp_id": "CAST(o_orderkey AS STRING)",
-    "role": "c_mktsegment",
+    "role": """CASE o_orderkey % 6 WHEN 1 THEN lower(c_mktsegment)
+        WHEN 2 THEN concat(' ', c_mktsegment, char(160)) ELSE c_mktsegment END""",
     "region": "r_name",
-    "state": "n_name",
+    "state": "CASE WHEN o_orderkey % 8 = 3 THEN lower(replace(n_name, ' ', '  ')) ELSE n_name END",
     "seniority": f"""CASE
         WHEN o_orderpriority = '4-NOT SPECIFIED' THEN
             CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'N/A' END
@@ -96,6 +97,10 @@ _QUESTIONS = {
     "pay": f"""CASE
         WHEN o_orderkey % 101 = 0 THEN '-1,00'
         WHEN o_orderkey % 29 = 0 THEN 'não informado'
+        WHEN o_orderkey % 103 = 0 THEN '1234.56'
+        WHEN o_orderkey % 107 = 0 THEN '1.2.3'
+        WHEN o_orderkey % 109 = 0 THEN '1,239'
+        WHEN o_orderkey % 113 = 0 THEN concat('r$', char(160), '1.234,5')
         WHEN o_orderkey % 11 = 0 THEN concat('R$ ', {_AMOUNT})
         ELSE {_AMOUNT} END""",
     "work_model": f"""CASE
@@ -113,6 +118,7 @@ _QUESTIONS = {
             CASE o_orderkey % 3 WHEN 0 THEN 'Não' WHEN 1 THEN 'NAO' ELSE 'n' END
         END""",
     "langs": """coalesce(CASE WHEN o_orderkey % 7 = 1 THEN lower(array_join(types, '; '))
+        WHEN o_orderkey % 13 = 5 THEN concat(array_join(types, ';'), '; Não  informado')
         ELSE array_join(types, ';') END, '')""",
     "bi_tools": "coalesce(array_join(seconds, ';'), '')",
     "databases": "coalesce(array_join(firsts, ';'), '')",

@@ -2,9 +2,9 @@
 
 from surveylake.functions.convert import from_map, to_date, to_flag, to_int, to_money
 from surveylake.functions.multi import join_list, list_size, split_list
-from surveylake.functions.text import is_missing_word, text_key, tidy
+from surveylake.functions.text import is_missing_word, key_of, standard, text_key, tidy
 
 __all__ = [
-    "from_map", "is_missing_word", "join_list", "list_size", "split_list",
+    "from_map", "is_missing_word", "join_list", "key_of", "list_size", "split_list", "standard",
     "text_key", "tidy", "to_date", "to_flag", "to_int", "to_money",
 ]

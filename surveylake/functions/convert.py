@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F
 
-from surveylake.functions.text import _col, text_key
+from surveylake.functions.text import _col, key_of, text_key, tidy
 from surveylake.rules import DATE_FORMAT, YES_NO
 
 
@@ -14,13 +14,17 @@ def to_int(c: Column | str, type_: str = "bigint") -> Column:
     return F.trim(_col(c)).try_cast(type_)
 
 
-def to_money(c: Column | str, type_: str = "decimal(12,2)") -> Column:
-    """``R$ 1.234,56`` to 1234.56: dots group thousands, the comma is the point."""
-    text = F.trim(_col(c))
-    number = F.when(text.startswith("R$"), F.trim(F.substring(text, 3, F.length(text)))).otherwise(text)
-    # plain byte replacement: measured twice as fast as translate or a pattern
-    number = F.replace(F.replace(number, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    return number.try_cast(type_)
+def to_money(c: Column | str, type_: str = "decimal(12,2)", point: str = ",") -> Column:
+    """``R$ 1.234,56`` to 1234.56: groups of three after dots, at most two decimals after the comma.
+
+    Anything else (``1234.56``, ``1.2.3``, ``1,239``) is unreadable, never a guess. ``point="."``
+    is for a column whose point is the dot and whose groups are parted by commas.
+    """
+    group = "." if point == "," else ","
+    text = F.upper(tidy(c))
+    form = rf"^[+-]?(R\$ ?)?[+-]?(\d+|\d{{1,3}}([{group}]\d{{3}})+)([{point}]\d{{1,2}})?$"
+    number = F.replace(F.replace(F.regexp_replace(text, r"R\$ ?", ""), F.lit(group), F.lit("")), F.lit(point), F.lit("."))
+    return F.when(text.rlike(form), number.try_cast(type_))
 
 
 def to_date(c: Column | str, fmt: str = DATE_FORMAT) -> Column:
@@ -36,6 +40,4 @@ def from_map(key: Column, mapping: Mapping[str, object]) -> Column:
 
 
 def to_flag(c: Column | str, mapping: Mapping[str, bool] = YES_NO) -> Column:
-    return from_map(text_key(c), mapping)
-
-
+    return from_map(text_key(c), {key_of(k): v for k, v in mapping.items()})

@@ -6,15 +6,16 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-from surveylake.functions.text import _col
-from surveylake.rules import MULTI_SEP
+from surveylake.functions.text import _col, tidy
+from surveylake.rules import MISSING_WORDS, MULTI_SEP
 
 
 def split_list(c: Column | str, sep: str = MULTI_SEP) -> Column:
-    """``'b; a;b'`` to ``['A', 'B']``: upper case, no repeats, sorted; empty is NULL."""
+    """``'b; a;b'`` to ``['A', 'B']``: upper case, no repeats, no missing words, sorted; empty is NULL."""
     # built-in array functions without a lambda, so the whole stays in generated code
-    parts = F.split(F.upper(F.trim(_col(c))), f" *{re.escape(sep)} *")
-    parts = F.sort_array(F.array_distinct(F.array_remove(parts, "")))
+    parts = F.split(F.upper(tidy(c)), f" *{re.escape(sep)} *")
+    nothing = F.array(*[F.lit(x.upper()) for x in dict.fromkeys(("", *MISSING_WORDS))])
+    parts = F.sort_array(F.array_except(parts, nothing))
     return F.nullif(parts, F.array().cast("array<string>"))
 
 

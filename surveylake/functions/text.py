@@ -14,8 +14,8 @@ def _col(c: Column | str) -> Column:
 
 
 def tidy(c: Column | str) -> Column:
-    """Trim, and reduce every run of blanks to one space."""
-    return F.trim(F.regexp_replace(_col(c), r"\s+", " "))
+    """Trim, and reduce every run of blanks, of any alphabet, to one space."""
+    return F.trim(F.regexp_replace(_col(c), r"(?U)\s+", " "))
 
 
 def text_key(c: Column | str) -> Column:
@@ -26,6 +26,16 @@ def text_key(c: Column | str) -> Column:
     return F.lower(plain.otherwise(text))
 
 
+def key_of(text: str) -> str:
+    """``text_key`` of a fixed value."""
+    return " ".join(text.split()).translate(str.maketrans(ACCENTED, PLAIN)).lower()
+
+
+def standard(c: Column | str) -> Column:
+    """One spelling for all that have the same key, where no map gives a label."""
+    return F.upper(text_key(c))
+
+
 def is_missing_word(c: Column | str, words: Iterable[str] = MISSING_WORDS) -> Column:
     """True where the text says "no answer". False, not NULL, for NULL."""
-    return F.coalesce(F.lower(F.trim(_col(c))).isin(*words), F.lit(False))
+    return F.coalesce(F.lower(tidy(c)).isin(*words), F.lit(False))

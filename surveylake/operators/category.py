@@ -4,15 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from surveylake.functions import from_map, text_key
+from surveylake.functions import key_of, text_key
 from surveylake.operators.issues import convert
 
-# A map up to this size is kept in the plan; longer ones are passed as DataFrames.
-MAX_INLINE = 1_000
-
-
 def mapping_from_rows(rows: Iterable[tuple]) -> dict:
     """``(key, label[, rank])`` rows to a map; a key given twice is refused."""
     out: dict = {}
@@ -23,17 +19,24 @@ def mapping_from_rows(rows: Iterable[tuple]) -> dict:
     return out
 
 
-def _inline(mapping: Mapping) -> tuple[dict, dict | None]:
-    if len(mapping) > MAX_INLINE:
-        raise ValueError(f"pass a map of more than {MAX_INLINE} keys as a DataFrame")
-    if mapping and all(isinstance(v, tuple) for v in mapping.values()):
-        return {k: v[0] for k, v in mapping.items()}, {v[0]: v[1] for v in mapping.values()}
-    return dict(mapping), None
-
-
-def _lookup_table(mapping: DataFrame) -> DataFrame:
-    """One row per key; a repeated key stops the job instead of doubling answers."""
-    rank = F.col("rank") if "rank" in mapping.columns else F.lit(None).cast("int")
+def _rows(mapping: Mapping) -> list[tuple]:
+    """(key in text form, label, rank) of each entry; two keys that become one are refused."""
+    out: dict = {}
+    for key, value in mapping.items():
+        label, rank = value if isinstance(value, tuple) else (value, None)
+        if key_of(key) in out:
+            raise ValueError(f"category key given twice: {key_of(key)!r}")
+        out[key_of(key)] = (label, rank)
+    return [(key, label, rank) for key, (label, rank) in out.items()]
+
+
+def lookup_table(spark: SparkSession, mapping: Mapping | DataFrame) -> DataFrame:
+    """``_key, _label, _rank``, one row per key in text form; a repeated key stops the job instead of doubling answers."""
+    if not isinstance(mapping, DataFrame):
+        rows = _rows(mapping)
+        kind = "boolean" if rows and all(isinstance(label, bool) for _, label, _ in rows) else "string"
+        return spark.createDataFrame(rows, f"_key string, _label {kind}, _rank int")
+    rank = F.col("rank").cast("int") if "rank" in mapping.columns else F.lit(None).cast("int")
     once = F.count("*") == 1
     twice = F.raise_error(F.concat(F.lit("category key given twice: "), F.col("_key")))
     return (
@@ -51,22 +54,16 @@ def map_category(
 ) -> DataFrame:
     """Set ``col`` to its label; an unknown spelling becomes NULL and an issue.
 
-    ``mapping`` is ``{key: label}`` or ``{key: (label, rank)}``, looked up inside
-    the projection, or a DataFrame ``key, label[, rank]``, left joined: Spark
-    broadcasts it when its size is under the threshold and shuffles otherwise.
+    ``mapping`` is ``{key: label}``, ``{key: (label, rank)}`` or a DataFrame
+    ``key, label[, rank]``. All mean the same: keys are compared in text form, the
+    rank is that of the key, and the map is left joined, in the way that its size
+    lets Spark choose.
     """
-    if isinstance(mapping, DataFrame):
-        joined = df.join(_lookup_table(mapping), text_key(col) == F.col("_key"), "left")
-        if rank_col:
-            joined = joined.withColumn(rank_col, F.col("_rank"))
-        return convert(joined, col, F.col("_label")).drop("_key", "_label", "_rank")
-    labels, ranks = _inline(mapping)
-    df = convert(df, col, from_map(text_key(col), labels))
+    table = lookup_table(df.sparkSession, mapping)
+    joined = df.join(table, text_key(col) == F.col("_key"), "left")
     if rank_col:
-        if ranks is None:
-            raise ValueError("the map has no ranks")
-        df = df.withColumn(rank_col, from_map(F.col(col), ranks))
-    return df
+        joined = joined.withColumn(rank_col, F.col("_rank"))
+    return convert(joined, col, F.col("_label")).drop("_key", "_label", "_rank")
 
 
 def unmapped(df: DataFrame, col: str, mapping: Mapping | DataFrame) -> DataFrame:
@@ -75,9 +72,5 @@ def unmapped(df: DataFrame, col: str, mapping: Mapping | DataFrame) -> DataFrame
     Spellings are counted first, so only distinct ones are compared with the map.
     """
     seen = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count("*").alias("n"))
-    key: Column = text_key(col)
-    if isinstance(mapping, DataFrame):
-        known = mapping.select(text_key("key").alias("_key"))
-        return seen.join(known, key == F.col("_key"), "left_anti")
-    labels, _ = _inline(mapping)
-    return seen.filter(~key.isin(*labels))
+    known = lookup_table(df.sparkSession, mapping).select("_key")
+    return seen.join(known, text_key(col) == F.col("_key"), "left_anti")

@@ -20,8 +20,8 @@ def rate_measures(flag: str) -> dict[str, Column]:
     }
 
 
-def rate(df: DataFrame, by: Sequence[str], flag: str, min_n: int = 1) -> DataFrame:
-    """Share of true among those who answered, with that base."""
+def rate(df: DataFrame, by: Sequence[str], flag: str, min_n: int = 0) -> DataFrame:
+    """Share of true among those who answered, with that base; a group nobody answered for has base 0."""
     out = df.groupBy(*by).agg(*[c.alias(name) for name, c in rate_measures(flag).items()])
     return out.filter(F.col("base") >= min_n) if min_n > 0 else out
 

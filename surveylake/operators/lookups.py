@@ -6,26 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from surveylake.session import checkpoint
 
-# A lookup of a few narrow columns with this many rows is a few megabytes.
-MAX_BROADCAST_ROWS = 50_000
-
-
-def join_group_values(
-    df: DataFrame, values: DataFrame, keys: Sequence[str], max_rows: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
+def join_group_values(df: DataFrame, values: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join ``values`` (one row per key) to ``df``; NULL keys match each other.
 
-    ``values`` is an aggregate of ``df``, so its size is known only when it has
-    been computed. It is computed once, written to the checkpoint folder and
-    counted there. Up to ``max_rows`` rows it is broadcast and ``df`` is not
-    shuffled. Beyond that, the join is an ordinary one, in which runtime
-    re-planning splits the partition of a hot key.
+    Spark decides by measured size: it broadcasts small values, and beyond that
+    splits the partition of a hot key at run time.
     """
-    values = checkpoint(values)
-    if values.limit(max_rows + 1).count() <= max_rows:
-        values = F.broadcast(values)
     left, right = df.alias("l"), values.alias("r")
     same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
     added = [F.col(f"r.{c}") for c in values.columns if c not in keys]

@@ -12,7 +12,6 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from surveylake.operators import groups
-from surveylake.operators.combine import union_indicators
 from surveylake.operators.crosstab import crosstab, percent
 from surveylake.operators.indicators import (
     diversity, index_vs_total, lift, rate_measures,
@@ -57,10 +56,18 @@ def role_seniority(silver: DataFrame) -> DataFrame:
 
 
 def edition_change(silver: DataFrame) -> DataFrame:
-    """Answers per role and edition against the edition before."""
+    """Answers per role in every edition of the survey, against the edition before it; 0 where a role gave none."""
     counts = groups.summarise(_answered(silver, "edition"), ["role", "edition"])
-    before = F.lag("n").over(Window.partitionBy("role").orderBy("edition"))
-    return counts.withColumn("before", before).select(
+    editions = counts.agg(F.sort_array(F.collect_set("edition")).alias("e")).scalar()  # as many as the survey has
+    per_role = counts.groupBy("role").agg(F.map_from_entries(F.collect_list(F.struct("edition", "n"))).alias("of"))
+    rows = per_role.select("role", "of", F.posexplode(editions).alias("i", "edition"))
+
+    def answers(edition: Column) -> Column:
+        return F.coalesce(F.try_element_at("of", edition), F.lit(0).cast("bigint"))
+
+    before = F.when(F.col("i") > 0, answers(F.get(editions, F.col("i") - 1)))
+    out = rows.select("role", "edition", answers(F.col("edition")).alias("n"), before.alias("before"))
+    return out.select(
         "role", "edition", "n", "before",
         (F.col("n") - F.col("before")).alias("change"),
         percent(F.col("n") - F.col("before"), F.col("before")).alias("change_pct"),
@@ -292,7 +299,18 @@ def ai_pay(silver: DataFrame, exact: bool = True) -> DataFrame:
 
 
 def ai_tech_lift(silver: DataFrame) -> DataFrame:
-    return lift(silver, "ai_use", {"clouds": "cloud"})
+    """AI use by technology, in all four categories."""
+    return lift(silver, "ai_use")
+
+
+#: Ranges of scores that are ranked apart; scores are around 1.
+RANGES = 1_000
+
+
+def _range(score: Column) -> Column:
+    """Number of a score's range, growing with the score; a missing score comes below all."""
+    wide = F.greatest(F.lit(0.0), F.least(F.lit(float(RANGES - 1)), F.floor(score * (RANGES / 4)).cast("double")))
+    return F.coalesce(wide.cast("int"), F.lit(-1))
 
 
 def opportunity(silver: DataFrame, min_n: int = 1) -> DataFrame:
@@ -312,31 +330,37 @@ def opportunity(silver: DataFrame, min_n: int = 1) -> DataFrame:
     ).scalar()
     index = F.try_divide(F.col("pay_sum").cast("double"), F.col("paid")) / total
     ai = F.try_divide(F.col("ai_hits").cast("double"), F.col("ai_base"))
+    score = F.round(index * (1 - ai), 6)
     scored = segments.filter(F.col("n") >= min_n).select(
         *by, "n",
         F.round(index * 100, 4).alias("pay_index"),
         F.round(ai, 4).alias("ai_rate"),
-        F.round(index * (1 - ai), 6).alias("score"),
+        score.alias("score"),
     )
-    # one row per segment is ranked, never the answers
-    order = Window.orderBy(F.desc_nulls_last("score"))
-    return scored.withColumn("place", F.rank().over(order).cast("bigint"))
+    # a rank is the number of segments in better ranges plus the rank in its range,
+    # so no task sorts all segments
+    ranges = segments.filter(F.col("n") >= min_n).select(_range(score).alias("r")).groupBy("r").agg(F.count("*").alias("m"))
+    sizes = ranges.agg(F.collect_list(F.struct("r", "m"))).scalar()  # at most RANGES + 1 entries
+    better = F.aggregate(
+        F.filter("_sizes", lambda x: x["r"] > F.col("_range")), F.lit(0).cast("bigint"), lambda total, x: total + x["m"])
+    inside = F.rank().over(Window.partitionBy("_range").orderBy(F.desc_nulls_last("score")))
+    placed = scored.withColumns({"_range": _range(F.col("score")), "_sizes": sizes})
+    return placed.withColumn("place", (better + inside).cast("bigint")).drop("_range", "_sizes")
 
 
 def indicators(silver: DataFrame) -> DataFrame:
-    """Headline indicators per region, one row each, stacked."""
-    def part(name: str, base: Column, value: Column) -> DataFrame:
-        return groups.summarise(silver, ["region"], {"base": base, "value": value}).select(
-            F.lit(name).alias("indicator"), "region", "base", F.round("value", 4).alias("value")
-        )
-
-    mean_pay = F.try_divide(F.sum("pay").cast("double"), F.count("pay"))
-    remote = F.col("work_model") == "Remoto"
-    return union_indicators(
-        part("mean_pay", F.count("pay"), mean_pay),
-        part("ai_rate", F.count("ai_use"), F.avg(F.col("ai_use").cast("double"))),
-        part("remote_rate", F.count("work_model"), F.avg(remote.cast("double"))),
-    )
+    """Headline indicators per region, one row each: one aggregation of the answers, then stacked."""
+    remote = (F.col("work_model") == "Remoto").cast("double")
+    parts = {
+        "mean_pay": (F.count("pay"), F.try_divide(F.sum("pay").cast("double"), F.count("pay"))),
+        "ai_rate": (F.count("ai_use"), F.avg(F.col("ai_use").cast("double"))),
+        "remote_rate": (F.count("work_model"), F.avg(remote)),
+    }
+    wide = silver.groupBy("region").agg(*[
+        F.struct(F.lit(name).alias("indicator"), base.alias("base"), F.round(value, 4).alias("value")).alias(name)
+        for name, (base, value) in parts.items()
+    ])
+    return wide.select("region", F.inline(F.array(*parts))).select("indicator", "region", "base", "value")
 
 
 # --- all of them --------------------------------------------------------------

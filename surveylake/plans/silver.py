@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from surveylake.functions import list_size, split_list
+from surveylake.functions import list_size, split_list, standard
 from surveylake.operators.category import map_category
 from surveylake.operators.dedupe import dedupe
 from surveylake.operators.derive import add_aux, add_band
@@ -28,11 +28,15 @@ def build_silver(raw: DataFrame, rules: SilverRules = SilverRules()) -> DataFram
     here = set(raw.columns)
     df = no_issues(raw)
 
-    # trim, then "no answer" to NULL: before types, so that a missing value is
+    # "no answer" to NULL: before types, so that a missing value is
     # not reported as an unreadable one
-    df = df.withColumns({c: F.trim(c) for c in _NAMES if c in here})
     df = null_sentinels(df, [c for c in RAW_COLUMNS[1:] if c in here], rules.missing_words)
 
+    for c in _NAMES:
+        if c in here and c in rules.names:
+            df = map_category(df, c, rules.names[c])
+        elif c in here:
+            df = df.withColumn(c, standard(c))
     if "resp_id" in here:
         df = df.withColumn("resp_id", F.trim(F.col("resp_id").cast("string")).try_cast("bigint"))
     if "pay" in here:

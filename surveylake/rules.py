@@ -57,8 +57,6 @@ RAW_COLUMNS = (
 
 _text_list = T.ArrayType(T.StringType())
 
-RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
-
 SILVER_SCHEMA = T.StructType([
     T.StructField("resp_id", T.LongType()),
     T.StructField("edition", T.IntegerType()),
@@ -112,6 +110,9 @@ class SilverRules:
     """What ``build_silver`` applies; replace fields for another questionnaire."""
 
     missing_words: tuple = MISSING_WORDS
+    # column -> {key: label} or a DataFrame key, label; a column without a map gets
+    # one spelling per text key
+    names: dict = field(default_factory=dict)
     seniority: dict = field(default_factory=lambda: dict(SENIORITY))
     work_model: dict = field(default_factory=lambda: dict(WORK_MODEL))
     yes_no: dict = field(default_factory=lambda: dict(YES_NO))

@@ -65,7 +65,5 @@ def analyse(spark: SparkSession, lake: Lake, layer: str, name: str) -> None:
 
 
 def sql(spark: SparkSession, text: str, views: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """SQL over registered tables, and over DataFrames given as views."""
-    for name, df in (views or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(text)
+    """SQL over registered tables, and over DataFrames: the text names each in braces, as ``FROM {answers}``."""
+    return spark.sql(text, **(views or {}))

@@ -95,14 +95,44 @@ def test_fill_and_drop(spark):
     assert drop_missing(df, ["a", "b"], "all").count() == 2
 
 
-@pytest.mark.parametrize("max_rows", [100, 1])
-def test_group_values_join_either_way(spark, max_rows):
+def test_group_values_join(spark):
     df = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "g string, v int")
     values = df.groupBy("g").agg(F.max("v").alias("m"))
-    joined = join_group_values(df, values, ["g"], max_rows=max_rows)
+    joined = join_group_values(df, values, ["g"])
     assert rows(joined) == sorted([("a", 1, 1), (None, 2, 2), ("b", 3, 3)], key=str)
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert ("strategy=broadcast" in plan) == (max_rows == 100)
+    assert "strategy=broadcast" not in joined._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("size", [3, 5_000])
+def test_map_means_the_same_as_dict_and_as_table(spark, size):
+    named = [(f"Função  {i}", f"L{i % 7}", i) for i in range(size)]
+    df = spark.createDataFrame([("FUNCAO 1",), ("função\u00a02",), ("outra",), (None,)], "s string")
+    as_dict = map_category(df, "s", mapping_from_rows(named), "rank")
+    as_table = map_category(df, "s", spark.createDataFrame(named, "key string, label string, rank int"), "rank")
+    want = sorted([("L1", 1, []), ("L2", 2, []), (None, None, ["s"]), (None, None, [])], key=str)
+    assert rows(as_dict, "s", "rank", "issues") == rows(as_table, "s", "rank", "issues") == want
+
+
+def test_keys_that_become_one_are_refused(spark):
+    df = spark.createDataFrame([("x",)], "s string")
+    with pytest.raises(ValueError, match="given twice"):
+        map_category(df, "s", {"Júnior": "a", "junior ": "b"})
+
+
+@pytest.mark.parametrize("text, value", [
+    ("1234.56", None), ("1.2.3", None), ("1,239", None), ("R$\u00a010", Decimal("10.00")), ("r$ 1.234,5", Decimal("1234.50")),
+    ("-1,00", Decimal("-1.00")), ("12.345.678,90", Decimal("12345678.90")), ("", None), (None, None),
+])
+def test_money_is_read_or_refused(spark, text, value):
+    assert one(spark, to_money("c"), text) == value
+
+
+def test_money_with_a_dot(spark):
+    assert one(spark, to_money("c", point="."), "1,234.56") == Decimal("1234.56")
+
+
+def test_missing_words_and_blanks_inside_lists(spark):
+    assert one(spark, split_list("c"), "Power  BI; power bi;não  informado") == ["POWER BI"]
 
 
 def test_impute(spark):

@@ -6,7 +6,7 @@ from plan_text import scans
 from surveylake.checks.queries import FRONT_COLUMNS, QUERIES
 
 # Queries that put two tables, or three indicators, together by definition.
-SEVERAL_READS = {"silver_trace": 2, "gold_join_semi": 2, "gold_join_anti": 2, "gold_indicator_union": 3}
+SEVERAL_READS = {"silver_trace": 2, "gold_join_semi": 2, "gold_join_anti": 2}
 NO_SHUFFLE = (
     "silver_missing_sentinels", "silver_fill_constant", "silver_drop_missing", "silver_types_money",
     "silver_types_date", "silver_invalid_range", "silver_clamp", "silver_invalid_domain",
