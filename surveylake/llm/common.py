@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -40,3 +43,11 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes]:
     """UTF-8 bytes of each text; NULL is empty."""
     for value in batch.column(column).cast(pa.binary()):
         yield value.as_py() or b""
+
+
+def per_worker(name: str, make: Callable[[], Any]) -> Any:
+    """A cache that outlives a task: Spark keeps its Python workers, and functions come to them by value."""
+    held = sys.modules.setdefault("_surveylake_worker", types.ModuleType("_surveylake_worker")).__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]

@@ -14,47 +14,117 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from surveylake.llm.common import save, texts, words
+from surveylake.llm.common import per_worker, save, texts, words
 
 #: Ranks are counted in this many parts per length, so one hot length is no hot task.
 RANK_PARTS = 256
-#: Words whose ids a worker remembers before it starts anew.
-CACHED_WORDS = 400_000
+#: Words whose ids a worker remembers; it keeps as many of the generation before.
+CACHED_WORDS = 300_000
+#: Bytes of text that are cut into words at a time.
+CHUNK_BYTES = 4 << 20
+#: The pieces that the vocabulary's own splitter makes of a normalised text.
+SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^ \p{L}\p{N}]+"
+SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def _pieces(tokenizer_file: str, capacity: int, end_id: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def byte_characters() -> list[str]:
+    """The printable character that stands for each byte: itself, or the next free one from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(others)) for b in range(256)]
+
+
+class WordIds:
+    """Token ids of words, packed as unsigned 32-bit numbers.
+
+    White space never joins tokens in this vocabulary, so a text's ids are its
+    words' ids. New words are normalised, split and encoded many at a time.
+    """
+
+    def __init__(self, tokenizer_file: str):
+        import regex
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(tokenizer_file)
-        cache: dict[bytes, bytes] = {}
+        self.whole = Tokenizer.from_file(tokenizer_file)
+        self.merges = Tokenizer(self.whole.model)
+        self.split = regex.compile(SPLITTER).findall
+        self.character = byte_characters()
+        self.words: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def normalised(self, found: list[str]) -> list[str]:
+        out = self.whole.normalizer.normalize_str(" ".join(found)).split(" ")
+        return out if len(out) == len(found) else [self.whole.normalizer.normalize_str(w) for w in found]
+
+    def add(self, found: set[bytes]) -> None:
+        """From now on, until the next call, ``words`` has all of ``found``."""
+        if len(self.words) > CACHED_WORDS:
+            self.old, self.words = self.words, {}
+        if len(self.pieces) > CACHED_WORDS:
+            self.pieces = {}
+        new = []
+        for word in found:
+            if word not in self.words:
+                if word in self.old:
+                    self.words[word] = self.old[word]
+                elif any(x in word for x in SPECIAL):
+                    ids = self.whole.encode(word.decode(), add_special_tokens=False).ids
+                    self.words[word] = struct.pack(f"<{len(ids)}I", *ids)
+                else:
+                    new.append(word)
+        if not new:
+            return
+        parts = [self.split(w) for w in self.normalised([w.decode() for w in new])]
+        unseen = list(dict.fromkeys(p for ps in parts for p in ps if p not in self.pieces))
+        if unseen:
+            shown = [p if p.isascii() and p.isprintable() else "".join([self.character[b] for b in p.encode()]) for p in unseen]
+            coded = self.merges.encode(shown, is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(coded.ids, "<u4")
+            edges = np.searchsorted(np.array(coded.word_ids), np.arange(len(unseen) + 1))
+            raw = ids.tobytes()
+            self.pieces.update(zip(unseen, (raw[4 * a:4 * b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()))))
+        pieces = self.pieces
+        for word, ps in zip(new, parts):
+            self.words[word] = pieces[ps[0]] if len(ps) == 1 else b"".join([pieces[p] for p in ps])
+
+
+def _pieces(tokenizer_file: str, capacity: int, end_id: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = per_worker(f"words of {tokenizer_file}", lambda: WordIds(tokenizer_file))
         end, step = struct.pack("<I", end_id), 4 * capacity
-        for batch in batches:
+
+        def pieces(chunk: list[tuple[int, list[bytes]]]) -> pa.RecordBatch:
             out: tuple[list, ...] = ([], [], [], [], [])
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
-                # White space never joins tokens in this vocabulary, so words are encoded once each.
-                found = words(text)
-                new = [w for w in dict.fromkeys(found) if w not in cache]
-                if new:
-                    if len(cache) > CACHED_WORDS:
-                        cache.clear()
-                        new = list(dict.fromkeys(found))
-                    for word, coded in zip(new, tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-                        cache[word] = struct.pack(f"<{len(coded.ids)}I", *coded.ids)
-                ids = b"".join([cache[w] for w in found]) + end
+            encoder.add({w for _, found in chunk for w in found})
+            known = encoder.words
+            for doc_id, found in chunk:
+                ids = b"".join([known[w] for w in found]) + end
                 for piece, start in enumerate(range(0, len(ids), step)):
                     part = ids[start:start + step]
                     for column, value in zip(out, (doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part))):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
 
+        for batch in batches:
+            chunk, size = [], 0
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
+                chunk.append((doc_id, words(text)))
+                size += len(text)
+                if size >= CHUNK_BYTES:
+                    yield pieces(chunk)
+                    chunk, size = [], 0
+            if chunk:
+                yield pieces(chunk)
+
     return run
 
 
