@@ -167,18 +167,21 @@ answered AS (
 
 _BATCHES = """
 batches AS (
-  SELECT 1 AS _batch_id, resp_id, pay, seniority, ai_use FROM survey_raw
+  SELECT 1 AS _batch_id, CAST(resp_id AS BIGINT) * 4 AS _row_id, resp_id, pay, seniority, ai_use FROM survey_raw
   UNION ALL
-  SELECT 2, resp_id, CASE WHEN CAST(resp_id AS BIGINT) % 100 = 0 THEN '1000,00' ELSE pay END,
+  SELECT 1, CAST(resp_id AS BIGINT) * 4 + 1, resp_id, '10,00', seniority, ai_use
+  FROM survey_raw WHERE CAST(resp_id AS BIGINT) % 70 = 0
+  UNION ALL
+  SELECT 2, CAST(resp_id AS BIGINT) * 4 + 2, resp_id, CASE WHEN CAST(resp_id AS BIGINT) % 100 = 0 THEN '1000,00' ELSE pay END,
          seniority, ai_use
   FROM survey_raw WHERE CAST(resp_id AS BIGINT) % 50 = 0
   UNION ALL
-  SELECT 2, '', pay, seniority, ai_use FROM survey_raw WHERE CAST(resp_id AS BIGINT) % 1000 = 7
+  SELECT 2, CAST(resp_id AS BIGINT) * 4 + 3, '', pay, seniority, ai_use FROM survey_raw WHERE CAST(resp_id AS BIGINT) % 1000 = 7
 ),
 latest AS (
-  SELECT TRY_CAST(resp_id AS BIGINT) AS resp_id, _batch_id, pay, seniority
+  SELECT TRY_CAST(resp_id AS BIGINT) AS resp_id, _batch_id, _row_id, pay, seniority
   FROM batches WHERE TRY_CAST(resp_id AS BIGINT) IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY TRY_CAST(resp_id AS BIGINT) ORDER BY _batch_id DESC) = 1
+  QUALIFY row_number() OVER (PARTITION BY TRY_CAST(resp_id AS BIGINT) ORDER BY _batch_id DESC, _row_id DESC) = 1
 )"""
 
 
@@ -274,11 +277,11 @@ def _profile(c: str) -> str:
 ORACLE: dict[str, str] = {
     "bronze_scan": _raw("SELECT * FROM survey_raw"),
     "silver_trace": _batch(f"""
-SELECT l.resp_id, CAST(l._batch_id AS BIGINT) AS _batch_id,
+SELECT l.resp_id, CAST(l._batch_id AS BIGINT) AS _batch_id, l._row_id,
        CAST(CASE WHEN {_money(_known("l.pay"))} > 0 THEN {_money(_known("l.pay"))} END AS DOUBLE) AS pay,
        {_seniority("l.seniority")} AS seniority,
        b.resp_id AS raw_resp_id, b.pay AS raw_pay, b.seniority AS raw_seniority
-FROM latest l JOIN batches b ON TRY_CAST(b.resp_id AS BIGINT) = l.resp_id AND b._batch_id = l._batch_id"""),
+FROM latest l JOIN batches b ON b._row_id = l._row_id AND b._batch_id = l._batch_id"""),
     "silver_missing_sentinels": _raw(f"""
 SELECT resp_id, {", ".join(f"{_known(c)} AS {c}" for c in ("seniority", "pay", "langs"))} FROM survey_raw"""),
     "silver_missing_report": _raw(
@@ -365,7 +368,7 @@ FROM silver LEFT JOIN (
 SELECT resp_id, array_to_string({_list("langs")}, ';') AS langs FROM survey_raw"""),
     "silver_tech_long": _tech("SELECT resp_id, category, technology FROM tech"),
     "silver_dedupe": _batch("""
-SELECT CAST(_batch_id AS BIGINT) AS _batch_id, resp_id, seniority, pay FROM latest"""),
+SELECT CAST(_batch_id AS BIGINT) AS _batch_id, _row_id, resp_id, seniority, pay FROM latest"""),
     "silver_survey": _silver(f"""
 SELECT resp_id, edition, CAST(answered_at AS VARCHAR) AS answered_at, role, region, state, seniority,
        seniority_rank, CAST(pay AS DOUBLE) AS pay, pay_band, work_model, ai_use, n_tools, {_LISTS}

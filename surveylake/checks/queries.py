@@ -63,7 +63,7 @@ def bronze_scan(spark, sf):
 def silver_trace(spark, sf):
     bronze = survey_batches(spark, sf, ["resp_id", "pay", "seniority"])
     kept, _ = latest_answers(bronze)
-    silver = build_silver(kept).select("resp_id", "_batch_id", "pay", "seniority")
+    silver = build_silver(kept).select("resp_id", "_batch_id", "_row_id", "pay", "seniority")
     return trace(silver, bronze)
 
 

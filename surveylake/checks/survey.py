@@ -139,21 +139,22 @@ def survey_raw(
 
 
 def survey_batches(spark: SparkSession, sf_dir: str, columns: Sequence[str] = RAW_COLUMNS) -> DataFrame:
-    """Two deliveries: the second repeats, changes and un-keys some answers.
+    """Two deliveries: the first repeats some answers, the second repeats, changes and un-keys some.
 
-    Each answer gives its one to three copies by itself, so the survey is built once.
+    Each answer gives its one to four copies by itself, so the survey is built once.
     """
     columns = list(dict.fromkeys(["resp_id", "pay", *columns]))
     k = "CAST(resp_id AS BIGINT)"  # made from a number above
     copies = f"""inline(array_compact(array(
-        named_struct('_batch_id', 1, 'resp_id', resp_id, 'pay', pay),
-        CASE WHEN {k} % 50 = 0 THEN named_struct('_batch_id', 2, 'resp_id', resp_id,
+        named_struct('_batch_id', 1, '_row_id', 4 * {k}, 'resp_id', resp_id, 'pay', pay),
+        CASE WHEN {k} % 70 = 0 THEN named_struct('_batch_id', 1, '_row_id', 4 * {k} + 1, 'resp_id', resp_id, 'pay', '10,00') END,
+        CASE WHEN {k} % 50 = 0 THEN named_struct('_batch_id', 2, '_row_id', 4 * {k} + 2, 'resp_id', resp_id,
             'pay', CASE WHEN {k} % 100 = 0 THEN '1000,00' ELSE pay END) END,
-        CASE WHEN {k} % 1000 = 7 THEN named_struct('_batch_id', 2, 'resp_id', '', 'pay', pay) END
+        CASE WHEN {k} % 1000 = 7 THEN named_struct('_batch_id', 2, '_row_id', 4 * {k} + 3, 'resp_id', '', 'pay', pay) END
     )))"""
     rest = [c for c in RAW_COLUMNS if c in columns and c not in ("resp_id", "pay")]
     return survey_raw(spark, sf_dir, columns).selectExpr(copies, *rest).select(
-        "_batch_id", *[c for c in RAW_COLUMNS if c in columns]
+        "_batch_id", "_row_id", *[c for c in RAW_COLUMNS if c in columns]
     )
 
 

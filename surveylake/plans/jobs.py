@@ -18,14 +18,17 @@ from surveylake.rules import SilverRules
 from surveylake.session import get_session
 from surveylake.sources.catalog import register
 from surveylake.sources.lake import LAYERS, Lake, export_csv, read_table, write_table
-from surveylake.sources.raw import land_bronze, read_raw
+from surveylake.sources.raw import CORRUPT, land_bronze, read_raw
 
 
 def run_bronze(
-    spark: SparkSession, lake: Lake, raw: str, batch_id: int, multi_line: bool = False
+    spark: SparkSession, lake: Lake, raw: str, batch_id: int, multi_line: bool = False,
+    sep: str = ",", encoding: str = "UTF-8",
 ) -> None:
-    land_bronze(read_raw(spark, raw, multi_line=multi_line), lake, batch_id)
-    register(spark, lake, "bronze", "answers", "raw answers, every column text")
+    """Land a delivery whole: all columns of its headers, and lines that do not fit them in a column of their own."""
+    rows = read_raw(spark, raw, corrupt=CORRUPT, multi_line=multi_line, sep=sep, encoding=encoding)
+    land_bronze(rows, lake, batch_id)
+    register(spark, lake, "bronze", "answers", "raw answers, every column text", replace=True)
 
 
 def run_silver(
@@ -38,9 +41,10 @@ def run_silver(
     write_table(rejected, lake, "silver", "quarantine")
     answers = read_table(spark, lake, "silver", "answers")
     write_table(build_tech(answers), lake, "silver", "tech", rebalance=False)
-    register(spark, lake, "silver", "answers", "typed, standard answers, one per key")
-    register(spark, lake, "silver", "quarantine", "raw rows without a usable key")
-    register(spark, lake, "silver", "tech", "one row per answer, category and technology")
+    # columns may have changed since the last run, so the catalog follows the files
+    register(spark, lake, "silver", "answers", "typed, standard answers, one per key", replace=True)
+    register(spark, lake, "silver", "quarantine", "raw rows without a usable key", replace=True)
+    register(spark, lake, "silver", "tech", "one row per answer, category and technology", replace=True)
     if csv:
         for name in ("answers", "tech"):
             export_csv(read_table(spark, lake, "silver", name), lake.path("silver", f"{name}_csv"))
@@ -53,7 +57,7 @@ def run_gold(
     answers = read_table(spark, lake, "silver", "answers")
     for name in names or GOLD_TABLES:
         write_table(GOLD_TABLES[name](answers), lake, "gold", name)
-        register(spark, lake, "gold", name)
+        register(spark, lake, "gold", name, replace=True)
 
 
 def run_layer(spark: SparkSession, lake: Lake, layer: str, **options) -> None:
@@ -81,12 +85,15 @@ def main(args: Sequence[str] | None = None) -> None:
     parser.add_argument("--raw", help="folder of raw files (bronze)")
     parser.add_argument("--batch", type=int, help="number of the batch (bronze)")
     parser.add_argument("--multi-line", action="store_true", help="line breaks inside quotes")
+    parser.add_argument("--sep", default=",", help="separator of the raw files")
+    parser.add_argument("--encoding", default="UTF-8", help="encoding of the raw files")
     given = parser.parse_args(args)
     options = {}
     if given.layer == "bronze":
         if given.raw is None or given.batch is None:
             parser.error("bronze needs --raw and --batch")
-        options = {"raw": given.raw, "batch_id": given.batch, "multi_line": given.multi_line}
+        options = {"raw": given.raw, "batch_id": given.batch, "multi_line": given.multi_line,
+                   "sep": given.sep, "encoding": given.encoding}
     spark = get_session(f"surveylake-{given.layer}")
     run_layer(spark, Lake(given.lake), given.layer, **options)
 

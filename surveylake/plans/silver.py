@@ -63,9 +63,10 @@ def build_silver(raw: DataFrame, rules: SilverRules = SilverRules()) -> DataFram
 
 
 def latest_answers(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One raw answer per key, that of the latest batch; and the rows without a key."""
+    """One raw answer per key, the last landed of the latest batch; and the rows without a key."""
     keyed, rejected = split_quarantine(bronze, ["resp_id"])
-    return dedupe(keyed, ["resp_id"], ["_batch_id"]), rejected
+    order = [c for c in ("_batch_id", "_row_id") if c in bronze.columns]
+    return dedupe(keyed, ["resp_id"], order), rejected
 
 
 def build_tech(silver: DataFrame) -> DataFrame:

@@ -77,6 +77,7 @@ SILVER_SCHEMA = T.StructType([
     T.StructField("n_tools", T.IntegerType()),
     T.StructField("issues", _text_list),
     T.StructField("_batch_id", T.IntegerType()),
+    T.StructField("_row_id", T.LongType()),
 ])
 
 # Column comments of the data dictionary.
@@ -100,6 +101,7 @@ COMMENTS = {
     "n_tools": "number of technologies over the four lists",
     "issues": "columns whose answer was present but rejected",
     "_batch_id": "raw batch the row comes from",
+    "_row_id": "raw row in that batch",
     "category": "kind of technology",
     "technology": "technology name",
 }

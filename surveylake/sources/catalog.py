@@ -30,7 +30,7 @@ def register(
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {full}")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {full} USING parquet LOCATION {_text(lake.path(layer, name))}"
+        f"CREATE TABLE IF NOT EXISTS {full} USING parquet OPTIONS (mergeSchema 'true') LOCATION {_text(lake.path(layer, name))}"
     )
     columns = spark.catalog.listColumns(full)
     if any(c.isPartition for c in columns):

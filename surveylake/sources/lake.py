@@ -30,7 +30,8 @@ class Lake:
 
 
 def read_table(spark: SparkSession, lake: Lake, layer: str, name: str) -> DataFrame:
-    return spark.read.parquet(lake.path(layer, name))
+    """A table of the lake; batches of bronze may have different columns, and all are read."""
+    return spark.read.option("mergeSchema", layer == "bronze").parquet(lake.path(layer, name))
 
 
 def write_table(

@@ -12,7 +12,7 @@ from surveylake.plans.jobs import main, reprocess, run_bronze, run_gold, run_lay
 from surveylake.rules import RAW_COLUMNS, SILVER_SCHEMA
 from surveylake.sources.catalog import analyse, dictionary, register, sql
 from surveylake.sources.lake import Lake, export_csv, read_csv_export, read_table, write_batch, write_table
-from surveylake.sources.raw import CORRUPT, land_bronze, read_raw, trace
+from surveylake.sources.raw import CORRUPT, ORIGIN, land_bronze, read_raw, trace
 
 HEADER = ",".join(RAW_COLUMNS)
 
@@ -44,8 +44,9 @@ def test_csv_edges(spark, tmp_path):
         f.write('"(\'P1_a \', \'Idade\')",b,c\n"x, y","say ""hi""",ção\n"two\nlines","",\n')
     columns = ["('P1_a ', 'Idade')", "b", "c"]
     df = read_raw(spark, path, columns, multi_line=True)
-    assert df.columns == columns
-    got = [tuple(r) for r in df.collect()]
+    assert df.columns == [*columns, *ORIGIN]
+    got = [tuple(r)[:3] for r in df.collect()]
+    df = df.select(*[F.col(f"`{c}`") for c in columns])
     assert got[0] == ("x, y", 'say "hi"', "ção")
     assert got[1][0] == "two\nlines" and not got[1][1] and got[1][2] is None
     assert all(t == "string" for _, t in df.dtypes)
@@ -63,6 +64,32 @@ def test_unreadable_lines_stay_visible(spark, tmp_path):
     assert rows(df, "a", "b", CORRUPT) == sorted([("1", "x", None), ("2", None, "2"), ("3", "y", "3,y,z")], key=str)
 
 
+def test_landing_loses_nothing(spark, tmp_path, lake):
+    one, two = str(tmp_path / "in1"), str(tmp_path / "in2")
+    write(f"{one}/a.csv", "1,x", "2", "3,y,EXTRA", header="resp_id,role")
+    write(f"{one}/b.csv", "4,z,new answer", header="resp_id,role,Another question?")
+    write(f"{two}/c.csv", "5;ção", header="resp_id;state")
+    run_bronze(spark, lake, one, 1)
+    run_bronze(spark, lake, two, 2, sep=";")
+    bronze = read_table(spark, lake, "bronze", "answers")
+    assert {"resp_id", "role", "state", "Another question?", CORRUPT, "_row_id", "_batch_id", *ORIGIN} == set(bronze.columns)
+    got = {r["resp_id"]: r for r in bronze.collect()}
+    assert got["3"][CORRUPT] == "3,y,EXTRA" and got["2"][CORRUPT] == "2" and got["1"][CORRUPT] is None
+    assert got["4"]["Another question?"] == "new answer" and got["5"]["state"] == "ção" and got["5"]["role"] is None
+    assert len({(r["_batch_id"], r["_row_id"]) for r in got.values()}) == 5
+    assert "Another question?" in spark.table(f"{lake.database('bronze')}.answers").columns
+
+
+def test_trace_is_exact_for_repeats_in_a_batch(spark, tmp_path, lake):
+    raw = str(tmp_path / "in")
+    write(f"{raw}/a.csv", line(1), line(1, pay="20,00"))
+    run_bronze(spark, lake, raw, 1)
+    run_silver(spark, lake, csv=False)
+    bronze, silver = read_table(spark, lake, "bronze", "answers"), read_table(spark, lake, "silver", "answers")
+    traced = [(int(r["pay"]), r["raw_pay"]) for r in trace(silver, bronze).collect()]
+    assert traced == [(20, "20,00")]
+
+
 def test_landing_keeps_the_origin_and_replaces_one_batch(spark, tmp_path, lake):
     a = write(str(tmp_path / "in1" / "a.csv"), line(1), line(2))
     b = write(str(tmp_path / "in2" / "b.csv"), line(3))
