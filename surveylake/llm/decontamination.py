@@ -26,7 +26,8 @@ BLOCK_ITEMS = 4_096
 #: Hashed features: bounds the matrix of the SVD.
 FEATURES = 1 << 14
 RANK, OVERSAMPLE = 96, 16
-#: Documents, by hash of the id, whose passages the SVD is fitted on, together with all items of the block.
+#: About so many documents, by hash of the id, and twice as many at most, give the passages that the SVD is fitted on,
+#: together with all items of the block.
 FIT_DOCS = 4_000
 FIT_PARTS = 8
 #: A passage is three strides of words, so items of up to two strides lie in one whole.
@@ -171,7 +172,9 @@ def latent_space(sample: DataFrame, items: list[tuple[np.ndarray, np.ndarray]],
 def _search(vocabulary: frozenset, table: np.ndarray, latent: np.ndarray, owners: list, parts: list, answers: dict):
     latent = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
 
-    def candidates(found: list[bytes], codes: np.ndarray) -> Iterator[tuple[int, int, float]]:
+    features = [[feature(w) for w in part] for part in parts]
+
+    def candidates(codes: np.ndarray) -> Iterator[tuple[int, int, float]]:
         vectors = passages(stride_vectors(codes, table))
         for low in range(0, len(vectors), 4_096):
             part = vectors[low:low + 4_096]
@@ -192,9 +195,15 @@ def _search(vocabulary: frozenset, table: np.ndarray, latent: np.ndarray, owners
                     continue
                 coded = np.fromiter(map(codes.__getitem__, found), np.int64, len(found))
                 best: dict = {}
-                for p, s, cosine in candidates(found, coded):
+                here, near, inside = -1, None, frozenset()
+                for p, s, cosine in candidates(coded):
                     first = p * STRIDE
-                    near = list(map(plain, found[first:first + STRIDE * STRIDES]))
+                    if p != here:
+                        here, near, inside = p, None, frozenset(coded[first:first + STRIDE * STRIDES].tolist())
+                    # no subsequence is longer than the item's words that the passage has at all
+                    if sum(map(inside.__contains__, features[s])) < MIN_COMMON * len(parts[s]):
+                        continue
+                    near = near or list(map(plain, found[first:first + STRIDE * STRIDES]))
                     common = common_subsequence(parts[s], near) / len(parts[s])
                     if common < MIN_COMMON:
                         continue
@@ -247,7 +256,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total = docs.count()
-    sample = save(docs.where("text IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCS).repartition(FIT_PARTS))
+    share = min(1.0, FIT_DOCS / max(total, 1))
+    chosen = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(1 << 30)) < int(share * (1 << 30))
+    sample = save(docs.where("text IS NOT NULL").where(chosen).limit(2 * FIT_DOCS).repartition(FIT_PARTS))
     queries = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL").distinct().orderBy("item_id", "text")
     rows = ((r["item_id"], item_words(r["text"].encode())) for r in queries.toLocalIterator())
     rows = (x for x in rows if x[1])

@@ -24,7 +24,7 @@ from surveylake.llm.common import per_worker, save, texts, words
 #: Ranks are counted in this many parts per length, so one hot length is no hot task.
 RANK_PARTS = 256
 #: Words whose ids a worker remembers; it keeps as many of the generation before.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 #: Bytes of text that are cut into words at a time.
 CHUNK_BYTES = 4 << 20
 #: The pieces that the vocabulary's own splitter makes of a normalised text.
