@@ -4,6 +4,8 @@ from __future__ import annotations
 
 # --- common tables ------------------------------------------------------------
 
+# survey_raw and what is cleaned from it are stated MATERIALIZED: read in several places
+# otherwise, the engine here fails with an internal error.
 _RAW = """
 tools AS (
   SELECT l_orderkey,
@@ -451,6 +453,13 @@ SELECT resp_id, role, work_model FROM silver WHERE EXISTS (
     "gold_join_anti": _tech("""
 SELECT resp_id, role, work_model FROM silver WHERE NOT EXISTS (
   SELECT 1 FROM tech t WHERE t.resp_id = silver.resp_id AND category = 'db' AND technology = 'BLUE')"""),
+    "gold_join_inner": _tech("""
+SELECT s.resp_id, role, work_model, category, technology FROM silver s JOIN tech t ON t.resp_id = s.resp_id"""),
+    "gold_join_left": _tech("""
+SELECT s.resp_id, role, category, technology
+FROM silver s LEFT JOIN (SELECT * FROM tech WHERE category = 'lang') t ON t.resp_id = s.resp_id"""),
+    "silver_schema_contract": _raw("""
+SELECT CAST(resp_id AS BIGINT) AS resp_id, role, CAST(2 AS BIGINT) AS seniority_rank FROM survey_raw"""),
     "gold_indicator_union": _silver(f"""
 SELECT 'mean_pay' AS indicator, region, count(pay) AS base, round({_mean("pay")}, 4) AS value
 FROM silver GROUP BY region
@@ -498,6 +507,11 @@ FROM (SELECT *, lag(median) OVER (ORDER BY seniority_rank) AS below FROM (
 SELECT CAST(grouping(region, state) AS BIGINT) AS level, region, state, count(*) AS n,
        {_pct("count(*)", "(SELECT count(*) FROM silver)")} AS pct
 FROM silver GROUP BY ROLLUP (region, state)"""),
+    "f3_seniority_region": _answered_crosstab("region", "seniority"),
+    "f3_pay_state": _silver(f"""
+SELECT state, count(pay) AS n, round({_mean("pay")}, 4) AS mean,
+       {_quantile("pay", 0.25)} AS p25, {_quantile("pay", 0.5)} AS p50, {_quantile("pay", 0.75)} AS p75
+FROM silver GROUP BY state"""),
     "f3_work_model_region": _answered_crosstab("region", "work_model"),
     "f3_work_model_role": _answered_crosstab("role", "work_model"),
     "f3_work_model_seniority": _answered_crosstab("seniority", "work_model"),
@@ -524,6 +538,8 @@ FROM (SELECT *, max(median) OVER (PARTITION BY region) AS best FROM (
     ) + " QUALIFY place <= 3",
     "f4_tech_seniority": _tech_counts("seniority", "seniority IS NOT NULL"),
     "f4_tech_role": _tech_counts("role"),
+    "f4_tech_work_model": _tech_counts("work_model", "work_model IS NOT NULL"),
+    "f4_tech_state": _tech_counts("state"),
     "f4_maturity": _silver("""
 SELECT seniority, count(*) AS n, round(avg(CAST(n_tools AS DOUBLE)), 4) AS mean_tools,
        round(avg(CAST((langs IS NOT NULL)::INT + (bi_tools IS NOT NULL)::INT
@@ -546,6 +562,9 @@ JOIN (SELECT category, {_mean("pay")} AS overall FROM answered JOIN silver USING
   USING (category)"""),
     "f5_ai_rate": _silver(_one_way(_DIMS, """count(ai_use) AS base, count(*) FILTER (ai_use) AS hits,
   round(avg(CAST(ai_use AS DOUBLE)), 4) AS rate""")),
+    "f5_ai_state": _silver("""
+SELECT state, count(ai_use) AS base, count(*) FILTER (ai_use) AS hits, round(avg(CAST(ai_use AS DOUBLE)), 4) AS rate
+FROM silver GROUP BY state"""),
     "f5_ai_pay": _silver("""
 SELECT seniority, n_with, n_without, round(w, 4) AS median_with, round(wo, 4) AS median_without,
        round(w - wo, 4) AS gap, round((w - wo) * 100 / wo, 4) AS gap_pct

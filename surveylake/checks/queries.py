@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from surveylake.checks.survey import survey_batches, survey_raw, survey_silver, survey_tech
 from surveylake.functions import join_list, split_list, text_key, to_flag, to_int, to_money
 from surveylake.operators import groups, indicators
 from surveylake.operators.category import map_category, unmapped
-from surveylake.operators.combine import not_using, using
+from surveylake.operators.combine import not_using, using, with_technologies
 from surveylake.operators.crosstab import crosstab, crosstab_wide
 from surveylake.operators.derive import add_aux, add_band, add_quantile_band, organise
 from surveylake.operators.invalid import check_domain, check_range, quarantine_report
@@ -24,11 +24,11 @@ from surveylake.operators.missing import (
 )
 from surveylake.operators.quantiles import quantiles
 from surveylake.operators.ranking import top_k
-from surveylake.operators.typed import to_date_fmt, to_decimal_br
+from surveylake.operators.typed import enforce_schema, to_date_fmt, to_decimal_br
 from surveylake.plans import fronts
 from surveylake.plans.silver import build_silver, latest_answers
 from surveylake.rules import (
-    NO_PAY, PAY_EDGES, PAY_LABELS, RAW_COLUMNS, SENIORITY, TECH_CATEGORIES, WORK_MODEL,
+    NO_PAY, PAY_EDGES, PAY_LABELS, RAW_COLUMNS, SENIORITY, SILVER_SCHEMA, TECH_CATEGORIES, WORK_MODEL,
 )
 from surveylake.sources.raw import trace
 from surveylake.sources.catalog import sql
@@ -339,6 +339,23 @@ def gold_join_anti(spark, sf):
     return not_using(answers, survey_tech(spark, sf), "db", "BLUE")
 
 
+def gold_join_inner(spark, sf):
+    answers = survey_silver(spark, sf, ["resp_id", "role", "work_model"])
+    return with_technologies(answers, survey_tech(spark, sf))
+
+
+def gold_join_left(spark, sf):
+    answers = survey_silver(spark, sf, ["resp_id", "role"])
+    tech = survey_tech(spark, sf).filter(F.col("category") == "lang")
+    return with_technologies(answers, tech, "left")
+
+
+def silver_schema_contract(spark, sf):
+    raw = survey_raw(spark, sf, ["resp_id", "role", "answered_at"]).withColumn("seniority_rank", F.lit(" 2 "))
+    contract = T.StructType([f for f in SILVER_SCHEMA if f.name in ("resp_id", "role", "seniority_rank")])
+    return enforce_schema(raw, contract)
+
+
 def gold_indicator_union(spark, sf):
     return fronts.indicators(survey_silver(spark, sf, ["region", "pay", "ai_use", "work_model"]))
 
@@ -364,15 +381,20 @@ FRONT_COLUMNS = {
     "f3_work_model_seniority": ("seniority", "work_model"),
     "f3_diversity": ("region", "role"),
     "f3_pay_region_model": ("region", "work_model", "pay"),
+    "f3_pay_state": ("state", "pay"),
+    "f3_seniority_region": ("region", "seniority"),
     "f4_adoption": _TECH,
     "f4_top_tech": _TECH,
     "f4_top_tech_region": ("region", *_TECH),
     "f4_tech_seniority": ("seniority", *_TECH),
     "f4_tech_role": ("role", *_TECH),
+    "f4_tech_work_model": ("work_model", *_TECH),
+    "f4_tech_state": ("state", *_TECH),
     "f4_maturity": ("seniority", "n_tools", *_TECH),
     "f4_tech_pairs": _TECH,
     "f4_pay_tech": ("pay", *_TECH),
     "f5_ai_rate": ("role", "seniority", "region", "work_model", "ai_use"),
+    "f5_ai_state": ("state", "ai_use"),
     "f5_ai_pay": ("seniority", "ai_use", "pay"),
     "f5_ai_tech_lift": ("ai_use", "langs", "bi_tools", "databases", "clouds"),
     "f5_opportunity": ("role", "region", "seniority", "pay", "ai_use"),
@@ -395,7 +417,8 @@ _OPERATORS = (
     gold_filter, gold_group, gold_aggregates, gold_quantiles, gold_distinct,
     gold_crosstab, gold_crosstab_wide, gold_grouping_sets, gold_rollup, gold_cube,
     gold_rate, gold_index, gold_cramers_v, gold_correlation, gold_lift, gold_top_k,
-    gold_top_k_per_group, gold_join_semi, gold_join_anti, gold_indicator_union,
+    gold_top_k_per_group, gold_join_semi, gold_join_anti, gold_join_inner, gold_join_left,
+    silver_schema_contract, gold_indicator_union,
 )
 
 

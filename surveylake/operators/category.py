@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from surveylake.functions import key_of, text_key
@@ -34,8 +35,12 @@ def lookup_table(spark: SparkSession, mapping: Mapping | DataFrame) -> DataFrame
     """``_key, _label, _rank``, one row per key in text form; a repeated key stops the job instead of doubling answers."""
     if not isinstance(mapping, DataFrame):
         rows = _rows(mapping)
-        kind = "boolean" if rows and all(isinstance(label, bool) for _, label, _ in rows) else "string"
-        return spark.createDataFrame(rows, f"_key string, _label {kind}, _rank int")
+        keys, labels, ranks = zip(*rows) if rows else ((), (), ())
+        kind = pa.bool_() if rows and all(isinstance(x, bool) for x in labels) else pa.string()
+        # an Arrow table is part of the plan, so Spark knows its size
+        return spark.createDataFrame(pa.table({
+            "_key": pa.array(keys, pa.string()), "_label": pa.array(labels, kind), "_rank": pa.array(ranks, pa.int32()),
+        }))
     rank = F.col("rank").cast("int") if "rank" in mapping.columns else F.lit(None).cast("int")
     once = F.count("*") == 1
     twice = F.raise_error(F.concat(F.lit("category key given twice: "), F.col("_key")))

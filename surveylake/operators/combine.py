@@ -22,6 +22,13 @@ def not_using(answers: DataFrame, tech: DataFrame, category: str, technology: st
     return answers.join(_users(tech, category, technology), "resp_id", "left_anti")
 
 
+def with_technologies(answers: DataFrame, tech: DataFrame, how: str = "inner") -> DataFrame:
+    """Answers with a row per technology they name; ``left`` keeps those that name none, with NULL."""
+    if how not in ("inner", "left"):
+        raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
+    return answers.join(tech.select("resp_id", "category", "technology"), "resp_id", how)
+
+
 def union_indicators(*tables: DataFrame) -> DataFrame:
     """Stack tables by column name; a column missing in one is NULL there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)

@@ -20,10 +20,13 @@ def number_stats(col: str) -> dict[str, Column]:
     }
 
 
-def _measures(measures: Mapping[str, Column] | None, distinct: str | None) -> list[Column]:
+def _measures(
+    measures: Mapping[str, Column] | None, distinct: str | None, exact: bool = True
+) -> list[Column]:
     out = [F.count("*").alias("n")]
     if distinct:
-        out.append(F.count_distinct(F.col(distinct)).alias(f"{distinct}_distinct"))
+        count = F.count_distinct if exact else F.approx_count_distinct
+        out.append(count(F.col(distinct)).alias(f"{distinct}_distinct"))
     return out + [c.alias(name) for name, c in (measures or {}).items()]
 
 
@@ -33,9 +36,13 @@ def summarise(
     measures: Mapping[str, Column] | None = None,
     distinct: str | None = None,
     min_n: int = 1,
+    exact: bool = True,
 ) -> DataFrame:
-    """Rows per group and the given aggregates; groups under ``min_n`` are hidden."""
-    out = df.groupBy(*by).agg(*_measures(measures, distinct))
+    """Rows per group and the given aggregates; groups under ``min_n`` are hidden.
+
+    ``exact=False`` estimates the distinct values, with a state of fixed size per group.
+    """
+    out = df.groupBy(*by).agg(*_measures(measures, distinct, exact))
     return out.filter(F.col("n") >= min_n) if min_n > 1 else out
 
 

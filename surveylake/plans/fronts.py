@@ -123,6 +123,15 @@ def location(silver: DataFrame) -> DataFrame:
     return table.withColumn("pct", percent(F.col("n"), total))
 
 
+def pay_state(silver: DataFrame, exact: bool = True) -> DataFrame:
+    table = quantiles(silver, ["state"], "pay", QUARTILES, exact=exact)
+    return _rounded(table, ["mean", *QUARTILES])
+
+
+def seniority_region(silver: DataFrame) -> DataFrame:
+    return crosstab(silver, "region", "seniority", answered_only=True)
+
+
 def work_model_region(silver: DataFrame) -> DataFrame:
     return crosstab(silver, "region", "work_model", answered_only=True)
 
@@ -199,6 +208,14 @@ def tech_role(silver: DataFrame) -> DataFrame:
     return _tech_counts(silver, ["role"])
 
 
+def tech_work_model(silver: DataFrame) -> DataFrame:
+    return _tech_counts(_answered(silver, "work_model"), ["work_model"])
+
+
+def tech_state(silver: DataFrame) -> DataFrame:
+    return _tech_counts(silver, ["state"])
+
+
 def maturity(silver: DataFrame) -> DataFrame:
     """Technologies named, and categories answered, per seniority."""
     answered = [F.col(c).isNotNull().cast("int") for c in TECH_CATEGORIES]
@@ -278,6 +295,10 @@ def ai_rate(silver: DataFrame) -> DataFrame:
     return groups.one_way(silver, dims, rate_measures("ai_use")).drop("n")
 
 
+def ai_state(silver: DataFrame) -> DataFrame:
+    return silver.groupBy("state").agg(*[c.alias(name) for name, c in rate_measures("ai_use").items()])
+
+
 def ai_pay(silver: DataFrame, exact: bool = True) -> DataFrame:
     """Median pay with and without AI use, per seniority, and the gap."""
     by = ["seniority", "ai_use"]
@@ -381,15 +402,20 @@ GOLD_TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "f3_work_model_seniority": work_model_seniority,
     "f3_diversity": region_diversity,
     "f3_pay_region_model": pay_region_model,
+    "f3_pay_state": pay_state,
+    "f3_seniority_region": seniority_region,
     "f4_adoption": adoption,
     "f4_top_tech": top_tech,
     "f4_top_tech_region": top_tech_region,
     "f4_tech_seniority": tech_seniority,
     "f4_tech_role": tech_role,
+    "f4_tech_work_model": tech_work_model,
+    "f4_tech_state": tech_state,
     "f4_maturity": maturity,
     "f4_tech_pairs": tech_pairs,
     "f4_pay_tech": pay_tech,
     "f5_ai_rate": ai_rate,
+    "f5_ai_state": ai_state,
     "f5_ai_pay": ai_pay,
     "f5_ai_tech_lift": ai_tech_lift,
     "f5_opportunity": opportunity,
