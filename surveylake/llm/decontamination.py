@@ -29,7 +29,7 @@ RANK, OVERSAMPLE = 96, 16
 #: About so many documents, by hash of the id, and twice as many at most, give the passages that the SVD is fitted on,
 #: together with all items of the block.
 FIT_DOCS = 4_000
-FIT_PARTS = 8
+FIT_PARTS = 4
 #: A passage is three strides of words, so items of up to two strides lie in one whole.
 STRIDE, STRIDES = 32, 3
 MIN_COSINE = 0.4
@@ -138,14 +138,15 @@ def _word_rows(codes: np.ndarray, idf: np.ndarray) -> list[tuple[np.ndarray, np.
 def _gram(vocabulary: frozenset, idf: np.ndarray, basis: np.ndarray):
     """Each task's part of (AtA) basis, A the TF-IDF passages, and its squared norm."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, total, rows = Codes(vocabulary), np.zeros(basis.shape), 0
+        codes, total, rows = Codes(vocabulary), np.zeros(basis.shape, np.float32), 0
         for batch in batches:
             for text in texts(batch):
                 found = np.fromiter(map(codes.__getitem__, words(text.translate(LOWER))), np.int64)
                 for at, weight in _word_rows(found, idf):
                     total[at] += np.outer(weight, weight @ basis[at])
                     rows += 1
-        yield pa.RecordBatch.from_arrays([pa.array([total.astype("<f4").tobytes()]), pa.array([rows], pa.int64())], ["total", "rows"])
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()]), pa.array([rows], pa.int64())], ["total", "rows"])
 
     return run
 
@@ -154,8 +155,9 @@ def latent_space(sample: DataFrame, items: list[tuple[np.ndarray, np.ndarray]],
     """FEATURES x RANK right singular vectors of the sample's passages and the items, which weigh as much as the passages."""
     def product(basis: np.ndarray) -> np.ndarray:
         total, rows = np.zeros(basis.shape), 0
-        for part in sample.mapInArrow(_gram(vocabulary, idf, basis), "total binary, rows long").collect():  # FIT_PARTS blobs
-            total += np.frombuffer(part["total"], "<f4").reshape(basis.shape)
+        sent = basis.astype(np.float32)
+        for part in sample.coalesce(FIT_PARTS).mapInArrow(_gram(vocabulary, idf.astype(np.float32), sent), "total binary, rows long").collect():  # FIT_PARTS blobs
+            total += np.frombuffer(part["total"], np.float32).reshape(basis.shape)
             rows += part["rows"]
         scale = max(1.0, rows / max(1, len(items)))
         for at, weight in items:
