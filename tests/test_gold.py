@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from surveylake.checks.survey import survey_silver, survey_tech
-from surveylake.operators import groups, indicators
+from surveylake.operators import combine, groups, indicators
 from surveylake.operators.combine import not_using, union_indicators, using
 from surveylake.operators.crosstab import crosstab, crosstab_wide
 from surveylake.operators.ranking import top_k
+from surveylake.plans import fronts
 from surveylake.plans.fronts import GOLD_TABLES, indicators as headline, tech_pairs
 from surveylake.rules import SILVER_SCHEMA
 
@@ -159,3 +160,27 @@ def test_profile_estimates(silver):
 def test_stacking_tables_with_different_columns(spark):
     a, b = spark.createDataFrame([(1, 2)], "x int, y int"), spark.createDataFrame([(3,)], "x int")
     assert sorted(map(tuple, union_indicators(a, b).collect()), key=str) == [(1, 2), (3, None)]
+
+
+def test_change_is_against_the_edition_before_in_the_survey(spark):
+    df = spark.createDataFrame(
+        [("a", 2019), ("a", 2021), ("a", 2021), ("b", 2020)], "role string, edition int")
+    got = sorted(tuple(r)[:5] for r in fronts.edition_change(df).collect())
+    assert got == [
+        ("a", 2019, 1, None, None), ("a", 2020, 0, 1, -1), ("a", 2021, 2, 0, 2),
+        ("b", 2019, 0, None, None), ("b", 2020, 1, 0, 1), ("b", 2021, 0, 1, -1)]
+
+
+def test_distinct_values_may_be_estimated(spark):
+    df = spark.range(2_000).selectExpr("id % 2 AS g", "id AS v")
+    for r in groups.summarise(df, ["g"], distinct="v", exact=False).collect():
+        assert abs(r["v_distinct"] - 1_000) < 150
+
+
+def test_technologies_join_either_way(spark):
+    answers = spark.createDataFrame([(1, "a"), (2, "b")], "resp_id long, role string")
+    tech = spark.createDataFrame([(1, "lang", "SQL"), (1, "lang", "R")], "resp_id long, category string, technology string")
+    assert combine.with_technologies(answers, tech).count() == 2
+    assert combine.with_technologies(answers, tech, "left").count() == 3
+    with pytest.raises(ValueError):
+        combine.with_technologies(answers, tech, "cross")

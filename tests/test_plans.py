@@ -44,6 +44,12 @@ def test_windows_run_over_aggregated_rows(plans, name):
             assert any("Aggregate(" in below for below in lines[i + 1:])
 
 
+def test_segments_are_not_ranked_in_one_task(plans):
+    lines = plans("f5_opportunity").splitlines()
+    windows = [i for i, text in enumerate(lines) if "Window [" in text]
+    assert windows and not any("SinglePartition" in below for i in windows for below in lines[i + 1:i + 7])
+
+
 @pytest.mark.parametrize("name", sorted(FRONT_COLUMNS))
 def test_only_the_needed_tables_are_read(plans, name):
     plan, columns = plans(name), set(FRONT_COLUMNS[name])
