@@ -31,6 +31,11 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(scope="session")
+def testdata():
+    return TESTDATA
+
+
 @pytest.fixture(scope="session")
 def small():
     return f"{TESTDATA}/sf0.001"

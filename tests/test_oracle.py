@@ -31,12 +31,11 @@ def test_entry_runs(spark):
     assert df.count() == 5
 
 
-def test_known_answers(spark):
+def test_known_answers(spark, testdata):
     """Counts given with the fixture's description, at sf0.01."""
-    from conftest import TESTDATA
     from pyspark.sql import functions as F
     from surveylake.checks.survey import survey_silver
 
-    silver = survey_silver(spark, f"{TESTDATA}/sf0.01", ["resp_id", "pay", "work_model", "ai_use"])
+    silver = survey_silver(spark, f"{testdata}/sf0.01", ["resp_id", "pay", "work_model", "ai_use"])
     row = silver.agg(F.count("*"), F.count("pay"), F.count("work_model"), F.count("ai_use")).first()
     assert tuple(row) == (15_000, 13_936, 14_594, 14_743)
