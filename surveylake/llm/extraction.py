@@ -3,10 +3,12 @@
 A page becomes text blocks, each under its path of block tags from the root. For
 every path, text length and punctuation are added up and divided by the number of
 its blocks; both ratios are smoothed over the parent and sibling paths and fused,
-and paths over a threshold hold content. The container that holds nearly all of
-the content's weight is the article: its blocks are the text, short ones too.
-Menus, forms, notices, comments and the like are known by tag, role or class and
-take no part.
+and paths over a threshold hold content, as does any path with a sentence or a main
+heading, however long the page's other paths are. If nearly all of the content's
+weight lies in article or main elements, they are the article; else it is the
+innermost container of all content paths. All blocks in it are the text, short
+ones too. Menus, forms, notices, comments and the like are known by tag, role or
+class and take no part.
 """
 
 from __future__ import annotations
@@ -46,7 +48,11 @@ ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|aria-hidden)\s*(?:=\s*(?:\"
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
 SIBLING, PARENT = math.exp(-2.0), math.exp(-0.5)
 THRESHOLD = 0.25
+#: Score of a block that is content on its own: 60 characters with a mark, or 120 without.
+SENTENCE = 120
+#: Share of the content's weight that article and main elements must hold to be the article.
 HOLDS = 0.8
+MARKED = frozenset(("article", "main"))
 
 
 def _furniture(tag: str, attributes: str, path: tuple) -> bool:
@@ -121,11 +127,14 @@ def blocks(page: str) -> list[tuple[tuple, str]]:
 
 
 def content_paths(found: list[tuple[tuple, str]]) -> dict[tuple, float]:
-    """Paths whose fused ratio reaches the threshold, with the length of their text."""
+    """Paths whose fused ratio reaches the threshold, or with a sentence or main heading of their own, with the length of their text."""
     length, marks, nodes = defaultdict(float), defaultdict(float), defaultdict(float)
     family: dict[tuple, list[float]] = defaultdict(lambda: [0.0, 0.0, 0.0])
+    sure = set()
     for path, text in found:
         size, points = len(text), len(PUNCTUATION.findall(text))
+        if size * (1 + points) >= SENTENCE or "h1" in path:
+            sure.add(path)
         for table, x in ((length, size), (marks, points), (nodes, 1)):
             table[path] += x
         for k, x in enumerate((size, points, 1)):
@@ -137,7 +146,7 @@ def content_paths(found: list[tuple[tuple, str]]) -> dict[tuple, float]:
         near = [x + SIBLING * (f - x) + PARENT * t.get(up, 0.0) * (up != path) for x, f, t in zip(own, family[up], (length, marks, nodes))]
         score[path] = near[0] / near[2] * (1 + near[1] / near[2])
     limit = THRESHOLD * max(score.values(), default=0.0)
-    return {path: length[path] for path, x in score.items() if x >= limit}
+    return {path: length[path] for path, x in score.items() if x >= limit or path in sure}
 
 
 def main_text(page: str) -> str:
@@ -146,18 +155,14 @@ def main_text(page: str) -> str:
     chosen = content_paths(found)
     if not chosen:
         return ""
-    total = sum(chosen.values())
-    container: tuple = ()
-    while True:
-        under: dict[tuple, float] = defaultdict(float)
-        for path, weight in chosen.items():
-            if len(path) > len(container) + 1 and path[:len(container)] == container:
-                under[path[:len(container) + 1]] += weight
-        best = max(under, key=under.get, default=None)
-        if best is None or under[best] < HOLDS * total:
-            break
-        container = best
-    return "\n".join(text for path, text in found if path[:len(container)] == container)
+    marked = sum(weight for path, weight in chosen.items() if not MARKED.isdisjoint(path))
+    if marked >= HOLDS * sum(chosen.values()):
+        return "\n".join(text for path, text in found if not MARKED.isdisjoint(path))
+    low, high = min(chosen), max(chosen)  # what these share, all share
+    depth = 0
+    while depth < min(len(low), len(high)) - 1 and low[depth] == high[depth]:
+        depth += 1
+    return "\n".join(text for path, text in found if path[:depth] == low[:depth])
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -84,6 +84,24 @@ def test_main_text():
     assert main_text("plain &lt;text&gt;") == "plain <text>"
 
 
+SHORT = "Some words of the story, in short. " * 9
+LONG = "A long quotation, with many marks, of one voice: yes, so it is. " * 25
+
+
+def test_main_text_keeps_all_of_the_article():
+    quoted = ["The title"] + [f"{k} {SHORT}".strip() for k in range(6)] + [LONG.strip()]
+    inner = f"<h1>{quoted[0]}</h1>" + "".join(f"<p>{x}</p>" for x in quoted[1:7]) + f"<blockquote><p>{LONG}</p></blockquote>"
+    for page in (f"<body><nav>Menu</nav><article>{inner}</article>", f"<body><div class=ad>Buy</div><div>{inner}</div>", f"<main>{inner}</main>"):
+        assert main_text(page).split("\n") == quoted
+    nested = "<article><h1>T</h1><p>Lead</p><div>" + f"<p>{LONG}</p>" * 3 + "<ul><li>one<li>two</ul></div><p>End</p></article>"
+    assert main_text(nested).split("\n") == ["T", "Lead", *[LONG.strip()] * 3, "one", "two", "End"]
+    assert main_text(nested.replace("article", "section")).split("\n") == ["T", "Lead", *[LONG.strip()] * 3, "one", "two", "End"]
+    two = f"<div><article><p>{LONG}</p></article></div><section><article><p>{SHORT}</p></article></section><div>Menu</div>"
+    assert main_text(two).split("\n") == [LONG.strip(), SHORT.strip()]
+    loose = "<body><div>" + "<div>x</div>" * 60 + f"<div>{SHORT}</div></div><div><section><div>" + f"<p>{LONG}</p>" * 5 + "</div></section></div>"
+    assert SHORT.strip() in main_text(loose)
+
+
 def test_pages_keep_their_rows(spark, table):
     odd = spark.createDataFrame([(1, "u", None, 5), (None, None, "", 5), (1, "u", PAGE * 50, 5)], "page_id long, url string, html string, text int")
     rows = extract(odd).collect()
