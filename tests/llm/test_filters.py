@@ -9,7 +9,7 @@ from surveylake.llm import quality as q
 
 from surveylake.llm.decontamination import common_subsequence, contaminated, segments
 from surveylake.llm.extraction import extract, main_text
-from surveylake.llm.licences import scan_licences
+from surveylake.llm.licences import TEMPLATES, scan_licences
 from surveylake.llm.lines import dedup_lines, windows, without
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -169,6 +169,17 @@ def test_licence_base_is_brute_force(spark, table, edge, empty):
     assert scan_licences(edge).count() == edge.count() and scan_licences(empty).count() == 0
 
 
+def test_licences_of_bundles_are_those_of_their_statements(spark):
+    whole = [t for _l, t, _p in TEMPLATES]
+    texts = whole + ["\n\n".join(whole), "\n".join(whole[::-1] * 20)]
+    rows = {r["doc_id"]: r for r in scan_licences(documents(spark, texts)).collect()}
+    alone = [set(rows[i]["labels"].split(",")) for i in range(len(whole))]
+    assert all(label in found for (label, _t, _p), found in zip(TEMPLATES, alone))
+    for i in (len(whole), len(whole) + 1):
+        assert set(rows[i]["labels"].split(",")) == set().union(*alone)
+    assert all(r["score"] == 1 for r in rows.values())
+
+
 def lcs(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
