@@ -3,9 +3,11 @@
 Words of the benchmark, weighted by their inverse document frequency over all
 documents, are the features. A randomised SVD of TF-IDF passages, with the sums over
 passages taken by Spark, gives a latent space. Every passage of every document is
-compared with every benchmark item there, the items in blocks of bounded size;
-passages with enough cosine are candidates, and the longest common subsequence with
-the item and with its answer decides.
+compared with every benchmark item there, the items in blocks of bounded size.
+Passages with enough cosine are candidates, and so is, whatever its cosine, every
+passage with enough of an item's rarest words: without those it cannot hold the share
+of the item that is asked for. The longest common subsequence with the item and with
+its answer decides.
 """
 
 from __future__ import annotations
@@ -171,21 +173,70 @@ def latent_space(sample: DataFrame, items: list[tuple[np.ndarray, np.ndarray]],
     return basis @ vectors[:, np.argsort(-values)[:RANK]]
 
 
-def _search(vocabulary: frozenset, table: np.ndarray, latent: np.ndarray, owners: list, parts: list, answers: dict):
+class RareWords:
+    """Exact candidates: the (passage, part) pairs that can hold MIN_COMMON of a part's words.
+
+    A part of n words of which ``need`` must stand in a passage can miss n - need, so
+    at least k of any n - need + k of its words stand there. The rarest are taken,
+    with a quarter of ``need`` as k.
+    """
+
+    def __init__(self, features: list[list[int]], need: list[int], idf: np.ndarray):
+        rows, self.least = [], np.array([max(1, n // 4) for n in need])
+        for s, part in enumerate(features):
+            rare = sorted(part, key=lambda f: -idf[f])[:len(part) - need[s] + self.least[s]]
+            rows += [(f, s, rare.count(f)) for f in sorted(set(rare))]
+        feature, self.part, self.weight = np.array(sorted(rows), np.int64).reshape(-1, 3).T
+        self.count = np.bincount(feature, minlength=FEATURES)
+        self.start = np.cumsum(self.count) - self.count
+        #: Passages at a time, so that about 2^21 postings are looked up at most.
+        self.at_once = max(1, (1 << 21) // (STRIDE * STRIDES * max(1, int(self.count.max()))))
+
+    def pairs(self, codes: np.ndarray) -> np.ndarray:
+        """passage * parts + part, in order."""
+        at = np.flatnonzero(codes >= 0)
+        at = at[self.count[codes[at]] > 0]
+        passages = max(1, -(-len(codes) // STRIDE) - STRIDES + 1)
+        found = []
+        for low in range(0, passages, self.at_once):
+            high = min(passages, low + self.at_once)
+            near = at[np.searchsorted(at, low * STRIDE):np.searchsorted(at, (high + STRIDES - 1) * STRIDE)]
+            place = (near // STRIDE)[:, None] - np.arange(STRIDES)
+            seen = place * FEATURES + codes[near][:, None]
+            seen = np.unique(seen[(place >= low) & (place < high)])
+            place, feature = seen // FEATURES, seen % FEATURES
+            n = self.count[feature]
+            post = np.arange(n.sum()) + np.repeat(self.start[feature] - np.cumsum(n) + n, n)
+            keys, back = np.unique(np.repeat(place, n) * len(self.least) + self.part[post], return_inverse=True)
+            found.append(keys[np.bincount(back, self.weight[post], len(keys)) >= self.least[keys % len(self.least)]])
+        return np.concatenate(found)
+
+
+def _search(vocabulary: frozenset, table: np.ndarray, latent: np.ndarray, idf: np.ndarray, owners: list, parts: list, answers: dict):
     latent = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
 
     features = [[feature(w) for w in part] for part in parts]
+    need = [next(k for k in range(len(part) + 1) if k / len(part) >= MIN_COMMON) for part in parts]
+    rare = RareWords(features, need, idf)
 
     def candidates(codes: np.ndarray) -> Iterator[tuple[int, int, float]]:
         vectors = passages(stride_vectors(codes, table))
+        exact = rare.pairs(codes)
         for low in range(0, len(vectors), 4_096):
             part = vectors[low:low + 4_096]
             norms = np.linalg.norm(part, axis=1)
             live = np.flatnonzero(norms > 0)
             if len(live):
                 cosine = part[live] @ latent.T / norms[live, None]
-                for p, s in zip(*np.nonzero(cosine >= MIN_COSINE)):
-                    yield int(live[p]) + low, int(s), float(cosine[p, s])
+                near = np.flatnonzero(cosine >= MIN_COSINE)
+                near = (live[near // len(latent)] + low) * len(latent) + near % len(latent)
+                here = exact[np.searchsorted(exact, low * len(latent)):np.searchsorted(exact, (low + len(part)) * len(latent))]
+                row = np.searchsorted(live, np.arange(len(part)))
+                for key in np.union1d(near, here).tolist():
+                    p, s = divmod(key, len(latent))
+                    yield p, s, float(cosine[row[p - low], s]) if norms[p - low] > 0 else 0.0
+            else:
+                yield from ((int(k) // len(latent), int(k) % len(latent), 0.0) for k in exact[(exact >= low * len(latent)) & (exact < (low + len(part)) * len(latent))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes(vocabulary)
@@ -203,7 +254,7 @@ def _search(vocabulary: frozenset, table: np.ndarray, latent: np.ndarray, owners
                     if p != here:
                         here, near, inside = p, None, frozenset(coded[first:first + STRIDE * STRIDES].tolist())
                     # no subsequence is longer than the item's words that the passage has at all
-                    if sum(map(inside.__contains__, features[s])) < MIN_COMMON * len(parts[s]):
+                    if sum(map(inside.__contains__, features[s])) < need[s]:
                         continue
                     near = near or list(map(plain, found[first:first + STRIDE * STRIDES]))
                     common = common_subsequence(parts[s], near) / len(parts[s])
@@ -244,7 +295,7 @@ def _block(docs: DataFrame, sample: DataFrame, total: int, items: list[tuple[int
     space = latent_space(sample, rows, vocabulary, idf)
     table = (idf[:, None] * space).astype(np.float32)
     latent = np.stack([table[c].sum(0) for c in coded])
-    return docs.mapInArrow(_search(vocabulary, table, latent, owners, parts, answers), ROW)
+    return docs.mapInArrow(_search(vocabulary, table, latent, idf, owners, parts, answers), ROW)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

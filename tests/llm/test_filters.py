@@ -7,7 +7,7 @@ import re
 from llm_helpers import documents
 from surveylake.llm import quality as q
 
-from surveylake.llm.decontamination import common_subsequence, contaminated, segments
+from surveylake.llm.decontamination import common_subsequence, contaminated, item_words, plain, segments
 from surveylake.llm.extraction import extract, main_text
 from surveylake.llm.licences import TEMPLATES, scan_licences
 from surveylake.llm.lines import dedup_lines, windows, without
@@ -211,3 +211,32 @@ def test_items_and_paraphrases_are_found(spark, table, edge, empty):
     contaminated(edge, items).collect()
     odd = spark.createDataFrame([(None, "a b"), (1, None), (2, " ")], "item_id long, text string")
     assert contaminated(edge, odd).count() == contaminated(empty, items).count() == 0
+
+
+def brute_force(texts, bench):
+    """(document, item) with enough of the item and its answer in one passage, by the subsequence alone; items of one part."""
+    out = set()
+    for d, text in enumerate(texts):
+        found = [plain(w) for w in text.encode().lower().split()]
+        for first in range(0, max(1, len(found) - 64), 32):
+            near = found[first:first + 96]
+            for i, item in bench:
+                w = item_words(item.encode().lower())
+                if common_subsequence(w, near) / len(w) >= 0.7 and common_subsequence(w[-6:], near) / len(w[-6:]) >= 0.5:
+                    out.add((d, i))
+    return out
+
+
+def test_items_beside_passages_full_of_benchmark_words_are_found(spark):
+    rng = random.Random(11)
+    lexicon = [f"w{i}" for i in range(900)]
+    bench = [(i, " ".join(rng.sample(lexicon, rng.randint(15, 40)))) for i in range(200)]
+    texts = []
+    for i, item in bench:
+        pad = [rng.choice(lexicon)] * 60 if i % 2 else rng.sample(lexicon, 90)
+        kept = [w for k, w in enumerate(item.split()) if i % 4 < 2 or k % 5]
+        texts.append(" ".join(pad[:40] + kept + pad[40:]))
+    want = brute_force(texts, bench)
+    assert len(want & {(i, i) for i, _t in bench}) > 190
+    got = contaminated(documents(spark, texts), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want
