@@ -38,7 +38,7 @@ MIN_COSINE = 0.4
 MIN_COMMON = 0.7
 #: The last words of an item hold its answer.
 ANSWER_WORDS, MIN_ANSWER = 6, 0.5
-#: Item words that are compared as one; longer items are cut in equal parts.
+#: Item words that are looked for as one; longer items are cut in equal parts.
 SEGMENT = STRIDE * (STRIDES - 1)
 ROW = "doc_id long, item_id long, cosine double, common double, answer double, first_word long"
 
@@ -75,6 +75,23 @@ def common_subsequence(a: list[bytes], b: list[bytes]) -> int:
     return len(a) - row.bit_count()
 
 
+def whole_item(item: list[bytes], offset: int, size: int, found: list[bytes], first: int) -> tuple[float, float]:
+    """Shares of an item of several parts, and of its answer, in the words around the passage with its part at ``offset``.
+
+    The words around are half as many again as the item has before and after the
+    part; the answer is looked for in the passage with most of the item's last part.
+    """
+    low = first - (offset * 3 // 2 + STRIDE - 1) // STRIDE * STRIDE
+    high = first + STRIDE * STRIDES + (len(item) - offset - size) * 3 // 2
+    near = list(map(plain, found[max(0, low):high]))
+    common = common_subsequence(item, near) / len(item)
+    if common < MIN_COMMON:
+        return common, 0.0
+    last, answer = segments(item)[-1], item[-ANSWER_WORDS:]
+    around = (near[k:k + STRIDE * STRIDES] for k in range(0, max(1, len(near) - STRIDE * (STRIDES - 1)), STRIDE))
+    return common, max((common_subsequence(last, x), common_subsequence(answer, x)) for x in around)[1] / len(answer)
+
+
 class Codes(dict):
     """Feature of each word in the vocabulary, -1 of any other, whatever marks stand around it."""
 
@@ -212,7 +229,7 @@ class RareWords:
         return np.concatenate(found)
 
 
-def _search(vocabulary: frozenset, table: np.ndarray, latent: np.ndarray, idf: np.ndarray, owners: list, parts: list, answers: dict):
+def _search(vocabulary: frozenset, table: np.ndarray, latent: np.ndarray, idf: np.ndarray, owners: list, parts: list, wholes: list):
     latent = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
 
     features = [[feature(w) for w in part] for part in parts]
@@ -260,9 +277,13 @@ def _search(vocabulary: frozenset, table: np.ndarray, latent: np.ndarray, idf: n
                     common = common_subsequence(parts[s], near) / len(parts[s])
                     if common < MIN_COMMON:
                         continue
-                    answer = answers.get(s)
-                    share = 1.0 if answer is None else common_subsequence(answer, near) / len(answer)
-                    if share < MIN_ANSWER:
+                    item, offset = wholes[s]
+                    if len(item) > len(parts[s]):
+                        common, share = whole_item(item, offset, len(parts[s]), found, first)
+                    else:
+                        answer = item[-ANSWER_WORDS:]
+                        share = common_subsequence(answer, near) / len(answer)
+                    if common < MIN_COMMON or share < MIN_ANSWER:
                         continue
                     row = (common, share, cosine, -first)
                     if best.get(owners[s], (0,)) < row:
@@ -276,13 +297,14 @@ def _search(vocabulary: frozenset, table: np.ndarray, latent: np.ndarray, idf: n
 
 
 def _block(docs: DataFrame, sample: DataFrame, total: int, items: list[tuple[int, list[bytes]]]) -> DataFrame:
-    owners, parts, answers = [], [], {}
+    owners, parts, wholes = [], [], []  # wholes: the words of each part's item, and where the part starts in it
     for item, found in items:
-        cut = segments(found)
-        for part in cut:
+        offset = 0
+        for part in segments(found):
             owners.append(item)
             parts.append(part)
-        answers[len(parts) - 1] = found[-ANSWER_WORDS:]
+            wholes.append((found, offset))
+            offset += len(part)
     vocabulary = frozenset(w for part in parts for w in part)
     counts = docs.select("text").mapInArrow(_frequencies(vocabulary), "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n"))
     idf = np.zeros(FEATURES)
@@ -295,14 +317,15 @@ def _block(docs: DataFrame, sample: DataFrame, total: int, items: list[tuple[int
     space = latent_space(sample, rows, vocabulary, idf)
     table = (idf[:, None] * space).astype(np.float32)
     latent = np.stack([table[c].sum(0) for c in coded])
-    return docs.mapInArrow(_search(vocabulary, table, latent, idf, owners, parts, answers), ROW)
+    return docs.mapInArrow(_search(vocabulary, table, latent, idf, owners, parts, wholes), ROW)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, cosine, common, answer, first_word): each document with each item found in it, at its best passage.
 
-    ``common`` and ``answer`` are the shares of the item's (longest part's) words and
-    of its answer's that stand in order in the passage. Items with a NULL id or
+    ``common`` and ``answer`` are the shares of the item's words and of its answer's
+    that stand in order in the passage; an item of several parts is found by one of
+    them and measured whole over the neighbouring passages. Items with a NULL id or
     without words and documents without words match nothing; documents with a NULL
     id are searched too; rows that repeat give rows that repeat; an empty benchmark
     or table gives no rows.

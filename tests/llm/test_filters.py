@@ -240,3 +240,23 @@ def test_items_beside_passages_full_of_benchmark_words_are_found(spark):
     assert len(want & {(i, i) for i, _t in bench}) > 190
     got = contaminated(documents(spark, texts), spark.createDataFrame(bench, "item_id long, text string")).collect()
     assert {(r["doc_id"], r["item_id"]) for r in got} == want
+
+
+def test_long_items_are_judged_whole(spark):
+    rng = random.Random(13)
+    lexicon = [f"w{i}" for i in range(5_000)]
+    items = [rng.sample(lexicon, 300), rng.sample(lexicon, 70)]
+    other = [f"o{i}" for i in range(100)]
+    texts, want = [], set()
+    for i, w in enumerate(items):
+        n = len(w)
+        answerless = w[:n * 4 // 5] + other
+        changed = [x if k % 6 else "other" for k, x in enumerate(w)]
+        for kept, there in ((w[:n // 5], 0), (w[:60 if n > 70 else 35], 0), (answerless, 0), (w[n // 2:], 0), (w, 1), (changed, 1), (w[n // 5:], 1)):
+            for lead in (0, 45):
+                if there:
+                    want.add((len(texts), i))
+                texts.append(" ".join(other[:lead] + kept + other))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = contaminated(documents(spark, texts), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want
