@@ -1,8 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Words of the benchmark, weighted by their inverse document frequency over all
-documents, are the features. A randomised SVD of TF-IDF passages, with the sums over
-passages taken by Spark, gives a latent space. Every passage of every document is
+documents, are the features. A randomised SVD of the TF-IDF passages of all documents,
+with the sums over passages taken by Spark, gives a latent space. Every passage of every document is
 compared with every benchmark item there, the items in blocks of bounded size.
 Passages with enough cosine are candidates, and so is, whatever its cosine, every
 passage with enough of an item's rarest words: without those it cannot hold the share
@@ -21,17 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveylake.llm.common import LOWER, save, texts, words
+from surveylake.llm.common import LOWER, texts, words
 
 #: Items that are searched in one pass over the documents; more take more passes.
 BLOCK_ITEMS = 4_096
 #: Hashed features: bounds the matrix of the SVD.
 FEATURES = 1 << 14
 RANK, OVERSAMPLE = 96, 16
-#: About so many documents, by hash of the id, and twice as many at most, give the passages that the SVD is fitted on,
-#: together with all items of the block.
-FIT_DOCS = 4_000
-FIT_PARTS = 4
+#: Passages whose words are counted at a time.
+FIT_PASSAGES = 512
 #: A passage is three strides of words, so items of up to two strides lie in one whole.
 STRIDE, STRIDES = 32, 3
 MIN_COSINE = 0.4
@@ -154,29 +152,83 @@ def _word_rows(codes: np.ndarray, idf: np.ndarray) -> list[tuple[np.ndarray, np.
     return out
 
 
+def _passage_keys(codes: np.ndarray) -> Iterator[np.ndarray]:
+    """passage * FEATURES + feature of every place with a feature, FIT_PASSAGES passages at a time."""
+    at = np.flatnonzero(codes >= 0)
+    count = max(1, -(-len(codes) // STRIDE) - STRIDES + 1)
+    for low in range(0, count, FIT_PASSAGES):
+        high = min(count, low + FIT_PASSAGES)
+        near = at[np.searchsorted(at, low * STRIDE):np.searchsorted(at, (high + STRIDES - 1) * STRIDE)]
+        place = (near // STRIDE)[:, None] - np.arange(STRIDES)
+        keys = place * FEATURES + codes[near][:, None]
+        yield keys[(place >= low) & (place < high)]
+
+
+def _add_gram(total: np.ndarray, keys: np.ndarray, idf: np.ndarray, basis: np.ndarray) -> int:
+    """Adds (AtA) basis of the passages of ``keys`` to ``total``; their number."""
+    if not len(keys):
+        return 0
+    keys, n = np.unique(keys, return_counts=True)
+    row, at = keys // FEATURES, keys % FEATURES
+    starts = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
+    sizes = np.diff(np.append(starts, len(row)))
+    weight = n.astype(np.float32) * idf[at]
+    weight /= np.repeat(np.sqrt(np.add.reduceat(weight ** 2, starts)), sizes)
+    image = np.add.reduceat(weight[:, None] * basis[at], starts)
+    order = np.argsort(at, kind="stable")
+    at, part = at[order], weight[order, None] * image[np.repeat(np.arange(len(starts)), sizes)[order]]
+    first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+    total[at[first]] += np.add.reduceat(part, first)
+    return len(starts)
+
+
 def _gram(vocabulary: frozenset, idf: np.ndarray, basis: np.ndarray):
-    """Each task's part of (AtA) basis, A the TF-IDF passages, and its squared norm."""
+    """Each task's part of (AtA) basis, A the TF-IDF passages, a row per feature; the number of passages is in the first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, total, rows = Codes(vocabulary), np.zeros(basis.shape, np.float32), 0
+        held, size, base = [], 0, 0
         for batch in batches:
             for text in texts(batch):
                 found = np.fromiter(map(codes.__getitem__, words(text.translate(LOWER))), np.int64)
-                for at, weight in _word_rows(found, idf):
-                    total[at] += np.outer(weight, weight @ basis[at])
-                    rows += 1
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()]), pa.array([rows], pa.int64())], ["total", "rows"])
+                for keys in _passage_keys(found):
+                    held.append(keys + base * FEATURES)
+                    size += len(keys)
+                    if size >= STRIDE * STRIDES * FIT_PASSAGES:
+                        rows += _add_gram(total, np.concatenate(held), idf, basis)
+                        held, size = [], 0
+                base += max(1, -(-len(found) // STRIDE))
+        if held:
+            rows += _add_gram(total, np.concatenate(held), idf, basis)
+        at = np.flatnonzero(total.any(1))
+        counts = np.zeros(len(at), np.int64)
+        counts[:1] = rows
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array([total[f].tobytes() for f in at], pa.binary()), pa.array(counts)], ["feature", "total", "rows"])
 
     return run
 
 
-def latent_space(sample: DataFrame, items: list[tuple[np.ndarray, np.ndarray]], vocabulary: frozenset, idf: np.ndarray) -> np.ndarray:
-    """FEATURES x RANK right singular vectors of the sample's passages and the items, which weigh as much as the passages."""
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per feature: the sums of its parts."""
+    sums: dict[int, np.ndarray] = {}
+    rows = 0
+    for batch in batches:
+        for f, part, n in zip(*(batch.column(c).to_pylist() for c in ("feature", "total", "rows"))):
+            part = np.frombuffer(part, np.float32).astype(np.float64)
+            sums[f] = sums[f] + part if f in sums else part
+            rows += n
+    counts = [rows] + [0] * len(sums)
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary()), pa.array(counts[:len(sums)], pa.int64())], ["feature", "total", "rows"])
+
+
+def latent_space(docs: DataFrame, items: list[tuple[np.ndarray, np.ndarray]], vocabulary: frozenset, idf: np.ndarray) -> np.ndarray:
+    """FEATURES x RANK right singular vectors of the passages of all documents and the items, which weigh as much as the passages."""
+    columns = "feature int, total binary, rows long"
+
     def product(basis: np.ndarray) -> np.ndarray:
         total, rows = np.zeros(basis.shape), 0
-        sent = basis.astype(np.float32)
-        for part in sample.coalesce(FIT_PARTS).mapInArrow(_gram(vocabulary, idf.astype(np.float32), sent), "total binary, rows long").collect():  # FIT_PARTS blobs
-            total += np.frombuffer(part["total"], np.float32).reshape(basis.shape)
+        parts = docs.select("text").mapInArrow(_gram(vocabulary, idf.astype(np.float32), basis.astype(np.float32)), columns)
+        for part in parts.repartition("feature").mapInArrow(_summed, columns).collect():  # at most FEATURES rows
+            total[part["feature"]] = np.frombuffer(part["total"], np.float64)
             rows += part["rows"]
         scale = max(1.0, rows / max(1, len(items)))
         for at, weight in items:
@@ -296,7 +348,7 @@ def _search(vocabulary: frozenset, table: np.ndarray, latent: np.ndarray, idf: n
     return run
 
 
-def _block(docs: DataFrame, sample: DataFrame, total: int, items: list[tuple[int, list[bytes]]]) -> DataFrame:
+def _block(docs: DataFrame, total: int, items: list[tuple[int, list[bytes]]]) -> DataFrame:
     owners, parts, wholes = [], [], []  # wholes: the words of each part's item, and where the part starts in it
     for item, found in items:
         offset = 0
@@ -314,7 +366,7 @@ def _block(docs: DataFrame, sample: DataFrame, total: int, items: list[tuple[int
     idf = np.maximum(idf, 1e-3) * (idf != 0)
     coded = [np.array([feature(w) for w in part]) for part in parts]
     rows = [next(iter(_word_rows(np.pad(c, (0, max(0, STRIDE * STRIDES - len(c))), constant_values=-1), idf)), (np.array([], int), np.array([]))) for c in coded]
-    space = latent_space(sample, rows, vocabulary, idf)
+    space = latent_space(docs, rows, vocabulary, idf)
     table = (idf[:, None] * space).astype(np.float32)
     latent = np.stack([table[c].sum(0) for c in coded])
     return docs.mapInArrow(_search(vocabulary, table, latent, idf, owners, parts, wholes), ROW)
@@ -332,14 +384,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total = docs.count()
-    share = min(1.0, FIT_DOCS / max(total, 1))
-    chosen = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(1 << 30)) < int(share * (1 << 30))
-    sample = save(docs.where("text IS NOT NULL").where(chosen).limit(2 * FIT_DOCS).repartition(FIT_PARTS))
     queries = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL").distinct().orderBy("item_id", "text")
     rows = ((r["item_id"], item_words(r["text"].encode())) for r in queries.toLocalIterator())
     rows = (x for x in rows if x[1])
     found = None
     while block := list(islice(rows, BLOCK_ITEMS)):
-        more = _block(docs, sample, total, block)
+        more = _block(docs, total, block)
         found = more if found is None else found.unionByName(more)
     return docs.sparkSession.createDataFrame([], ROW) if found is None else found

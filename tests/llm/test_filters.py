@@ -4,7 +4,9 @@ import collections
 import math
 import random
 import re
+import numpy as np
 from llm_helpers import documents
+from surveylake.llm import decontamination
 from surveylake.llm import quality as q
 
 from surveylake.llm.decontamination import common_subsequence, contaminated, item_words, plain, segments
@@ -260,3 +262,25 @@ def test_long_items_are_judged_whole(spark):
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
     got = contaminated(documents(spark, texts), bench).collect()
     assert {(r["doc_id"], r["item_id"]) for r in got} == want
+
+
+def test_the_latent_space_is_fitted_on_all_documents(spark):
+    rng = random.Random(17)
+    lexicon = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choices(lexicon, k=rng.choice((0, 20, 150)))) for _k in range(9_000)]
+    vocabulary = frozenset(w.encode() for w in lexicon[:200])
+    idf = np.zeros(decontamination.FEATURES)
+    idf[[decontamination.feature(w) for w in vocabulary]] = 1.5
+    basis = np.random.default_rng(1).standard_normal((decontamination.FEATURES, 5))
+    want, n = np.zeros(basis.shape), 0
+    for text in texts:
+        codes = np.array([decontamination.feature(w) if w in vocabulary else -1 for w in text.encode().split()], int)
+        for at, weight in decontamination._word_rows(codes, idf):
+            want[at] += np.outer(weight, weight @ basis[at])
+            n += 1
+    columns = "feature int, total binary, rows long"
+    parts = documents(spark, texts).select("text").mapInArrow(decontamination._gram(vocabulary, idf.astype(np.float32), basis.astype(np.float32)), columns)
+    got, rows = np.zeros(basis.shape), parts.repartition("feature").mapInArrow(decontamination._summed, columns).collect()
+    for r in rows:
+        got[r["feature"]] = np.frombuffer(r["total"])
+    assert sum(r["rows"] for r in rows) == n > 2 * 4_000 and np.allclose(got, want, rtol=1e-3, atol=1e-2)
