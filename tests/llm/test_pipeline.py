@@ -3,6 +3,7 @@
 import collections
 
 import corpus_pipeline as p
+from llm_helpers import documents
 
 
 def test_stages(spark, small):
@@ -29,3 +30,11 @@ def test_stages_take_odd_rows(spark, small):
         docs = spark.createDataFrame(rows, schema)
         for _name, stage in p.STAGES:
             docs = p.save(stage(spark, docs, small))
+
+
+def test_decontamination_takes_rows_without_an_id(spark, small, table):
+    item = table("benchmark").first()["text"]
+    docs = documents(spark, [item, "clean words only", item, "other words"], [None, None, 3, 3])
+    kept = p.decontamination(spark, docs, small)
+    assert kept.columns == docs.columns
+    assert sorted(r["text"] for r in kept.collect()) == ["clean words only", "other words"]
