@@ -399,6 +399,16 @@ SELECT work_model, seniority, count(pay) AS n, round({_mean("pay")}, 4) AS mean,
        {_quantile("pay", 0.05)} AS p05, {_quantile("pay", 0.25)} AS p25, {_quantile("pay", 0.5)} AS p50,
        {_quantile("pay", 0.75)} AS p75, {_quantile("pay", 0.95)} AS p95
 FROM silver GROUP BY work_model, seniority"""),
+    "gold_quantiles_double": f"""
+WITH paid AS (SELECT o_orderstatus, o_orderpriority, o_totalprice * (1.0::DOUBLE - (o_orderkey % 16)::DOUBLE / 64) AS paid FROM orders)
+SELECT grouping(o_orderstatus, o_orderpriority) AS level, o_orderstatus, o_orderpriority, count(paid) AS n, round(avg(paid), 4) AS mean,
+       {_quantile("paid", 0.01)} AS p01, {_quantile("paid", 0.5)} AS p50, {_quantile("paid", 0.99)} AS p99
+FROM paid GROUP BY GROUPING SETS ((o_orderstatus, o_orderpriority), (o_orderstatus), ())""",
+    "gold_quantiles_bigint": f"""
+WITH codes AS (SELECT o_orderstatus, CASE WHEN o_orderkey % 3 = 0 THEN -o_orderkey ELSE o_orderkey END * 6700417 AS code FROM orders)
+SELECT o_orderstatus, count(code) AS n, round(sum(code)::DOUBLE / count(code), 4) AS mean,
+       {_quantile("code", 0.0)} AS p0, {_quantile("code", 0.1)} AS p10, {_quantile("code", 0.5)} AS p50, {_quantile("code", 1.0)} AS p100
+FROM codes GROUP BY o_orderstatus""",
     "gold_distinct": _silver("""
 SELECT region, count(*) AS n, count(DISTINCT state) AS state_distinct FROM silver GROUP BY region"""),
     "gold_crosstab": _crosstab("seniority", "work_model"),

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from surveylake.checks.survey import survey_batches, survey_raw, survey_silver, survey_tech
+from surveylake.checks.survey import survey_batches, survey_raw, survey_silver, survey_tech, table
 from surveylake.functions import join_list, split_list, text_key, to_flag, to_int, to_money
 from surveylake.operators import groups, indicators
 from surveylake.operators.category import map_category, unmapped
@@ -262,6 +262,23 @@ def gold_quantiles(spark, sf):
     return table.withColumns({c: F.round(c, 4) for c in ["mean", *ps]})
 
 
+def gold_quantiles_double(spark, sf):
+    orders = table(spark, sf, "orders").select(
+        "o_orderstatus", "o_orderpriority", (F.col("o_totalprice") * (F.lit(1.0) - (F.col("o_orderkey") % 16) / 64)).alias("paid"))
+    by, ps = ["o_orderstatus", "o_orderpriority"], {"p01": 0.01, "p50": 0.5, "p99": 0.99}
+    found = quantiles(orders, by, "paid", ps, sets=[by, by[:1], []])
+    return found.withColumns({c: F.round(c, 4) for c in ["mean", *ps]})
+
+
+def gold_quantiles_bigint(spark, sf):
+    """Numbers of both signs, spread over some 2**45 units."""
+    signed = F.when(F.col("o_orderkey") % 3 == 0, -F.col("o_orderkey")).otherwise(F.col("o_orderkey")) * 6_700_417
+    orders = table(spark, sf, "orders").select("o_orderstatus", signed.alias("code"))
+    ps = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p100": 1.0}
+    found = quantiles(orders, ["o_orderstatus"], "code", ps)
+    return found.withColumns({c: F.round(c, 4) for c in ["mean", *ps]})
+
+
 def gold_distinct(spark, sf):
     silver = survey_silver(spark, sf, ["region", "state"])
     return groups.summarise(silver, ["region"], distinct="state")
@@ -414,7 +431,7 @@ _OPERATORS = (
     silver_text_key, silver_category_map, silver_unmapped, silver_organise,
     silver_pay_band, silver_aux_columns, silver_quantile_band, silver_multi_split,
     silver_tech_long, silver_dedupe, silver_survey, catalog_profile, sql_view_query,
-    gold_filter, gold_group, gold_aggregates, gold_quantiles, gold_distinct,
+    gold_filter, gold_group, gold_aggregates, gold_quantiles, gold_quantiles_double, gold_quantiles_bigint, gold_distinct,
     gold_crosstab, gold_crosstab_wide, gold_grouping_sets, gold_rollup, gold_cube,
     gold_rate, gold_index, gold_cramers_v, gold_correlation, gold_lift, gold_top_k,
     gold_top_k_per_group, gold_join_semi, gold_join_anti, gold_join_inner, gold_join_left,

@@ -1,5 +1,8 @@
 """Exact quantiles against a plain computation."""
 
+import math
+import random
+import re
 from collections import defaultdict
 from decimal import Decimal
 
@@ -99,8 +102,78 @@ def test_estimates_are_near(spark):
     assert row["n"] == 10_000 and abs(row["m"] - 5_000) < 20
 
 
-def test_unbounded_types_and_bad_shares_are_refused(spark):
-    with pytest.raises(ValueError, match="cast it"):
-        quantiles(spark.range(3), [], "id", {"m": 0.5})
+def exact_answers(values):
+    """Neighbours of every position among sorted values, interpolated as doubles."""
+    ordered, out = sorted(values, key=lambda v: (math.isnan(v), v)), []
+    for p in PS.values():
+        position = (len(ordered) - 1) * p
+        low, high, part = float(ordered[math.floor(position)]), float(ordered[math.ceil(position)]), position % 1
+        out.append(low if part == 0 or low == high else low + (high - low) * part)
+    return out
+
+
+EDGES = {
+    "bigint": [-(1 << 63), (1 << 63) - 1, 0, -1, 1, *[s * (1 << b) + d for s in (-1, 1) for b in (20, 21, 42, 43, 44, 62) for d in (-1, 0, 1)]],
+    "smallint": [-(1 << 15), (1 << 15) - 1, 0, 5, 5],
+    "double": [math.inf, -math.inf, 0.0, -0.0, 5e-324, -5e-324, 1.7976931348623157e308, -1.7976931348623157e308, 2.2250738585072014e-308, 1 + 2**-52, 1.0, math.nan, math.nan],
+    "decimal(18,4)": [Decimal(f"{n}e-4") for n in (10**18 - 1, 1 - 10**18, 1, 0, -1)],
+    "decimal(38,10)": [Decimal(f"{s * (10**e + d)}e-10") for s in (-1, 1) for e in (0, 5, 6, 7, 12, 30, 35, 37) for d in (-1, 0, 1)],
+    "decimal(38,0)": [Decimal(10**38 - 1), Decimal(1 - 10**38), Decimal(0), *[Decimal(10**e + d) for e in (6, 18, 36) for d in (-1, 0, 1)]],
+    "decimal(20,20)": [Decimal(f"{n}e-20") for n in (1, -1, 10**20 - 1)],
+}
+
+
+@pytest.mark.parametrize("kind", EDGES)
+def test_every_number_type_at_its_edges(spark, kind):
+    edges = EDGES[kind]
+    groups = {"all": edges, "few": edges[:3], "one": edges[:1] * 3, "none": []}
+    rows = [(g, v) for g, vs in groups.items() for v in vs] + [("none", None), ("all", None)]
+    found = {r["g"]: r for r in quantiles(spark.createDataFrame(rows, f"g string, v {kind}"), ["g"], "v", PS).collect()}
+    for g, vs in groups.items():
+        assert found[g]["n"] == len(vs)
+        got = [found[g][p] for p in PS]
+        if not vs:
+            assert got == [None] * len(PS) and found[g]["mean"] is None
+            continue
+        assert all(a == b or math.isnan(a) and math.isnan(b) or math.isclose(a, b, rel_tol=1e-15) for a, b in zip(got, exact_answers(vs))), (g, got)
+        assert str(got[0]) != "-0.0"
+
+
+@pytest.mark.parametrize("kind", ["bigint", "double", "decimal(30,6)"])
+def test_wide_types_with_a_hot_group(spark, kind):
+    rng = random.Random(7)
+    draw = {"bigint": lambda: rng.randrange(-(1 << 62), 1 << 62), "double": lambda: rng.gauss(0, 1) * 10 ** rng.randrange(-9, 9),
+            "decimal(30,6)": lambda: Decimal(f"{rng.randrange(-(10**29), 10**29)}e-6")}[kind]
+    rows = [(rng.choice(["hot", "hot", "hot", "a", None]), draw() if i % 7 else None) for i in range(4_000)]
+    found = quantiles(spark.createDataFrame(rows, f"g string, v {kind}"), ["g"], "v", PS).collect()
+    for r in found:
+        values = [v for g, v in rows if g == r["g"] and v is not None]
+        assert r["n"] == len(values) and math.isclose(r["mean"], float(sum(values)) / len(values), rel_tol=1e-9, abs_tol=1e-6)
+        assert np.allclose([r[p] for p in PS], exact_answers(values), rtol=1e-14)
+
+
+def test_grouping_sets_of_doubles(spark):
+    rows = [("x", "1", 0.5), ("x", "2", -1.5), ("y", "1", 1e300)]
+    df = spark.createDataFrame(rows, "a string, b string, v double")
+    got = {(r["level"], r["a"]): r["m"] for r in quantiles(df, ["a", "b"], "v", {"m": 0.5}, sets=[["a"], []]).collect()}
+    assert got == {(1, "x"): -0.5, (1, "y"): 1e300, (3, None): 0.5}
+
+
+def test_no_task_sorts_a_hot_group_of_doubles(spark):
+    """Values of one group meet only in windows of one bucket: the widest sorted window is far below the group."""
+    from plan_text import final_plan
+
+    df = spark.range(200_000).select(F.lit("hot").alias("g"), F.rand(3).alias("v"))
+    found = quantiles(df, ["g"], "v", {"m": 0.5})
+    found.collect()
+    plan = final_plan(found)
+    # all sorts of counted values are by group and bucket; none is by the group and the value alone
+    assert "Window" in plan and not re.search(r"Sort \[g#\d+ ASC NULLS FIRST, v#\d+ ASC", plan)
+    assert "Python" not in plan
+
+
+def test_other_types_and_bad_shares_are_refused(spark):
+    with pytest.raises(ValueError, match="need numbers"):
+        quantiles(spark.createDataFrame([], SCHEMA), [], "g", {"m": 0.5})
     with pytest.raises(ValueError, match="must be in"):
         quantiles(spark.createDataFrame([], SCHEMA), ["g"], "v", {"m": 1.5})
