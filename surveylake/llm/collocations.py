@@ -34,9 +34,9 @@ from surveylake.llm.quotient import CountingQuotientFilter
 
 LEAST, LONGEST, TOP = 100, 5, 2_000
 #: Bytes of text in a chunk, and in what is cut into words at a time.
-CHUNK_BYTES, CUT_BYTES = 16 << 20, 1 << 20
+CHUNK_BYTES, CUT_BYTES = 8 << 20, 1 << 20
 #: Words of text per range of quotients: bounds the filters that one task merges.
-RANGE_WORDS = 1 << 21
+RANGE_WORDS = 1 << 20
 #: Parts in which a language's best phrases are chosen before its whole.
 RANK_PARTS = 64
 #: Every end of a piece becomes a full stop, A-Z lower case, a tab a space.
