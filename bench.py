@@ -18,12 +18,12 @@ import time
 
 from pyspark.sql import SparkSession
 
-from surveylake.checks.queries import FRONT_COLUMNS, QUERIES
+from surveylake.checks.queries import QUERIES
 from surveylake.checks.survey import survey_silver
-from surveylake.plans.fronts import GOLD_TABLES
+from surveylake.plans.fronts import GOLD_COLUMNS, GOLD_TABLES
 from surveylake.session import get_session
 
-HEADLINES = ("silver_survey", "silver_tech_long", "silver_dedupe", "silver_impute_median", *FRONT_COLUMNS)
+HEADLINES = ("silver_survey", "silver_tech_long", "silver_dedupe", "silver_impute_median", *GOLD_COLUMNS)
 
 
 def from_stored(spark: SparkSession, sf_dir: str) -> dict[str, float]:

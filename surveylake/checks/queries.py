@@ -379,47 +379,8 @@ def gold_indicator_union(spark, sf):
 
 # --- gold: fronts -------------------------------------------------------------
 
-_TECH = tuple(TECH_CATEGORIES)
-
-# Questions each gold table reads.
-FRONT_COLUMNS = {
-    "f1_market_structure": ("role", "edition"),
-    "f1_profile": ("role", "seniority", "region", "work_model"),
-    "f1_role_seniority": ("role", "seniority"),
-    "f1_edition_change": ("role", "edition"),
-    "f2_pay_seniority": ("seniority", "pay"),
-    "f2_pay_role_seniority": ("role", "seniority", "pay"),
-    "f2_pay_band_seniority": ("pay", "pay_band", "seniority"),
-    "f2_pay_index": ("role", "seniority", "pay"),
-    "f2_seniority_step": ("seniority", "seniority_rank", "pay"),
-    "f3_location": ("region", "state"),
-    "f3_work_model_region": ("region", "work_model"),
-    "f3_work_model_role": ("role", "work_model"),
-    "f3_work_model_seniority": ("seniority", "work_model"),
-    "f3_diversity": ("region", "role"),
-    "f3_pay_region_model": ("region", "work_model", "pay"),
-    "f3_pay_state": ("state", "pay"),
-    "f3_seniority_region": ("region", "seniority"),
-    "f4_adoption": _TECH,
-    "f4_top_tech": _TECH,
-    "f4_top_tech_region": ("region", *_TECH),
-    "f4_tech_seniority": ("seniority", *_TECH),
-    "f4_tech_role": ("role", *_TECH),
-    "f4_tech_work_model": ("work_model", *_TECH),
-    "f4_tech_state": ("state", *_TECH),
-    "f4_maturity": ("seniority", "n_tools", *_TECH),
-    "f4_tech_pairs": _TECH,
-    "f4_pay_tech": ("pay", *_TECH),
-    "f5_ai_rate": ("role", "seniority", "region", "work_model", "ai_use"),
-    "f5_ai_state": ("state", "ai_use"),
-    "f5_ai_pay": ("seniority", "ai_use", "pay"),
-    "f5_ai_tech_lift": ("ai_use", "langs", "bi_tools", "databases", "clouds"),
-    "f5_opportunity": ("role", "region", "seniority", "pay", "ai_use"),
-}
-
-
 def _front(name: str) -> Query:
-    build, columns = fronts.GOLD_TABLES[name], FRONT_COLUMNS[name]
+    build, columns = fronts.GOLD_TABLES[name], fronts.GOLD_COLUMNS[name]
     return lambda spark, sf: build(survey_silver(spark, sf, columns))
 
 
@@ -445,5 +406,5 @@ def _compared(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {
     **{q.__name__: _compared(q) for q in _OPERATORS},
-    **{name: _compared(_front(name)) for name in FRONT_COLUMNS},
+    **{name: _compared(_front(name)) for name in fronts.GOLD_COLUMNS},
 }

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from surveylake.operators.weights import count, weight
+
 
 def percent(part: Column, whole: Column) -> Column:
     """Share in percent, rounded to 4 places; NULL when there is no base."""
@@ -15,7 +17,7 @@ def percent(part: Column, whole: Column) -> Column:
 def pair_counts(df: DataFrame, a: str, b: str, answered_only: bool = False) -> DataFrame:
     if answered_only:
         df = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
-    return df.groupBy(a, b).agg(F.count("*").alias("n"))
+    return df.groupBy(a, b).agg(count(weight(df)).alias("n"))
 
 
 def crosstab(df: DataFrame, a: str, b: str, answered_only: bool = False) -> DataFrame:

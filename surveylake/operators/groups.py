@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from surveylake.operators.weights import count, weight
+
 
 def number_stats(col: str) -> dict[str, Column]:
     """Count, sum, mean, spread, least and greatest of a number, as doubles."""
@@ -21,12 +23,12 @@ def number_stats(col: str) -> dict[str, Column]:
 
 
 def _measures(
-    measures: Mapping[str, Column] | None, distinct: str | None, exact: bool = True
+    df: DataFrame, measures: Mapping[str, Column] | None, distinct: str | None, exact: bool = True
 ) -> list[Column]:
-    out = [F.count("*").alias("n")]
+    out = [count(weight(df)).alias("n")]
     if distinct:
-        count = F.count_distinct if exact else F.approx_count_distinct
-        out.append(count(F.col(distinct)).alias(f"{distinct}_distinct"))
+        different = F.count_distinct if exact else F.approx_count_distinct
+        out.append(different(F.col(distinct)).alias(f"{distinct}_distinct"))
     return out + [c.alias(name) for name, c in (measures or {}).items()]
 
 
@@ -42,7 +44,7 @@ def summarise(
 
     ``exact=False`` estimates the distinct values, with a state of fixed size per group.
     """
-    out = df.groupBy(*by).agg(*_measures(measures, distinct, exact))
+    out = df.groupBy(*by).agg(*_measures(df, measures, distinct, exact))
     return out.filter(F.col("n") >= min_n) if min_n > 1 else out
 
 
@@ -52,18 +54,18 @@ def multi_group(
     """Several groupings in one pass; ``level`` is the grouping id."""
     by = list(dict.fromkeys(c for s in sets for c in s))
     out = df.groupingSets([list(s) for s in sets], *by)
-    return out.agg(F.grouping_id().alias("level"), *_measures(measures, None)).select(
+    return out.agg(F.grouping_id().alias("level"), *_measures(df, measures, None)).select(
         "level", *by, "n", *(measures or {})
     )
 
 
 def rollup(df: DataFrame, by: Sequence[str], measures: Mapping[str, Column] | None = None) -> DataFrame:
-    out = df.rollup(*by).agg(F.grouping_id().alias("level"), *_measures(measures, None))
+    out = df.rollup(*by).agg(F.grouping_id().alias("level"), *_measures(df, measures, None))
     return out.select("level", *by, "n", *(measures or {}))
 
 
 def cube(df: DataFrame, by: Sequence[str], measures: Mapping[str, Column] | None = None) -> DataFrame:
-    out = df.cube(*by).agg(F.grouping_id().alias("level"), *_measures(measures, None))
+    out = df.cube(*by).agg(F.grouping_id().alias("level"), *_measures(df, measures, None))
     return out.select("level", *by, "n", *(measures or {}))
 
 

@@ -9,20 +9,22 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from surveylake.operators.crosstab import pair_counts, percent
 from surveylake.rules import TECH_CATEGORIES
 from surveylake.operators.technology import explode_tech
+from surveylake.operators.weights import count, count_if, kept, mean, total, weight
 
 
-def rate_measures(flag: str) -> dict[str, Column]:
+def rate_measures(flag: str, w: Column | None = None) -> dict[str, Column]:
+    """``w`` is the weight of the rows, if they stand for several answers."""
     c = F.col(flag)
     return {
-        "base": F.count(c),
-        "hits": F.count_if(F.coalesce(c, F.lit(False))),
-        "rate": F.round(F.avg(c.cast("double")), 4),
+        "base": count(w, c),
+        "hits": count_if(w, F.coalesce(c, F.lit(False))),
+        "rate": F.round(mean(w, c.cast("double")), 4),
     }
 
 
 def rate(df: DataFrame, by: Sequence[str], flag: str, min_n: int = 0) -> DataFrame:
     """Share of true among those who answered, with that base; a group nobody answered for has base 0."""
-    out = df.groupBy(*by).agg(*[c.alias(name) for name, c in rate_measures(flag).items()])
+    out = df.groupBy(*by).agg(*[c.alias(name) for name, c in rate_measures(flag, weight(df)).items()])
     return out.filter(F.col("base") >= min_n) if min_n > 0 else out
 
 
@@ -32,14 +34,15 @@ def index_vs_total(df: DataFrame, by: Sequence[str], col: str) -> DataFrame:
     The overall mean comes from the sums of the groups, so the answers are read
     once; a group without values stays, with NULL.
     """
-    sums = df.groupBy(*by).agg(F.count(col).alias("n"), F.sum(col).alias("_sum"))
-    total = sums.agg(
+    w = weight(df)
+    sums = df.groupBy(*by).agg(count(w, col).alias("n"), total(w, F.col(col)).alias("_sum"))
+    whole = sums.agg(
         F.try_divide(F.sum("_sum").cast("double"), F.sum("n")).alias("mean")
     ).scalar()
-    mean = F.try_divide(F.col("_sum").cast("double"), F.col("n"))
+    average = F.try_divide(F.col("_sum").cast("double"), F.col("n"))
     return sums.select(
-        *by, "n", F.round(mean, 4).alias("mean"), percent(mean, total).alias("index"),
-        F.round(mean - total, 4).alias("gap"),
+        *by, "n", F.round(average, 4).alias("mean"), percent(average, whole).alias("index"),
+        F.round(average - whole, 4).alias("gap"),
     )
 
 
@@ -87,10 +90,11 @@ def lift(
     flag; it is counted in the same aggregation as the technologies.
     """
     answered = df.filter(F.col(flag).isNotNull())
+    w = weight(df)
     counts = (
-        explode_tech(answered, cols, keep=[flag], with_base=True)
+        explode_tech(answered, cols, keep=[flag, *kept(df)], with_base=True)
         .groupBy("category", "technology")
-        .agg(F.count("*").alias("n"), F.count_if(F.col(flag)).alias("hits"))
+        .agg(count(w).alias("n"), count_if(w, F.col(flag)).alias("hits"))
     )
     whole = Window.partitionBy("category")
     base = F.col("technology").isNull()

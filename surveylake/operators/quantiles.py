@@ -29,6 +29,8 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from surveylake.operators.weights import count, kept, weight
+
 _BITS = 20
 _WIDE_BITS = (43, 21)
 _SHORT_DIGITS, _LONG_DIGITS, _LEVEL_DIGITS = 12, 18, 6
@@ -127,14 +129,16 @@ def quantiles(
         if not 0 <= p <= 1:
             raise ValueError(f"quantile {name} must be in [0, 1], not {p}")
     if not exact:
+        if weight(df) is not None:
+            raise ValueError("estimates are made from answers, not from counts")
         return _estimates(df, by, col, ps, sets, accuracy)
 
     numbers = _numbers(df, col)
     key = F.struct(*by) if by else F.struct(F.lit(1).alias("_all"))
     counts = (
-        df.select(key.alias("g"), numbers.value(F.col(col)).alias("v"))
+        df.select(key.alias("g"), numbers.value(F.col(col)).alias("v"), *kept(df))
         .groupBy("g", "v")
-        .agg(F.count("v").alias("n"))
+        .agg(count(weight(df), "v").alias("n"))
     )
     if sets is not None:
         counts = _levels(counts, by, sets)

@@ -19,6 +19,7 @@ from surveylake.operators.indicators import (
 from surveylake.operators.quantiles import quantiles
 from surveylake.operators.ranking import rank_within
 from surveylake.operators.technology import explode_tech
+from surveylake.operators.weights import count, count_if, kept, mean, total, weight
 from surveylake.rules import TECH_CATEGORIES
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -119,8 +120,8 @@ def location(silver: DataFrame) -> DataFrame:
     """Answers per region and state, with a subtotal per region and the total."""
     table = groups.rollup(silver, ["region", "state"])
     # not a filter: it would be pushed below the aggregate, and the answers read twice
-    total = table.agg(F.max(F.when(F.col("level") == 3, F.col("n")))).scalar()
-    return table.withColumn("pct", percent(F.col("n"), total))
+    overall = table.agg(F.max(F.when(F.col("level") == 3, F.col("n")))).scalar()
+    return table.withColumn("pct", percent(F.col("n"), overall))
 
 
 def pay_state(silver: DataFrame, exact: bool = True) -> DataFrame:
@@ -174,9 +175,9 @@ def _tech_counts(
     """
     by = list(by)
     counts = (
-        explode_tech(silver, cols, keep=by, with_base=True)
+        explode_tech(silver, cols, keep=[*by, *kept(silver)], with_base=True)
         .groupBy(*by, "category", "technology")
-        .agg(F.count("*").alias("n"))
+        .agg(count(weight(silver)).alias("n"))
     )
     is_base = F.col("technology").isNull()
     base = F.max(F.when(is_base, F.col("n"))).over(Window.partitionBy(*by, "category"))
@@ -220,8 +221,8 @@ def maturity(silver: DataFrame) -> DataFrame:
     """Technologies named, and categories answered, per seniority."""
     answered = [F.col(c).isNotNull().cast("int") for c in TECH_CATEGORIES]
     measures = {
-        "mean_tools": F.round(F.avg(F.col("n_tools").cast("double")), 4),
-        "mean_categories": F.round(F.avg(sum(answered[1:], answered[0]).cast("double")), 4),
+        "mean_tools": F.round(mean(weight(silver), F.col("n_tools")), 4),
+        "mean_categories": F.round(mean(weight(silver), sum(answered[1:], answered[0])), 4),
     }
     return groups.summarise(silver, ["seniority"], measures)
 
@@ -244,13 +245,13 @@ def tech_pairs(silver: DataFrame, min_n: int = 1) -> DataFrame:
     ])
     length = F.when(F.col("at") == 0, 1).otherwise(F.size("names"))
     counts = (
-        silver.select(F.sort_array(names).alias("names"))
+        silver.select(F.sort_array(names).alias("names"), *kept(silver))
         .filter(F.size("names") > 0)
-        .select(F.concat(F.array(F.lit("")), F.col("names")).alias("names"))
-        .select(F.posexplode("names").alias("at", "a"), "names")
-        .select("a", F.explode(F.slice("names", F.col("at") + 1, length)).alias("b"))
+        .select(F.concat(F.array(F.lit("")), F.col("names")).alias("names"), *kept(silver))
+        .select(F.posexplode("names").alias("at", "a"), "names", *kept(silver))
+        .select("a", F.explode(F.slice("names", F.col("at") + 1, length)).alias("b"), *kept(silver))
         .groupBy("a", "b")
-        .agg(F.count("*").alias("n"))
+        .agg(count(weight(silver)).alias("n"))
     )
     base = counts.agg(F.max(F.when(F.col("a") == "", F.col("n")))).scalar()
     alone = F.when(F.col("a") == F.col("b"), F.col("n"))
@@ -275,7 +276,7 @@ def _prefixed(category: str) -> Callable[[Column], Column]:
 
 def pay_tech(silver: DataFrame, exact: bool = True) -> DataFrame:
     """Pay of those who name a technology, against all who answered its category."""
-    paid = explode_tech(_answered(silver, "pay"), keep=["pay"], with_base=True)
+    paid = explode_tech(_answered(silver, "pay"), keep=["pay", *kept(silver)], with_base=True)
     by = ["category", "technology"]
     table = quantiles(paid, by, "pay", {"median": 0.5}, exact=exact)
     is_base = F.col("technology").isNull()
@@ -292,11 +293,11 @@ def pay_tech(silver: DataFrame, exact: bool = True) -> DataFrame:
 def ai_rate(silver: DataFrame) -> DataFrame:
     """AI use by role, seniority, region and work model, stacked."""
     dims = ["role", "seniority", "region", "work_model"]
-    return groups.one_way(silver, dims, rate_measures("ai_use")).drop("n")
+    return groups.one_way(silver, dims, rate_measures("ai_use", weight(silver))).drop("n")
 
 
 def ai_state(silver: DataFrame) -> DataFrame:
-    return silver.groupBy("state").agg(*[c.alias(name) for name, c in rate_measures("ai_use").items()])
+    return silver.groupBy("state").agg(*[c.alias(name) for name, c in rate_measures("ai_use", weight(silver)).items()])
 
 
 def ai_pay(silver: DataFrame, exact: bool = True) -> DataFrame:
@@ -336,20 +337,20 @@ def _range(score: Column) -> Column:
 
 def opportunity(silver: DataFrame, min_n: int = 1) -> DataFrame:
     """Segments with high pay and little AI use: pay index x (1 - AI rate), ranked."""
-    by = ["role", "region", "seniority"]
+    by, w = ["role", "region", "seniority"], weight(silver)
     segments = groups.summarise(
         _answered(silver, "seniority"), by,
         {
-            "paid": F.count("pay"),
-            "pay_sum": F.sum("pay"),
-            "ai_base": F.count("ai_use"),
-            "ai_hits": F.count_if(F.coalesce(F.col("ai_use"), F.lit(False))),
+            "paid": count(w, "pay"),
+            "pay_sum": total(w, F.col("pay")),
+            "ai_base": count(w, "ai_use"),
+            "ai_hits": count_if(w, F.coalesce(F.col("ai_use"), F.lit(False))),
         },
     )
-    total = segments.agg(
+    overall = segments.agg(
         F.try_divide(F.sum("pay_sum").cast("double"), F.sum("paid")).alias("mean")
     ).scalar()
-    index = F.try_divide(F.col("pay_sum").cast("double"), F.col("paid")) / total
+    index = F.try_divide(F.col("pay_sum").cast("double"), F.col("paid")) / overall
     ai = F.try_divide(F.col("ai_hits").cast("double"), F.col("ai_base"))
     score = F.round(index * (1 - ai), 6)
     scored = segments.filter(F.col("n") >= min_n).select(
@@ -363,7 +364,7 @@ def opportunity(silver: DataFrame, min_n: int = 1) -> DataFrame:
     ranges = segments.filter(F.col("n") >= min_n).select(_range(score).alias("r")).groupBy("r").agg(F.count("*").alias("m"))
     sizes = ranges.agg(F.collect_list(F.struct("r", "m"))).scalar()  # at most RANGES + 1 entries
     better = F.aggregate(
-        F.filter("_sizes", lambda x: x["r"] > F.col("_range")), F.lit(0).cast("bigint"), lambda total, x: total + x["m"])
+        F.filter("_sizes", lambda x: x["r"] > F.col("_range")), F.lit(0).cast("bigint"), lambda so_far, x: so_far + x["m"])
     inside = F.rank().over(Window.partitionBy("_range").orderBy(F.desc_nulls_last("score")))
     placed = scored.withColumns({"_range": _range(F.col("score")), "_sizes": sizes})
     return placed.withColumn("place", (better + inside).cast("bigint")).drop("_range", "_sizes")
@@ -420,3 +421,41 @@ GOLD_TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "f5_ai_tech_lift": ai_tech_lift,
     "f5_opportunity": opportunity,
 }
+
+_TECH = tuple(TECH_CATEGORIES)
+
+#: Questions each gold table reads.
+GOLD_COLUMNS: dict[str, tuple[str, ...]] = {
+    "f1_market_structure": ("role", "edition"),
+    "f1_profile": ("role", "seniority", "region", "work_model"),
+    "f1_role_seniority": ("role", "seniority"),
+    "f1_edition_change": ("role", "edition"),
+    "f2_pay_seniority": ("seniority", "pay"),
+    "f2_pay_role_seniority": ("role", "seniority", "pay"),
+    "f2_pay_band_seniority": ("pay", "pay_band", "seniority"),
+    "f2_pay_index": ("role", "seniority", "pay"),
+    "f2_seniority_step": ("seniority", "seniority_rank", "pay"),
+    "f3_location": ("region", "state"),
+    "f3_work_model_region": ("region", "work_model"),
+    "f3_work_model_role": ("role", "work_model"),
+    "f3_work_model_seniority": ("seniority", "work_model"),
+    "f3_diversity": ("region", "role"),
+    "f3_pay_region_model": ("region", "work_model", "pay"),
+    "f3_pay_state": ("state", "pay"),
+    "f3_seniority_region": ("region", "seniority"),
+    "f4_adoption": _TECH,
+    "f4_top_tech": _TECH,
+    "f4_top_tech_region": ("region", *_TECH),
+    "f4_tech_seniority": ("seniority", *_TECH),
+    "f4_tech_role": ("role", *_TECH),
+    "f4_tech_work_model": ("work_model", *_TECH),
+    "f4_tech_state": ("state", *_TECH),
+    "f4_maturity": ("seniority", "n_tools", *_TECH),
+    "f4_tech_pairs": _TECH,
+    "f4_pay_tech": ("pay", *_TECH),
+    "f5_ai_rate": ("role", "seniority", "region", "work_model", "ai_use"),
+    "f5_ai_state": ("state", "ai_use"),
+    "f5_ai_pay": ("seniority", "ai_use", "pay"),
+    "f5_ai_tech_lift": ("ai_use", "langs", "bi_tools", "databases", "clouds"),
+    "f5_opportunity": ("role", "region", "seniority", "pay", "ai_use"),
+}

@@ -6,12 +6,16 @@ import os
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from surveylake.checks.survey import survey_batches
+from surveylake.checks.survey import survey_batches, survey_silver
+from surveylake.plans import jobs
+from surveylake.plans.cells import FAMILIES, cells, from_cells
 from surveylake.plans.fronts import GOLD_TABLES
-from surveylake.plans.jobs import main, reprocess, run_bronze, run_gold, run_layer, run_silver
+from surveylake.plans.jobs import main, refresh_silver, reprocess, run_bronze, run_gold, run_layer, run_silver
 from surveylake.rules import RAW_COLUMNS, SILVER_SCHEMA
 from surveylake.sources.catalog import analyse, dictionary, register, sql
-from surveylake.sources.lake import Lake, export_csv, read_csv_export, read_table, write_batch, write_table
+from surveylake.sources.lake import (
+    Lake, export_csv, paths, read_csv_export, read_table, snapshots, stage, tables, vacuum, write_batch, write_table,
+)
 from surveylake.sources.raw import CORRUPT, ORIGIN, land_bronze, read_raw, trace
 
 HEADER = ",".join(RAW_COLUMNS)
@@ -223,3 +227,126 @@ def test_command_line(spark, tmp_path, lake):
     with pytest.raises(ValueError):
         run_layer(spark, lake, "platinum")
     assert set(GOLD_TABLES) >= {"f1_profile", "f5_opportunity"}
+
+
+# --- snapshots and incremental runs --------------------------------------------
+
+
+def files(lake, layer, spark):
+    """Every file that the newest snapshot of a layer names, by table and partition."""
+    return {(t.name, f): sorted(x for x in os.listdir(path) if x.endswith(".parquet")) and path
+            for t in tables(spark, lake, layer).values() for f, path in paths(lake, layer, t).items()}
+
+
+def contents(lake, layer, spark):
+    return {name: (sorted(df.dtypes), rows(df, *sorted(df.columns))) for name in tables(spark, lake, layer)
+            for df in [read_table(spark, lake, layer, name)]}
+
+
+def test_a_job_that_dies_leaves_the_old_table(spark, lake):
+    df = spark.range(100, numPartitions=4).select("id", (F.col("id") % 3).cast("int").alias("edition"))
+    write_table(df, lake, "silver", "t", ["edition"])
+    before = files(lake, "silver", spark)
+    dies = df.withColumn("id", F.when(F.col("id") == 99, F.raise_error(F.lit("died half-way")).cast("bigint")).otherwise(F.col("id")))
+    for _ in range(2):
+        with pytest.raises(Exception, match="died half-way"):
+            write_table(dies, lake, "silver", "t", ["edition"])
+        assert files(lake, "silver", spark) == before and read_table(spark, lake, "silver", "t").count() == 100
+    write_table(df.filter("id < 10"), lake, "silver", "t", ["edition"])
+    assert read_table(spark, lake, "silver", "t").count() == 10
+    assert read_table(spark, lake, "silver", "t", snapshot=1).count() == 100
+
+
+def test_silver_tables_change_together(spark, tmp_path, lake, monkeypatch):
+    raw = str(tmp_path / "in")
+    write(f"{raw}/a.csv", line(1), line(2))
+    run_bronze(spark, lake, raw, 1)
+    run_silver(spark, lake, csv=False)
+    before = contents(lake, "silver", spark)
+    write(f"{raw}/a.csv", line(1, pay="77,00"), line(3))
+    run_bronze(spark, lake, raw, 1)
+    whole = jobs.explode_tech
+    monkeypatch.setattr(jobs, "explode_tech", lambda *a, **k: whole(*a, **k).withColumn("technology", F.raise_error(F.lit("died"))))
+    with pytest.raises(Exception, match="died"):
+        refresh_silver(spark, lake, csv=False)
+    assert contents(lake, "silver", spark) == before
+    monkeypatch.undo()
+    # the keys of the batch's old files are not forgotten: answer 2 goes
+    refresh_silver(spark, lake, csv=False)
+    assert rows(read_table(spark, lake, "silver", "answers"), "resp_id", F.col("pay").cast("int")) == [(1, 77), (3, 10)]
+
+
+def test_an_unfinished_snapshot_does_not_count(spark, lake):
+    write_table(spark.range(3), lake, "gold", "t")
+    os.makedirs(f"{lake.path('gold', '_snapshots')}/0000000002")
+    assert snapshots(spark, lake, "gold") == [1] and read_table(spark, lake, "gold", "t").count() == 3
+    write_table(spark.range(4), lake, "gold", "t")
+    assert snapshots(spark, lake, "gold") == [1, 3] and read_table(spark, lake, "gold", "t").count() == 4
+
+
+def test_empty_tables_and_missing_ones(spark, lake):
+    df = spark.createDataFrame([], "id bigint, edition int")
+    write_table(df, lake, "silver", "t", ["edition"])
+    assert read_table(spark, lake, "silver", "t").columns == ["id", "edition"] and read_table(spark, lake, "silver", "t").count() == 0
+    with pytest.raises(ValueError, match="no table"):
+        read_table(spark, lake, "silver", "other")
+    with pytest.raises(ValueError, match="no snapshot"):
+        read_table(spark, lake, "silver", "t", snapshot=9)
+
+
+def test_vacuum_keeps_what_is_in_use(spark, lake):
+    for n in (1, 2, 3):
+        write_table(spark.range(n), lake, "gold", "t")
+    stage(spark.range(9), lake, "gold", "t")
+    assert vacuum(spark, lake, "gold") == 1  # files are young, the first snapshot goes
+    assert vacuum(spark, lake, "gold", keep=1, older_than=-60) == 4
+    assert snapshots(spark, lake, "gold") == [3] and read_table(spark, lake, "gold", "t").count() == 3
+    with pytest.raises(ValueError):
+        vacuum(spark, lake, "gold", keep=0)
+
+
+def test_only_touched_editions_get_new_files(spark, tmp_path, lake):
+    """A batch is corrected: other editions keep their files, and all tables equal a full rebuild."""
+    one, two, three = (str(tmp_path / f"in{i}") for i in (1, 2, 3))
+    write(f"{one}/a.csv", *[line(k, day=f"01/01/{2000 + k % 5}", pay=f"{k},50", langs="SQL;R" if k % 2 else "SQL") for k in range(1, 41)], line("", role="x"))
+    write(f"{two}/b.csv", line(7, day="01/01/2002", pay="99,00"), line(8, day="01/01/2003"), line(50, day="31/31/2000"), line("x"))
+    write(f"{three}/c.csv", line(60, day="01/01/2004"))
+    for batch, raw in ((1, one), (2, two), (3, three)):
+        run_bronze(spark, lake, raw, batch)
+    run_silver(spark, lake, csv=False)
+    run_gold(spark, lake)
+    old_silver, old_gold = files(lake, "silver", spark), files(lake, "gold", spark)
+
+    # 7 moves from 2002 back to its first answer (2002), 8 from 2003 to 2001, 50 gets a day, 51 is new in 2003
+    write(f"{two}/b.csv", line(8, day="01/01/2001"), line(50, day="01/01/2001"), line(" 51 ", day="01/01/2003", pay="1,00"))
+    editions = reprocess(spark, lake, {2: two}, csv=False)
+    none = "edition=__HIVE_DEFAULT_PARTITION__"
+    assert editions == sorted(["edition=2001", "edition=2002", "edition=2003", none])
+    new_silver, new_gold = files(lake, "silver", spark), files(lake, "gold", spark)
+    for before, after, names in ((old_silver, new_silver, ("answers", "tech")), (old_gold, new_gold, FAMILIES)):
+        for name in names:
+            for edition in ("edition=2000", "edition=2004"):
+                assert after[name, edition] == before[name, edition]
+            for edition in ("edition=2001", "edition=2003"):
+                assert after[name, edition] != before[name, edition]
+            assert (name, none) in before and (name, none) not in after
+    assert new_silver["quarantine", "_batch_id=1"] == old_silver["quarantine", "_batch_id=1"] and ("quarantine", "_batch_id=2") not in new_silver
+
+    assert reprocess(spark, lake, {}, csv=False) == [] and files(lake, "gold", spark) == new_gold
+    kept = contents(lake, "silver", spark), contents(lake, "gold", spark)
+    run_silver(spark, lake, csv=False)
+    run_gold(spark, lake)
+    assert kept == (contents(lake, "silver", spark), contents(lake, "gold", spark))
+    # the catalog has followed
+    assert spark.table(f"{lake.database('silver')}.answers").count() == read_table(spark, lake, "silver", "answers").count() == 43
+
+
+def test_gold_from_counts_equals_gold_from_answers(spark, small):
+    """Every gold table, from the stored families of counts and straight from the answers."""
+    answers = survey_silver(spark, small).persist()
+    stored = {name: cells(answers, name).persist() for name in FAMILIES}
+    for name, build in GOLD_TABLES.items():
+        counted, direct = from_cells(name, stored.__getitem__), build(answers)
+        assert counted.dtypes == direct.dtypes, name
+        assert rows(counted, *counted.columns) == rows(direct, *direct.columns), name
+    assert stored["cells_people"].agg(F.sum("_weight")).first()[0] == answers.count()

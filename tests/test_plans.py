@@ -3,7 +3,8 @@
 import pytest
 
 from plan_text import scans
-from surveylake.checks.queries import FRONT_COLUMNS, QUERIES
+from surveylake.checks.queries import QUERIES
+from surveylake.plans.fronts import GOLD_COLUMNS
 
 # Queries that put two tables together, or values of a group and its rows, by definition.
 SEVERAL_READS = {"silver_trace": 2, "gold_join_semi": 2, "gold_join_anti": 2, "gold_join_inner": 2, "gold_join_left": 2,
@@ -50,9 +51,9 @@ def test_segments_are_not_ranked_in_one_task(plans):
     assert windows and not any("SinglePartition" in below for i in windows for below in lines[i + 1:i + 7])
 
 
-@pytest.mark.parametrize("name", sorted(FRONT_COLUMNS))
+@pytest.mark.parametrize("name", sorted(GOLD_COLUMNS))
 def test_only_the_needed_tables_are_read(plans, name):
-    plan, columns = plans(name), set(FRONT_COLUMNS[name])
+    plan, columns = plans(name), set(GOLD_COLUMNS[name])
     assert bool(scans(plan, "customer")) == bool(columns & {"role", "region", "state"})
     tools = columns & {"langs", "bi_tools", "databases", "clouds", "ai_use", "n_tools"}
     assert bool(scans(plan, "lineitem")) == bool(tools)
