@@ -9,7 +9,8 @@ of the first collection with another one get keys at all.
 1. Equal sets are one set from here on.
 2. Every member of a bucket is compared with the bucket's first set. Links join to components.
 3. In a bucket of several components, sets of different components are compared too: as pairs
-   up to ``SMALL`` sets, else in tasks of two parts each, which return fewer links than sets.
+   up to ``SMALL`` sets. Sets that meet in larger buckets are one neighbourhood, over all tables: those
+   outside its main component are compared with all of it, in tasks of bounded parts.
 
 Every comparison counts the shared shingles of the full sets. A shingle is known by 64 bits of
 hash, a set by 128.
@@ -35,7 +36,7 @@ from surveylake.llm.components import components
 SHINGLE, PERCENT = 2, 80
 DEPTH, HALVES = 3, 12
 #: Buckets of up to this many sets are compared as pairs; larger ones in parts of about so many.
-SMALL, PART = 64, 512
+SMALL, PART = 64, 2_048
 ODD = np.uint64(0x9E3779B97F4A7C15)
 SIGNED = "doc_id long, n long, digest binary, text_md5 string, left array<long>, right array<long>"
 
@@ -126,22 +127,26 @@ def _compared(percent: int):
 
 
 def _spanned(percent: int):
-    """Links that join what is similar in a group of sets: less than one per set. Sets of one label are joined already."""
+    """Links of the sets that ask with the others: less than one per set. Sets of one label are joined already."""
     def run(table: pa.Table) -> pa.Table:
+        asks = table.column("asks").to_numpy()
+        if not asks.any() or asks.all():
+            return table.select(["u"]).slice(0, 0).append_column("v", pa.array([], pa.int64()))
         ids, label = table.column("u").to_numpy(), np.unique(table.column("label").to_numpy(), return_inverse=True)[1]
         found = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("names")]
-        sizes = np.array([len(x) for x in found])
-        member = np.repeat(np.arange(len(found)), sizes)
-        name = np.unique(np.concatenate(found), return_inverse=True)[1]
-        order = np.argsort(name, kind="stable")
-        holders, starts = member[order], np.r_[0, np.bincount(name).cumsum()]
-        ends = sizes.cumsum()
+        answers = np.flatnonzero(~asks)
+        sizes = np.array([len(found[i]) for i in answers])
+        names, name = np.unique(np.concatenate([found[i] for i in answers]), return_inverse=True)
+        holders = np.repeat(np.arange(len(answers)), sizes)[np.argsort(name, kind="stable")]
+        starts = np.r_[0, np.bincount(name).cumsum()]
         links = []
-        for i in range(len(found)):
-            others = np.concatenate([holders[starts[x]:starts[x + 1]] for x in name[ends[i] - sizes[i]:ends[i]]])
-            both = np.bincount(others, minlength=len(found))
-            similar = (100 * both >= percent * (sizes + sizes[i] - both)) & (label != label[i])
-            for j in np.flatnonzero(similar).tolist():
+        for i in np.flatnonzero(asks).tolist():
+            at = np.minimum(np.searchsorted(names, found[i]), len(names) - 1)
+            at = at[names[at] == found[i]]
+            others = np.concatenate([holders[:0], *[holders[starts[x]:starts[x + 1]] for x in at.tolist()]])
+            both = np.bincount(others, minlength=len(answers))
+            similar = (100 * both >= percent * (sizes + len(found[i]) - both)) & (label[answers] != label[i])
+            for j in answers[similar].tolist():
                 if label[j] != label[i]:
                     links.append((max(ids[i], ids[j]), min(ids[i], ids[j])))
                     label[label == label[j]] = label[i]
@@ -166,6 +171,25 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select("u", "v", "names_u", "names_v").mapInArrow(_compared(percent), "u long, v long")
 
 
+def neighbours(rows: DataFrame, names: DataFrame, percent: int, part: int) -> DataFrame:
+    """Links between the components that meet in large buckets.
+
+    Sets that buckets join, directly or over others, are one neighbourhood, whatever the number of tables
+    they meet in. Sets outside its most frequent component are compared with all its sets, part by part.
+    """
+    reached = components(rows.where("u > first").select("u", F.col("first").alias("v")))
+    sets = rows.select("u", "label").distinct().join(reached.withColumnRenamed("label", "hood"), "u", "left").withColumn("hood", F.coalesce("hood", "u"))
+    sizes = sets.groupBy("hood", "label").agg(F.count("*").alias("n")).groupBy("hood").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("main"))
+    sets = sets.join(sizes.select("hood", "n", F.col("main.n").alias("most"), F.col("main.label").alias("main")), "hood")
+    spread = lambda n: F.greatest(F.lit(1), F.ceil(n / part).cast("int"))
+    place = lambda n: F.pmod(F.xxhash64("u"), spread(n)).cast("int")
+    all_, others = F.col("n"), F.col("n") - F.col("most")
+    right = sets.select("hood", "u", "label", F.explode(F.sequence(F.lit(0), spread(others) - 1)).alias("p"), place(all_).alias("q"), F.lit(False).alias("asks"))
+    left = sets.where("label <> main").select("hood", "u", "label", place(others).alias("p"), F.explode(F.sequence(F.lit(0), spread(all_) - 1)).alias("q"), F.lit(True).alias("asks"))
+    cells = left.unionByName(right).join(names, "u")
+    return cells.groupBy("hood", "p", "q").applyInArrow(_spanned(percent), "u long, v long").distinct()
+
+
 def links(sets: DataFrame, docs: DataFrame, shingle: int, percent: int, small: int = SMALL, part: int = PART) -> DataFrame:
     """(u, label) of every set that is linked, but for the smallest of its component, which is the label."""
     rows = save(buckets(sets))
@@ -178,20 +202,13 @@ def links(sets: DataFrame, docs: DataFrame, shingle: int, percent: int, small: i
     edges = save(similar(stars, names, percent))
     labels = components(edges)
 
-    labelled = rows.join(labels, "u", "left").select("key", "u", "n", F.coalesce("label", "u").alias("label"))
-    mixed_ = labelled.groupBy("key").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.sum(F.xxhash64("u").cast("decimal(38,0)")).alias("members"), F.max("n").alias("size")).where("low < high")
-    # Of buckets with the same members in several tables one is enough.
-    mixed_ = mixed_.groupBy("members", "size").agg(F.min("key").alias("key")).select("key")
+    labelled = rows.join(labels, "u", "left").select("key", "u", "n", "first", F.coalesce("label", "u").alias("label"))
+    mixed_ = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
     mixed_ = save(labelled.join(mixed_, "key"))
     rest = mixed_.where(F.col("n") <= small).groupBy("key").agg(F.collect_list(F.struct("u", "label")).alias("all"))
     rest = rest.select(F.explode("all").alias("a"), "all").select("a", F.explode("all").alias("b"))
     pairs = rest.where("a.u > b.u AND a.label <> b.label").select(F.col("a.u").alias("u"), F.col("b.u").alias("v")).distinct().join(stars, ["u", "v"], "left_anti")
-    parts = F.ceil(F.col("n") / part).cast("int")
-    large = mixed_.where(F.col("n") > small).withColumn("mine", F.pmod(F.xxhash64("u"), parts).cast("int"))
-    large = large.select("key", "u", "label", "mine", F.explode(F.sequence(F.lit(0), parts - 1)).alias("with"))
-    large = large.select("key", "u", "label", F.least("mine", "with").alias("p"), F.greatest("mine", "with").alias("q")).join(names, "u")
-    spanned = large.groupBy("key", "p", "q").applyInArrow(_spanned(percent), "u long, v long").distinct()
+    spanned = neighbours(mixed_.where(F.col("n") > small), names, percent, part)
     more = save(similar(pairs, names, percent).unionByName(spanned))
     if more.isEmpty():
         return labels
