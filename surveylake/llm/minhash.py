@@ -37,6 +37,8 @@ SHINGLE, PERCENT = 2, 80
 DEPTH, HALVES = 3, 12
 #: Buckets of up to this many sets are compared as pairs; larger ones in parts of about so many.
 SMALL, PART = 64, 2_048
+#: Names that are hashed at a time.
+GROUP_NAMES = 1 << 17
 ODD = np.uint64(0x9E3779B97F4A7C15)
 SIGNED = "doc_id long, n long, digest binary, text_md5 string, left array<long>, right array<long>"
 
@@ -72,33 +74,43 @@ class Shingles:
         return np.unique(names)
 
 
-def half_keys(names: np.ndarray, depth: int = DEPTH, halves: int = HALVES) -> np.ndarray:
-    """The half keys of both collections, of ``depth`` minhashes each."""
+def half_keys(names: list[np.ndarray], depth: int = DEPTH, halves: int = HALVES) -> np.ndarray:
+    """The half keys of both collections of each set, of ``depth`` minhashes each; no set is empty."""
     number = 2 * halves * depth
     seeds = mixed(np.arange(1, number + 1, dtype=np.uint64) * ODD)
-    least = np.array([((names ^ seed) * (seed | np.uint64(1))).min() for seed in seeds])
-    keys = np.zeros(2 * halves, np.uint64)
-    for part in least.reshape(2 * halves, depth).T:
+    flat, starts = np.concatenate(names), np.r_[0, np.cumsum([len(x) for x in names])[:-1]]
+    least = np.stack([np.minimum.reduceat((flat ^ seed) * (seed | np.uint64(1)), starts) for seed in seeds])
+    keys = np.zeros((2 * halves, len(names)), np.uint64)
+    for part in least.reshape(2 * halves, depth, len(names)).transpose(1, 0, 2):
         keys = mixed(keys * ODD + part)
-    return keys.view(np.int64).reshape(2, halves)
+    return keys.view(np.int64).reshape(2, halves, len(names)).transpose(2, 0, 1)
 
 
 def _signed(shingle: int):
+    kind = pa.list_(pa.int64())
+
+    def signed(batch: pa.RecordBatch, sets: list[np.ndarray]) -> pa.RecordBatch:
+        some = [x for x in sets if len(x)]
+        keys = iter(half_keys(some)) if some else iter(())
+        halves = [next(keys) if len(x) else ([], []) for x in sets]
+        digests = [xxhash.xxh3_128_digest(x.tobytes()) for x in sets]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(digests, pa.binary()), batch.column("text_md5"),
+             pa.array([x[0] for x in halves], kind), pa.array([x[1] for x in halves], kind)],
+            ["doc_id", "n", "digest", "text_md5", "left", "right"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(shingle)
         for batch in batches:
-            sizes, digests, left, right = [], [], [], []
-            for text in texts(batch):
-                names = shingles(text)
-                sizes.append(len(names))
-                digests.append(xxhash.xxh3_128_digest(names.tobytes()))
-                a, b = half_keys(names) if len(names) else ([], [])
-                left.append(a)
-                right.append(b)
-            kind = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), batch.column("text_md5"), pa.array(left, kind), pa.array(right, kind)],
-                ["doc_id", "n", "digest", "text_md5", "left", "right"])
+            sets, size, first = [], 0, 0
+            for at, text in enumerate(texts(batch)):
+                sets.append(shingles(text))
+                size += len(sets[-1])
+                if size >= GROUP_NAMES:
+                    yield signed(batch.slice(first, at + 1 - first), sets)
+                    sets, size, first = [], 0, at + 1
+            if sets:
+                yield signed(batch.slice(first), sets)
 
     return run
 
