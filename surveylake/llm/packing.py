@@ -9,6 +9,7 @@ their rank among the pieces of their length.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections import Counter
@@ -30,6 +31,8 @@ CHUNK_BYTES = 4 << 20
 #: The pieces that the vocabulary's own splitter makes of a normalised text.
 SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^ \p{L}\p{N}]+"
 SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
+#: White space of any alphabet; words are split at that of ASCII only.
+SPACE = re.compile(r"\s")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -60,6 +63,7 @@ class WordIds:
         self.pieces: dict[str, bytes] = {}
 
     def normalised(self, found: list[str]) -> list[str]:
+        """Words without white space of any alphabet, normalised together; the normaliser cannot shift them."""
         out = self.whole.normalizer.normalize_str(" ".join(found)).split(" ")
         return out if len(out) == len(found) else [self.whole.normalizer.normalize_str(w) for w in found]
 
@@ -70,11 +74,12 @@ class WordIds:
         if len(self.pieces) > CACHED_WORDS:
             self.pieces = {}
         new = []
-        for word in found:
+        for word in sorted(found):
             if word not in self.words:
                 if word in self.old:
                     self.words[word] = self.old[word]
-                elif any(x in word for x in SPECIAL):
+                elif any(x in word for x in SPECIAL) or not word.isascii() and SPACE.search(word.decode()):
+                    # a special token, or white space that the tokenizer splits at: encoded by itself
                     ids = self.whole.encode(word.decode(), add_special_tokens=False).ids
                     self.words[word] = struct.pack(f"<{len(ids)}I", *ids)
                 else:

@@ -281,3 +281,19 @@ def test_shards(spark, edge, empty):
     written = sharding.write_shards(edge, "doc_id", "text", 3)
     assert written.count() == edge.count()
     assert sharding.shuffle_into_shards(empty, "doc_id", "text", 3).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_word_ids_beside_white_space_of_other_alphabets(seed):
+    """In every order and mix, the ids of a text are those that the tokenizer gives the whole text."""
+    rng = random.Random(seed)
+    spaces = ["\u00a0", "\u2028", "\u3000", "\u0085", "\u2003", "\u202f", "\u1680", "\x1c", "\x1f", "\ufeff"]
+    pool = ["alpha", "Beta", "\u00e7a", "e\u0301", "\u0301x", "don't", "12", "<|endoftext|>", *spaces, *[f"x{s}y" for s in spaces], *[f"{s}z{s}" for s in spaces]]
+    encoder = packing.WordIds(tokenizer_file())
+    whole = encoder.whole
+    for _ in range(30):
+        text = " ".join(rng.choices(pool, k=rng.randrange(1, 40)))
+        found = text.encode().split()
+        encoder.add(set(found))
+        ids = np.frombuffer(b"".join(encoder.words[w] for w in found), "<u4").tolist()
+        assert ids == whole.encode(text, add_special_tokens=False).ids, text
