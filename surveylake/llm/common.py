@@ -10,7 +10,8 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: A-Z to a-z, every other byte unchanged.
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -34,6 +35,30 @@ def save(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores after it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def boxed(docs: DataFrame, *own: Column) -> DataFrame:
+    """``own`` columns beside ``_input``, which holds all columns of ``docs`` but ``text``: no name can clash."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*rest).alias("_input"), *own)
+
+
+def unboxed(rows: DataFrame, docs: DataFrame, *more: Column) -> DataFrame:
+    """The columns of ``docs`` again, ``text`` being that of ``rows``, and ``more``."""
+    return rows.select(*[F.col("text") if c == "text" else F.col(f"_input.`{c}`") for c in docs.columns], *more)
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs``, written with a number per row, so that rows without an id and repeated rows can be told apart."""
+    return save(docs.withColumn(name, F.monotonically_increasing_id()))
+
+
 def words(text: bytes) -> list[bytes]:
     """Runs of bytes other than 0x09-0x0D and 0x20."""
     return text.split()

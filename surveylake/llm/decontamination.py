@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveylake.llm.common import LOWER, texts, words
+from surveylake.llm.common import LOWER, numbered, texts, unused, words
 
 #: Items that are searched in one pass over the documents; more take more passes.
 BLOCK_ITEMS = 4_096
@@ -392,3 +392,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         more = _block(docs, total, block)
         found = more if found is None else found.unionByName(more)
     return docs.sparkSession.createDataFrame([], ROW) if found is None else found
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` without the rows in which an item was found. A row is known by a number written with it, so ids may be NULL or repeat."""
+    row = unused(docs, "_row")
+    rows = numbered(docs, row)
+    found = contaminated(rows.select(F.col(row).alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias(row)).distinct()
+    return rows.join(found, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surveylake.llm.common import save, texts
+from surveylake.llm.common import boxed, save, texts, unboxed, unused
 
 #: A run is deleted only if it holds at least this many words.
 MIN_WORDS = 50
@@ -104,10 +104,26 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     The order of occurrences is doc_id, then line. Rows equal in doc_id and text are
     one document and are treated alike; rows with a NULL doc_id have no place in the
     order and stay as they are; NULL and empty texts stay. A text repeated whole
-    becomes empty; its row stays.
+    becomes empty; its row stays. Columns of any name are carried along; where one is
+    called ``_removed``, the count gets underscores after its name.
     """
-    docs = docs.withColumn("text", F.col("text").cast("string")).withColumn("_sum", F.xxhash64("text"))
-    spans = repeated_windows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "_sum", "text"), min_words).distinct()
+    own = boxed(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    cut = _dedup(own, min_words)
+    return unboxed(cut, docs, F.col("_removed").alias(unused(docs, "_removed")))
+
+
+def cut_documents(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` without repeated runs and without documents that had nothing else; ``n_chars`` follows the text."""
+    cut = dedup_lines(docs, min_words)
+    changed = F.col(unused(docs, "_removed")) > 0
+    cut = cut.where(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    length = F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return cut.withColumn("n_chars", length).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _dedup(docs: DataFrame, min_words: int) -> DataFrame:
+    docs = docs.withColumn("_sum", F.xxhash64("text"))
+    spans = repeated_windows(docs.select("doc_id", "_sum", "text"), min_words).distinct()
     spans = spans.groupBy(*ROW).agg(F.collect_list(F.struct("first", "last")).alias("_spans"))
     joined = docs.join(spans.withColumnsRenamed({"doc_id": "_doc"}).withColumnRenamed("_sum", "_sum2"),
                        (F.col("doc_id") == F.col("_doc")) & (F.col("_sum") == F.col("_sum2")), "left").drop("_doc", "_sum", "_sum2")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surveylake.llm.common import LOWER, save, texts, words
+from surveylake.llm.common import LOWER, boxed, save, texts, unboxed, words
 
 SYMBOLS = b"#*$%&|<>"
 UPPER, LETTERS = bytes(range(65, 91)), bytes([*range(65, 91), *range(97, 123)])
@@ -225,17 +225,18 @@ def verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataF
     stratum of its own. Rows that repeat a doc_id are judged each; unlabelled or
     NULL ids are judged by the cutoffs of their stratum.
     """
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), stratum)
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col(f"`{stratum}`").alias("lang"))
     sample = fit_sample(labels)
     scored = save(with_features(docs, word_weights(docs, sample), drop_text=True))
-    rows = judged(scored, cutoffs(scored, labels, sample, stratum), stratum)
-    return rows.select("doc_id", stratum, *[F.col(f"_{c}").alias(c) for c in (*BASE, "base_failed", "kept")], *[F.col(f"_{r}").alias(f"score_{r}") for r in RULES])
+    rows = judged(scored, cutoffs(scored, labels, sample, "lang"), "lang")
+    return rows.select("doc_id", F.col("lang").alias(stratum), *[F.col(f"_{c}").alias(c) for c in (*BASE, "base_failed", "kept")], *[F.col(f"_{r}").alias(f"score_{r}") for r in RULES])
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns."""
+    """The rows of ``docs`` that are kept, with their columns, whatever those are called."""
+    own = boxed(docs, F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col(f"`{stratum}`").cast("string").alias("lang"))
     sample = fit_sample(labels)
-    weights = word_weights(docs, sample)
-    labelled = docs.select("doc_id", F.col("text").cast("string").alias("text"), stratum).join(_labels(labels).select("doc_id"), "doc_id", "left_semi")
-    chosen = cutoffs(with_features(labelled, weights, drop_text=True), labels, sample, stratum)
-    return judged(with_features(docs, weights), chosen, stratum).where("_kept").select(*docs.columns)
+    weights = word_weights(own, sample)
+    labelled = own.drop("_input").join(_labels(labels).select("doc_id"), "doc_id", "left_semi")
+    chosen = cutoffs(with_features(labelled, weights, drop_text=True), labels, sample, "lang")
+    return unboxed(judged(with_features(own, weights), chosen, "lang").where("_kept"), docs)

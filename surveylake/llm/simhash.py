@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveylake.llm.common import LOWER, save, texts, words
+from surveylake.llm.common import LOWER, numbered, save, texts, unused, words
 from surveylake.llm.components import components
 
 SEED = 42
@@ -199,6 +199,20 @@ def linked(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return shared.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_compared(radius), "u long, v long").distinct()
 
 
+def one_of_each(docs: DataFrame, shingle: int, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest doc_id, of a row without one if none has.
+
+    Repeated rows are rows of one component, so one of them stays.
+    """
+    row = unused(docs, "_row")
+    rows = numbered(docs, row)
+    found = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), shingle, radius).select(F.col("doc_id").alias("row"), "component_id")
+    ids = rows.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "row"))["row"]
+    kept = found.join(ids, "row").groupBy("component_id").agg(first.alias(row)).select(row)
+    return rows.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def near_duplicates(docs: DataFrame, shingle: int, radius: int = RADIUS) -> DataFrame:
     """(doc_id, print, component_id) of each row.
 

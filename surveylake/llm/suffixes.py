@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveylake.llm.common import save, texts
+from surveylake.llm.common import numbered, save, texts
 
 LONG, GRAM = 100, 24
 #: Starts of grams in a LONG-byte string.
@@ -319,12 +319,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     A byte goes if a string of LONG bytes over it also starts earlier, in a smaller
     doc_id or before in the same text; strings are judged on the input. NULL and
-    short texts lose nothing. A NULL doc_id comes before all others. Rows equal in
-    doc_id and text are one text and lose the same bytes; a doc_id must not name
-    different texts.
+    short texts lose nothing. Rows with a NULL doc_id come before all others, in the order
+    in which they are written down first, each a document of its own; ids below -2^62 are
+    kept for them. Rows equal in doc_id and text are one text and lose the same
+    bytes; a doc_id must not name different texts.
     """
-    smallest = F.lit(-(1 << 63)).cast("long")
-    docs = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce(F.col("doc_id").cast("long"), smallest).alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
+    nameless = numbered(docs.where("_id IS NULL"), "doc_id").withColumn("doc_id", F.col("doc_id") - (1 << 62) - (1 << 62))
+    docs = docs.where("_id IS NOT NULL").withColumn("doc_id", F.col("_id")).unionByName(nameless)
     order = ["gram", "around", "doc_id", "at"]
     anchors = docs.select("doc_id", "text").mapInArrow(_anchors, "gram long, around long, doc_id long, at int")
     marks = anchors.repartition("gram").sortWithinPartitions(*order).mapInArrow(_classified, "doc_id long, at int, kind int")
