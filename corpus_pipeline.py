@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from surveylake.llm.common import save
-from surveylake.llm.decontamination import contaminated
-from surveylake.llm.lines import dedup_lines
+from surveylake.llm.decontamination import decontaminated
+from surveylake.llm.lines import cut_documents
 from surveylake.llm.packing import pack, token_pieces
 from surveylake.llm.quality import quality_filter
 from surveylake.llm.queries import table, tokenizer_file
-from surveylake.llm.simhash import near_duplicates
+from surveylake.llm.simhash import one_of_each
 
 #: Words in a shingle of the near-duplicate stage.
 SHINGLE = 5
@@ -24,25 +23,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later repeats of runs of lines; one that had nothing else goes. Others keep their text as it is."""
-    cut = dedup_lines(docs)
-    changed = F.col("_removed") > 0
-    cut = cut.where(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    length = F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return cut.withColumn("n_chars", length).select(*docs.columns)
+    return cut_documents(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near duplicates; documents without an id stay."""
-    found = near_duplicates(docs, SHINGLE)
-    gone = found.where(F.col("doc_id") > F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One document, that of the smallest id, of each group of near duplicates."""
+    return one_of_each(docs, SHINGLE)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item was found; a row is known by a number written with it, so ids may be NULL or repeat."""
-    rows = save(docs.withColumn("_row", F.monotonically_increasing_id()))
-    found = contaminated(rows.select(F.col("_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_row")).distinct()
-    return rows.join(found, "_row", "left_anti").select(*docs.columns)
+    """Documents in which no benchmark item was found."""
+    return decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
