@@ -184,15 +184,25 @@ def _stratum(stratum: str) -> F.Column:
     return F.coalesce(F.col(stratum).cast("string"), F.lit(""))
 
 
+def _same() -> F.Column:
+    return F.md5(F.col("text").cast("binary")).alias("same")
+
+
 def base_failed() -> F.Column:
     return (F.col("_n_words") < 20) | (100 * F.col("_n_repeat_words") > 30 * F.col("_n_words"))
 
 
 def cutoffs(scored: DataFrame, labels: DataFrame, sample: DataFrame, stratum: str, limit: float = LIMIT, error: float = ERROR) -> DataFrame:
-    """(stratum, one column per rule): the chosen cutoffs, NULL where none passed. One row per stratum."""
+    """(stratum, one column per rule): the chosen cutoffs, NULL where none passed. One row per stratum.
+
+    ``scored`` has the features, and in ``same`` a name of the text that equal texts share.
+    """
     held = _labels(labels).join(sample.select("doc_id"), "doc_id", "left_anti")
-    rows = scored.where(~base_failed()).join(held, "doc_id").select(
-        _stratum(stratum).alias("stratum"), ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int").alias("good"),
+    # The bound holds for independent texts, so a text counts once in its stratum, with its worst label, however often it occurs.
+    distinct = scored.where(~base_failed()).join(held, "doc_id").groupBy(_stratum(stratum).alias("stratum"), "same").agg(
+        F.min("quality").alias("quality"), F.max("toxic").alias("toxic"), *[F.first(f"_{r}").alias(f"_{r}") for r in RULES])
+    rows = distinct.select(
+        "stratum", ((F.col("quality") == 1) & (F.col("toxic") == 0)).cast("int").alias("good"),
         F.inline(F.array(*[
             F.struct(
                 F.lit(rule).alias("rule"),
@@ -225,7 +235,7 @@ def verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataF
     stratum of its own. Rows that repeat a doc_id are judged each; unlabelled or
     NULL ids are judged by the cutoffs of their stratum.
     """
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col(f"`{stratum}`").alias("lang"))
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col(f"`{stratum}`").alias("lang"), _same())
     sample = fit_sample(labels)
     scored = save(with_features(docs, word_weights(docs, sample), drop_text=True))
     rows = judged(scored, cutoffs(scored, labels, sample, "lang"), "lang")
@@ -234,7 +244,7 @@ def verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataF
 
 def quality_filter(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns, whatever those are called."""
-    own = boxed(docs, F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col(f"`{stratum}`").cast("string").alias("lang"))
+    own = boxed(docs, F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col(f"`{stratum}`").cast("string").alias("lang"), _same())
     sample = fit_sample(labels)
     weights = word_weights(own, sample)
     labelled = own.drop("_input").join(_labels(labels).select("doc_id"), "doc_id", "left_semi")

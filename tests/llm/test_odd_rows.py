@@ -63,3 +63,18 @@ def test_lines_count_in_a_free_column(spark):
     docs = spark.createDataFrame([(1, run, 5), (2, run, 6)], "doc_id long, text string, _removed int")
     got = sorted(map(tuple, lines.dedup_lines(docs).collect()))
     assert got == [(1, run, 5, 0), (2, "", 6, 1)]
+
+
+def test_repeated_texts_are_no_further_evidence(spark):
+    """98 good texts without a false rejection do not certify a limit of 2.5 %; neither do five copies of each, under one id or five; 490 texts do."""
+    rules = quality.RULES
+    limit, error = 0.025 * len(rules), 0.05 * len(rules)
+    assert quality.binomial_below(0, 98, 0.025) > 0.05 > quality.binomial_below(0, 490, 0.025)
+    for texts, copies, own, certified in ((98, 1, True, False), (98, 5, True, False), (98, 5, False, False), (490, 1, True, True)):
+        good = [(i * 5 + (k if own else 0), f"t{i}", "en", 30, 0, *[-1e9] * len(rules)) for i in range(texts) for k in range(copies)]
+        bad = [(10_000 + i, f"b{i}", "en", 30, 0, *[1e9] * len(rules)) for i in range(60)]
+        scored = spark.createDataFrame(good + bad, "doc_id long, same string, lang string, _n_words long, _n_repeat_words long, " + ", ".join(f"_{r} double" for r in rules))
+        worse = (F.col("doc_id") >= 10_000).cast("int")
+        labels = scored.select("doc_id", (1 - worse).alias("quality"), worse.alias("toxic"))
+        found = quality.cutoffs(scored, labels, labels.limit(0), "lang", limit, error).collect()
+        assert [[x is not None for x in list(r)[1:]] for r in found] == [[certified] * len(rules)]
