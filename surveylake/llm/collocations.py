@@ -195,9 +195,10 @@ def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
     vocabulary = save(_numbered(frequent.groupBy("lang", "word").agg(F.max("f").alias("f"))))
     local = frequent.join(vocabulary.drop("f"), ["lang", "word"]).select("chunk", "local", "id")
     parts = max(1, -(-(sizes.agg(F.sum("n")).first()[0] or 0) // RANGE_WORDS))
-    paired = save(streams.groupBy("chunk").cogroup(local.groupBy("chunk")).applyInArrow(_pairs(parts), FILTERS))
-    pairs = save(paired.where("part >= 0").groupBy("part", "n").applyInArrow(_merge(least), COUNTED))
-    streams = paired.where("part < 0").select("chunk", "body")
+    paired = streams.groupBy("chunk").cogroup(local.groupBy("chunk")).applyInArrow(_pairs(parts), FILTERS)
+    paired = save(paired.withColumn("kind", F.when(F.col("part") < 0, "stream").otherwise("filter")), "kind")
+    pairs = save(paired.where("kind = 'filter'").drop("kind").groupBy("part", "n").applyInArrow(_merge(least), COUNTED))
+    streams = paired.where("kind = 'stream'").select("chunk", "body")
     longer = streams.groupBy("chunk").cogroup(pairs.where("chunk >= 0").select("chunk", "ids").groupBy("chunk")).applyInArrow(_longer(parts, longest), FILTERS)
     phrases = longer.groupBy("part", "n").applyInArrow(_merge(least), COUNTED).unionByName(pairs.where("chunk < 0"))
     langs = vocabulary.select("lang", F.col("id").alias("first"))

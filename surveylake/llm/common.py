@@ -28,10 +28,13 @@ def scratch(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/surveylake-{uuid.uuid4().hex}"
 
 
-def save(df: DataFrame) -> DataFrame:
-    """The same rows, written to scratch and read again: lineage ends, sizes are known."""
+def save(df: DataFrame, *apart: str) -> DataFrame:
+    """The same rows, written to scratch and read again: lineage ends, sizes are known.
+
+    Rows that differ in the columns ``apart`` get files of their own, so that a reader of some does not load the others.
+    """
     path = scratch(df.sparkSession)
-    df.write.parquet(path)
+    (df.write.partitionBy(*apart) if apart else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
