@@ -284,3 +284,36 @@ def test_the_latent_space_is_fitted_on_all_documents(spark):
     for r in rows:
         got[r["feature"]] = np.frombuffer(r["total"])
     assert sum(r["rows"] for r in rows) == n > 2 * 4_000 and np.allclose(got, want, rtol=1e-3, atol=1e-2)
+
+
+def paraphrases(seed=23, n=200):
+    """Items, and documents that keep the answer and some 60 % of the item in order, the rest replaced; and documents with as much of its frequent words only."""
+    rng = random.Random(seed)
+    common, lexicon = [f"c{i}" for i in range(30)], [f"w{i}" for i in range(2_500)]
+    bench, texts = [], []
+    for i in range(n):
+        item = [rng.choice(common) if rng.random() < 0.4 else rng.choice(lexicon) for _ in range(rng.randint(18, 40))]
+        bench.append((i, " ".join(item)))
+        lead = len(item) - 6
+        gone = set(rng.sample(range(lead), round(len(item) * 0.4)))
+        told = [f"other{rng.randrange(10_000)}" if k in gone else w for k, w in enumerate(item)]
+        around = [rng.choice(common) if rng.random() < 0.4 else f"x{rng.randrange(5_000)}" for _ in range(200)]
+        at = rng.randrange(100)
+        texts.append(" ".join(around[:at] + told + around[at:]))
+        plain_ = [w for w in item if w in common]
+        texts.append(" ".join(around[:100] + plain_ + around[100:]))
+    return bench, texts
+
+
+def test_paraphrases_are_found_through_the_latent_space(spark, monkeypatch):
+    bench, texts = paraphrases()
+    docs, items = documents(spark, texts), spark.createDataFrame(bench, "item_id long, text string")
+    want = {(2 * i, i) for i, _t in bench}
+    literal = brute_force(texts, bench)
+    got = {(r["doc_id"], r["item_id"]) for r in contaminated(docs, items).collect()}
+    assert literal <= got and len(got & want) >= 0.9 * len(want)
+    # documents with nothing but an item's frequent words stay clean
+    assert not {(d, i) for d, i in got - literal if (d, i) not in want}
+    monkeypatch.setattr(decontamination, "MIN_COSINE", 2.0)
+    without = {(r["doc_id"], r["item_id"]) for r in contaminated(docs, items).collect()}
+    assert without == literal and len(without & want) < 0.2 * len(want)
