@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import tempfile
 import types
@@ -73,6 +74,20 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
+def released(run: Callable) -> Callable:
+    """``run`` for ``mapInArrow``; at its end the worker, which Spark keeps for other tasks, gives free memory back."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def per_worker(name: str, make: Callable[[], Any]) -> Any:
     """A cache that outlives a task: Spark keeps its Python workers, and functions come to them by value."""
     held = sys.modules.setdefault("_surveylake_worker", types.ModuleType("_surveylake_worker")).__dict__

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveylake.llm.common import LOWER, numbered, save, texts, unused, words
+from surveylake.llm.common import LOWER, numbered, released, save, texts, unused, words
 
 #: Items that are searched in one pass over the documents; more take more passes.
 BLOCK_ITEMS = 4_096
@@ -275,8 +275,8 @@ def latent_space(docs: DataFrame, items: list[tuple[np.ndarray, np.ndarray]], vo
     columns = "feature int, total binary, rows long"
     start = np.random.default_rng(7).standard_normal((FEATURES, RANK + OVERSAMPLE))
     total, rows = np.zeros(start.shape), 0
-    parts = docs.mapInArrow(_gram(vocabulary, idf.astype(np.float32), start.astype(np.float32)), columns)
-    for part in parts.repartition("feature").mapInArrow(_summed, columns).collect():  # at most FEATURES rows
+    parts = docs.mapInArrow(released(_gram(vocabulary, idf.astype(np.float32), start.astype(np.float32))), columns)
+    for part in parts.repartition("feature").mapInArrow(released(_summed), columns).collect():  # at most FEATURES rows
         total[part["feature"]] = np.frombuffer(part["total"], np.float64)
         rows += part["rows"]
     scale = max(1.0, rows / max(1, len(items)))
@@ -426,8 +426,8 @@ def _block(docs: DataFrame, total: int, items: list[tuple[int, list[bytes]]]) ->
             wholes.append((whole, offset))
             offset += len(part)
     features = feature_of(vocabulary)
-    coded = save(docs.mapInArrow(_encoded(vocabulary), CODED))
-    counts = coded.select("codes").mapInArrow(_frequencies(features), "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    coded = save(docs.mapInArrow(released(_encoded(vocabulary)), CODED))
+    counts = coded.select("codes").mapInArrow(released(_frequencies(features)), "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n"))
     idf = np.zeros(FEATURES)
     idf[features] = np.log(total + 1)
     for row in counts.collect():  # at most FEATURES rows
@@ -438,7 +438,7 @@ def _block(docs: DataFrame, total: int, items: list[tuple[int, list[bytes]]]) ->
     space = latent_space(coded, rows, vocabulary, idf)
     table = (idf[:, None] * space).astype(np.float32)
     latent = np.stack([table[c].sum(0) for c in item_features])
-    return coded.mapInArrow(_search(table, latent, idf, vocabulary, owners, parts, wholes), ROW)
+    return coded.mapInArrow(released(_search(table, latent, idf, vocabulary, owners, parts, wholes)), ROW)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surveylake.llm.common import boxed, save, texts, unboxed, unused
+from surveylake.llm.common import boxed, released, save, texts, unboxed, unused
 
 #: A run is deleted only if it holds at least this many words.
 MIN_WORDS = 50
@@ -64,7 +64,7 @@ def _windows(min_words: int):
 def repeated_windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, _sum, first, last): windows of lines that also stand earlier, by (doc_id, _sum, line)."""
     rows = save(docs.select(*ROW, "text").where("doc_id IS NOT NULL").mapInArrow(
-        _windows(min_words), "doc_id long, _sum long, fingerprint long, win long, first int, last int"))
+        released(_windows(min_words)), "doc_id long, _sum long, fingerprint long, win long, first int, last int"))
     keys = ["fingerprint", "win"]
     place = F.struct(*ROW, "first")
     known = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min(place).alias("earliest")).where("n > 1").select(*keys, "earliest")
@@ -128,4 +128,4 @@ def _dedup(docs: DataFrame, min_words: int) -> DataFrame:
     joined = docs.join(spans.withColumnsRenamed({"doc_id": "_doc"}).withColumnRenamed("_sum", "_sum2"),
                        (F.col("doc_id") == F.col("_doc")) & (F.col("_sum") == F.col("_sum2")), "left").drop("_doc", "_sum", "_sum2")
     kept = [f for f in joined.schema if f.name != "_spans"]
-    return joined.mapInArrow(_cut, T.StructType([*kept, T.StructField("_removed", T.LongType())]))
+    return joined.mapInArrow(released(_cut), T.StructType([*kept, T.StructField("_removed", T.LongType())]))

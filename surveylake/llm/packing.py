@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from surveylake.llm.common import per_worker, save, texts, words
+from surveylake.llm.common import per_worker, released, save, texts, words
 
 #: Ranks are counted in this many parts per length, so one hot length is no hot task.
 RANK_PARTS = 256
 #: Words whose ids a worker remembers; it keeps as many of the generation before.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 300_000
 #: Bytes of text that are cut into words at a time.
 CHUNK_BYTES = 4 << 20
 #: The pieces that the vocabulary's own splitter makes of a normalised text.
@@ -136,7 +136,7 @@ def _pieces(tokenizer_file: str, capacity: int, end_id: int):
 def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """One row per piece: each text's ids and an end id, cut only where longer than ``capacity``. NULL text is empty."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(_pieces(tokenizer_file, capacity, end_id), PIECES)
+    return docs.mapInArrow(released(_pieces(tokenizer_file, capacity, end_id)), PIECES)
 
 
 def fullest(counts: Counter, room: int) -> Counter:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from surveylake.llm.common import LOWER, boxed, save, texts, unboxed, words
+from surveylake.llm.common import LOWER, boxed, released, save, texts, unboxed, words
 
 SYMBOLS = b"#*$%&|<>"
 UPPER, LETTERS = bytes(range(65, 91)), bytes([*range(65, 91), *range(97, 123)])
@@ -114,7 +114,7 @@ def with_features(docs: DataFrame, weights: dict[bytes, float], drop_text: bool
     """All columns of ``docs`` (but ``text`` if dropped) and the features, their names led by ``_``."""
     kept = [f for f in docs.schema if not (drop_text and f.name == "text")]
     made = [T.StructField(f"_{c}", T.LongType()) for c in BASE] + [T.StructField(f"_{r}", T.DoubleType()) for r in RULES]
-    return docs.mapInArrow(_with_features(weights, drop_text), T.StructType(kept + made))
+    return docs.mapInArrow(released(_with_features(weights, drop_text)), T.StructType(kept + made))
 
 
 def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +127,7 @@ def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def word_weights(docs: DataFrame, sample: DataFrame) -> dict[bytes, float]:
     """Log-odds of words and their beginnings for toxic texts, at least 2, from the labelled ``sample`` of at most FIT_ROWS rows."""
     found = docs.select("doc_id", "text").join(F.broadcast(sample.select("doc_id", "toxic")), "doc_id")
-    rows = found.select("toxic", "text").mapInArrow(_distinct_words, "toxic int, words array<binary>")
+    rows = found.select("toxic", "text").mapInArrow(released(_distinct_words), "toxic int, words array<binary>")
     counts = rows.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
     totals = sample.agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).first()
     counts = counts.where(F.col("t") >= max(5, FIT_SHARE * (totals["t"] or 0)))

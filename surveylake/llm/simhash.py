@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surveylake.llm.common import LOWER, numbered, save, texts, unused, words
+from surveylake.llm.common import LOWER, numbered, released, save, texts, unused, words
 from surveylake.llm.components import components
 
 SEED = 42
@@ -67,7 +67,7 @@ def _fingerprints(shingle: int):
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
     """(doc_id, print as a signed long) of each row's whole text."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(_fingerprints(shingle), "doc_id long, print long")
+    return docs.mapInArrow(released(_fingerprints(shingle)), "doc_id long, print long")
 
 
 def _shifted(plane: np.ndarray, at: np.ndarray, shift: int) -> np.ndarray:
@@ -196,7 +196,7 @@ def linked(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     shared = rows.join(sizes, ["table", "key"]).select("table", "key", "print", mine.alias("mine"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("with"))
     shared = shared.select("table", "key", F.least("mine", "with").alias("part"), F.greatest("mine", "with").alias("other"), "print")
     keys = ["table", "key", "part", "other"]
-    return shared.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_compared(radius), "u long, v long").distinct()
+    return shared.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(released(_compared(radius)), "u long, v long").distinct()
 
 
 def one_of_each(docs: DataFrame, shingle: int, radius: int = RADIUS) -> DataFrame:
