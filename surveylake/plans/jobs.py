@@ -37,7 +37,7 @@ def run_bronze(
     sep: str = ",", encoding: str = "UTF-8",
 ) -> None:
     """Land a delivery whole: all columns of its headers, and lines that do not fit them in a column of their own."""
-    rows = read_raw(spark, raw, corrupt=CORRUPT, multi_line=multi_line, sep=sep, encoding=encoding)
+    rows = read_raw(spark, raw, corrupt=CORRUPT, multi_line=multi_line, sep=sep, encoding=encoding, numbered=True)
     land_bronze(rows, lake, batch_id)
     register(spark, lake, "bronze", "answers", "raw answers, every column text", replace=True)
 

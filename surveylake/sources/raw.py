@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from surveylake.sources.lake import Lake, write_batch
+from surveylake.sources.records import first_lines, header_names, read_records
 
 CORRUPT = "_corrupt_record"
 ORIGIN = ("_source_file", "_source_time")
@@ -24,11 +25,18 @@ def _reader(spark: SparkSession, sep: str, encoding: str, multi_line: bool):
 def files_by_header(
     spark: SparkSession, path: str | Sequence[str], sep: str = ",", encoding: str = "UTF-8", multi_line: bool = False
 ) -> dict[tuple, list[str]]:
-    """The delivered files under each header that occurs; of every file only its beginning is read."""
+    """The delivered files under each header that occurs: one job, whatever the number of files.
+
+    Encodings other than UTF-8 and headers over several lines are left to Spark's own reader, file by file.
+    """
     paths = [path] if isinstance(path, str) else list(path)
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).select("path")
     found: dict[tuple, list[str]] = {}
-    for row in listed.orderBy("path").toLocalIterator():  # as many as a delivery has files
+    if encoding.upper().replace("-", "") == "UTF8" and not multi_line:
+        for row in sorted(first_lines(spark, paths).collect()):  # as many as a delivery has files
+            found.setdefault(header_names(row["header"], sep), []).append(row["file"])
+        return found
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).select("path")
+    for row in listed.orderBy("path").toLocalIterator():
         header = tuple(_reader(spark, sep, encoding, multi_line).csv(row["path"]).columns)
         found.setdefault(header, []).append(row["path"])
     return found
@@ -42,15 +50,19 @@ def read_raw(
     multi_line: bool = False,
     sep: str = ",",
     encoding: str = "UTF-8",
+    numbered: bool = False,
 ) -> DataFrame:
     """CSV files as they are: every column text, nothing inferred or trimmed.
 
     Each file has the columns of its own header; a question that only some files
     have is NULL in the others. ``columns`` demands one header of all files.
     ``corrupt`` names a column for lines that do not fit the columns. A file with
-    line breaks inside quotes needs ``multi_line``; it is then read by one task,
-    so land it once and go on from bronze.
+    line breaks inside quotes needs ``multi_line``; it is read by many tasks, too
+    (by one task only in an encoding other than UTF-8). ``numbered`` adds the
+    identity of each row, growing along the files, where lines are not read in order.
     """
+    if multi_line and encoding.upper().replace("-", "") == "UTF8" and len(sep) == 1:
+        return _read_records(spark, path, columns, corrupt, sep, numbered)
     if columns is None:
         groups = files_by_header(spark, path, sep, encoding, multi_line)
     else:
@@ -74,13 +86,27 @@ def read_raw(
     return whole.select(*[F.col(f"`{c}`") for c in whole.columns if c not in last], *last)
 
 
+def _read_records(spark, path, columns, corrupt, sep, numbered) -> DataFrame:
+    rows, headers = read_records(spark, path, sep, corrupt)
+    if not headers:
+        raise ValueError(f"no files in {path}")
+    if columns is not None and headers != [tuple(columns)]:
+        raise ValueError(f"the header is {headers}, not {tuple(columns)}")
+    names = list(dict.fromkeys(n for h in headers for n in h))
+    return rows.select(
+        *[F.col(f"`{c}`") for c in names], *([corrupt] if corrupt else []), F.col("file").alias(ORIGIN[0]), F.col("time").alias(ORIGIN[1]),
+        *([F.col("row_id").alias(ROW_ID)] if numbered else []))
+
+
 def land_bronze(df: DataFrame, lake: Lake, batch_id: int, name: str = "answers") -> str:
     """Keep the raw rows of a batch with the file they came from, its time, and an identity.
 
     ``df`` comes from ``read_raw``. ``_row_id`` is given once, when the row is
     written, and is unique in its batch. Landing a batch again replaces it.
     """
-    return write_batch(df.withColumn(ROW_ID, F.monotonically_increasing_id()), lake, name, batch_id)
+    if ROW_ID not in df.columns:
+        df = df.withColumn(ROW_ID, F.monotonically_increasing_id())
+    return write_batch(df, lake, name, batch_id)
 
 
 def trace(silver: DataFrame, bronze: DataFrame, keys: DataFrame | Sequence[int] | None = None) -> DataFrame:
