@@ -34,7 +34,7 @@ BLOCK_ITEMS = 4_096
 FEATURES = 1 << 14
 RANK, OVERSAMPLE = 96, 16
 #: Words that are looked at together.
-CHUNK_WORDS = 1 << 17
+CHUNK_WORDS = 1 << 16
 #: A passage is three strides of words, so items of up to two strides lie in one whole.
 STRIDE, STRIDES = 32, 3
 MIN_COSINE, LATENT_COMMON, LATENT_CONTENT = 0.6, 0.5, 0.4
@@ -43,12 +43,14 @@ MIN_COMMON = 0.7
 ANSWER_WORDS, MIN_ANSWER = 6, 0.5
 #: Item words that are looked for as one; longer items are cut in equal parts.
 SEGMENT = STRIDE * (STRIDES - 1)
+#: What may stand around a word.
+MARKS = b".,;:!?\"'()[]{}*#$%&|<>-_"
 CODED = "doc_id long, n_words long, places binary, codes binary"
 ROW = "doc_id long, item_id long, cosine double, common double, answer double, first_word long"
 
 
 def plain(word: bytes) -> bytes:
-    return word.strip(b".,;:!?\"'()[]{}*#$%&|<>-_")
+    return word.strip(MARKS)
 
 
 def item_words(text: bytes) -> list[bytes]:
@@ -79,17 +81,21 @@ def common_subsequence(a: list[bytes], b: list[bytes]) -> int:
     return len(a) - row.bit_count()
 
 
-class Codes(dict):
-    """Number of each word in the vocabulary, -1 of any other, whatever marks stand around it."""
+class Codes:
+    """Numbers of words in the vocabulary, -1 of others, whatever marks stand around them; words seen are kept up to a bound."""
+
+    KEPT = 400_000
 
     def __init__(self, vocabulary: dict[bytes, int]):
-        self.vocabulary = vocabulary
+        self.vocabulary, self.known = vocabulary, {}
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        self[word] = code = self.vocabulary.get(plain(word), -1)
-        return code
+    def __call__(self, found: list[bytes]) -> np.ndarray:
+        if len(self.known) > self.KEPT:
+            self.known = {}
+        known, number = self.known, self.vocabulary.get
+        for word in set(found).difference(known):
+            known[word] = number(word.strip(MARKS), -1)
+        return np.fromiter(map(known.__getitem__, found), np.int32, len(found))
 
 
 def _encoded(vocabulary: dict[bytes, int]):
@@ -100,7 +106,7 @@ def _encoded(vocabulary: dict[bytes, int]):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
                 found = words(text.translate(LOWER))
-                coded = np.fromiter(map(codes.__getitem__, found), np.int32, len(found))
+                coded = codes(found)
                 at = np.flatnonzero(coded >= 0)
                 if len(at):
                     rows.append((doc_id, len(found), at.astype("<i4").tobytes(), coded[at].astype("<i4").tobytes()))
@@ -226,6 +232,7 @@ def _gram(vocabulary, idf: np.ndarray, basis: np.ndarray):
     """Each task's part of (AtA) basis, A the TF-IDF passages, a row per feature; the number of passages is in the first."""
     vocabulary = numbers(vocabulary)
     features = feature_of(vocabulary)
+    weighted = idf[:, None] * basis
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rows = np.zeros(basis.shape, np.float64), 0
@@ -234,8 +241,7 @@ def _gram(vocabulary, idf: np.ndarray, basis: np.ndarray):
             length = norms(chunk, feature, idf)
             live = length > 0
             rows += int(live.sum())
-            weight = idf[feature][:, None]
-            image = chunk.passages(chunk.sums(weight * basis[feature]))
+            image = chunk.passages(chunk.sums(weighted[feature]))
             image[live] /= (length[live] ** 2)[:, None]
             image[~live] = 0
             back = np.zeros((chunk.strides, basis.shape[1]), image.dtype)
@@ -244,7 +250,7 @@ def _gram(vocabulary, idf: np.ndarray, basis: np.ndarray):
             order = np.argsort(feature, kind="stable")
             ordered = feature[order]
             starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-            total[ordered[starts]] += np.add.reduceat(weight[order] * back[chunk.stride[order]], starts)
+            total[ordered[starts]] += idf[ordered[starts], None] * np.add.reduceat(back[chunk.stride[order]], starts)
         at = np.flatnonzero(total.any(1))
         counts = np.zeros(len(at), np.int64)
         counts[:1] = rows
