@@ -44,7 +44,14 @@ PLAIN = bytes.maketrans(b",;:!?\x0a\x0b\x0c\x0d\t" + bytes(range(65, 91)), b"."
 STOP = re.compile(rb"\.")
 CHUNKS = "chunk long, local int, lang string, word binary, n long, stream binary"
 FILTERS = "chunk long, part int, n int, body binary"
-COUNTED = "n int, ids array<long>, f long, chunk long"
+#: Frequent n-grams with their counts; and the frequent pairs of a chunk, packed.
+COUNTED = "n int, ids array<long>, f long, chunk long, pairs binary"
+COUNTED_COLUMNS = ["n", "ids", "f", "chunk", "pairs"]
+#: Words with their number in a task; and a chunk's words by their number in it and in the task, packed.
+NAMED = "part int, number long, lang string, word binary, f long, chunk long, body binary"
+NAMED_COLUMNS = ["part", "number", "lang", "word", "f", "chunk", "body"]
+#: Rows that a task packs at a time.
+PACKED_ROWS = 1 << 20
 
 
 def cuts(text: bytes) -> Iterator[list[bytes]]:
@@ -114,7 +121,9 @@ def _pairs(parts: int):
             return _table([])
         local = np.frombuffer(left.column("stream")[0].as_py(), "<u4")
         known = np.zeros(int(local.max()) + 1, np.uint64)
-        known[right.column("local").to_numpy()] = right.column("id").to_numpy()
+        for start, body in zip(right.column("start").to_pylist(), right.column("body").to_pylist()):
+            word, number = np.frombuffer(body, "<u4").reshape(-1, 2).T
+            known[word] = number.astype(np.uint64) + np.uint64(start)
         ids = known[local]
         ids = ids[(ids != 0) | np.r_[True, ids[:-1] != 0]]
         at = np.flatnonzero((ids[:-1] != 0) & (ids[1:] != 0))
@@ -131,8 +140,8 @@ def _longer(parts: int, longest: int):
             return _table([])
         ids = np.frombuffer(left.column("body")[0].as_py(), "<u4").astype(np.uint64)
         shift = np.uint64(32)
-        frequent = np.array(right.column("ids").combine_chunks().flatten().to_numpy().reshape(-1, 2), np.uint64)
-        pair = np.isin(ids[:-1] << shift | ids[1:], frequent[:, 0] << shift | frequent[:, 1])
+        frequent = np.frombuffer(b"".join(right.column("pairs").to_pylist()), "<u8")
+        pair = np.isin(ids[:-1] << shift | ids[1:], frequent)
         good, rows = pair, []
         for n in range(3, longest + 1):
             good = good[:-1] & pair[n - 2:]
@@ -152,18 +161,22 @@ def _merge(least: int):
         whole = CountingQuotientFilter.merged(filters)
         keep = whole.counts >= least
         whole = CountingQuotientFilter(whole.limbs[:, keep], whole.counts[keep])
-        ids, counts, of = [whole.ids()], [whole.counts], [np.full(int(keep.sum()), -1)]
-        if n == 2 and len(whole.counts):
-            word = lambda limbs: limbs[0] << np.uint64(32) | limbs[1]
-            wanted = word(whole.limbs)
-            for chunk, f in zip(chunks, filters):
-                has = np.isin(wanted, word(f.limbs))
-                ids.append(ids[0][:, has])
-                counts.append(whole.counts[has])
-                of.append(np.full(int(has.sum()), chunk))
-        flat = np.concatenate(ids, axis=1).T.astype(np.int64)
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * len(flat) + 1, n), pa.int32()), pa.array(flat.ravel()))
-        return pa.table([pa.array(np.full(len(flat), n), pa.int32()), lists, pa.array(np.concatenate(counts)), pa.array(np.concatenate(of))], ["n", "ids", "f", "chunk"])
+        shift = np.uint64(32)
+        ids = whole.ids()
+        n_rows = ids.shape[1]
+        flat = ids.T.astype(np.int64)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * n_rows + 1, n), pa.int32()), pa.array(flat.ravel()))
+        rows = [pa.table(
+            [pa.array([n] * n_rows, pa.int32()), lists, pa.array(whole.counts), pa.nulls(n_rows, pa.int64()), pa.nulls(n_rows, pa.binary())], COUNTED_COLUMNS)]
+        if n == 2 and n_rows:
+            wanted, pairs = whole.limbs[0] << shift | whole.limbs[1], ids[0] << shift | ids[1]
+            there = [(c, pairs[np.isin(wanted, f.limbs[0] << shift | f.limbs[1])]) for c, f in zip(chunks, filters)]
+            there = [(c, p.astype("<u8").tobytes()) for c, p in there if len(p)]
+            m = len(there)
+            rows.append(pa.table(
+                [pa.nulls(m, pa.int32()), pa.nulls(m, lists.type), pa.nulls(m, pa.int64()), pa.array([c for c, _ in there], pa.int64()), pa.array([p for _, p in there], pa.binary())],
+                COUNTED_COLUMNS))
+        return pa.concat_tables(rows)
 
     return run
 
@@ -172,16 +185,48 @@ def _key(ids: Column | str) -> Column:
     return F.array_join(F.transform(ids, lambda x: x.cast("string")), " ")
 
 
-def _numbered(words: DataFrame) -> DataFrame:
-    """``id`` from 1, without gaps; only one number per partition reaches the driver."""
-    words = save(words.withColumn("at", F.monotonically_increasing_id()))
-    sizes = words.groupBy(F.shiftright("at", 33).alias("part")).count().orderBy("part").collect()
-    before = [0, *itertools.accumulate(r["count"] for r in sizes)]
-    if before[-1] >= 1 << 32:
-        raise ValueError("more frequent words than 32 bits can number")
-    starts = words.sparkSession.createDataFrame([(r["part"], s) for r, s in zip(sizes, before)], "part long, start long")
-    inside = F.col("at").bitwiseAND((1 << 33) - 1)
-    return words.withColumn("part", F.shiftright("at", 33)).join(F.broadcast(starts), "part").withColumn("id", F.col("start") + inside + 1).drop("at", "part", "start")
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers the words of a task, whose rows stand together: a row per word, and packed rows of a chunk's (local, number)."""
+    part, number, last = TaskContext.get().partitionId(), -1, None
+    held: dict[int, list] = defaultdict(list)
+    size = 0
+
+    def packed() -> pa.RecordBatch:
+        chunks = sorted(held)
+        bodies = [np.concatenate(held[c]).astype("<u4").tobytes() for c in chunks]
+        n = len(chunks)
+        held.clear()
+        return pa.RecordBatch.from_arrays(
+            [pa.array([part] * n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()),
+             pa.array(chunks, pa.int64()), pa.array(bodies, pa.binary())], NAMED_COLUMNS)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [batch.column(c).to_numpy() for c in ("first_chunk", "first_local")]
+        new = np.ones(batch.num_rows, bool)
+        new[1:] = (keys[0][1:] != keys[0][:-1]) | (keys[1][1:] != keys[1][:-1])
+        new[0] = last != (keys[0][0], keys[1][0])
+        last = (keys[0][-1], keys[1][-1])
+        numbers = number + new.cumsum()
+        number = int(numbers[-1])
+        words = batch.filter(pa.array(new))
+        n = words.num_rows
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([part] * n, pa.int32()), pa.array(numbers[new]), *[words.column(c) for c in ("lang", "word", "f")], pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())],
+            NAMED_COLUMNS)
+        chunk = batch.column("chunk").to_numpy()
+        order = np.argsort(chunk, kind="stable")
+        found, starts = np.unique(chunk[order], return_index=True)
+        both = np.stack([batch.column("local").to_numpy(), numbers], axis=1)[order]
+        for c, rows in zip(found.tolist(), np.split(both, starts[1:])):
+            held[c].append(rows)
+        size += batch.num_rows
+        if size >= PACKED_ROWS:
+            yield packed()
+            size = 0
+    if held:
+        yield packed()
 
 
 def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -191,16 +236,25 @@ def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
     words, streams = chunks.where("local >= 0").drop("stream"), chunks.where("local < 0").select("chunk", "stream")
     sizes = save(words.groupBy("lang").agg(F.sum("n").alias("n")))
     # A word has one row per chunk, so no word is hot.
-    frequent = save(words.withColumn("f", F.sum("n").over(Window.partitionBy("lang", "word"))).where(F.col("f") >= least).drop("n"))
-    vocabulary = save(_numbered(frequent.groupBy("lang", "word").agg(F.max("f").alias("f"))))
-    local = frequent.join(vocabulary.drop("f"), ["lang", "word"]).select("chunk", "local", "id")
+    group = Window.partitionBy("lang", "word")
+    frequent = words.withColumns({"f": F.sum("n").over(group), "first": F.min(F.struct("chunk", "local")).over(group)}).where(F.col("f") >= least)
+    frequent = frequent.select("chunk", "local", "lang", "word", "f", F.col("first.chunk").alias("first_chunk"), F.col("first.local").alias("first_local"))
+    named = save(frequent.mapInArrow(_named, NAMED))
+    # A row per partition of the frequent words, so that their numbers become ids from 1, without gaps.
+    tasks = named.where("number IS NOT NULL").groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()
+    starts = list(itertools.accumulate((r["n"] for r in tasks), initial=1))
+    if starts[-1] > 1 << 32:
+        raise ValueError("more frequent words than 32 bits can number")
+    starts = F.broadcast(docs.sparkSession.createDataFrame([(r["part"], s) for r, s in zip(tasks, starts)], "part int, start long"))
+    vocabulary = save(named.where("number IS NOT NULL").join(starts, "part").select("lang", "word", "f", (F.col("start") + F.col("number")).alias("id")))
+    local = named.where("chunk IS NOT NULL").join(starts, "part").select("chunk", "start", "body")
     parts = max(1, -(-(sizes.agg(F.sum("n")).first()[0] or 0) // RANGE_WORDS))
     paired = streams.groupBy("chunk").cogroup(local.groupBy("chunk")).applyInArrow(_pairs(parts), FILTERS)
     paired = save(paired.withColumn("kind", F.when(F.col("part") < 0, "stream").otherwise("filter")), "kind")
     pairs = save(paired.where("kind = 'filter'").drop("kind").groupBy("part", "n").applyInArrow(_merge(least), COUNTED))
     streams = paired.where("kind = 'stream'").select("chunk", "body")
-    longer = streams.groupBy("chunk").cogroup(pairs.where("chunk >= 0").select("chunk", "ids").groupBy("chunk")).applyInArrow(_longer(parts, longest), FILTERS)
-    phrases = longer.groupBy("part", "n").applyInArrow(_merge(least), COUNTED).unionByName(pairs.where("chunk < 0"))
+    longer = streams.groupBy("chunk").cogroup(pairs.where("chunk IS NOT NULL").select("chunk", "pairs").groupBy("chunk")).applyInArrow(_longer(parts, longest), FILTERS)
+    phrases = longer.groupBy("part", "n").applyInArrow(_merge(least), COUNTED).unionByName(pairs.where("n IS NOT NULL"))
     langs = vocabulary.select("lang", F.col("id").alias("first"))
     phrases = phrases.withColumn("first", F.col("ids")[0]).join(langs, "first").select("lang", "n", "ids", "f")
     return sizes, vocabulary, save(phrases)
