@@ -21,10 +21,13 @@ def to_money(c: Column | str, type_: str = "decimal(12,2)", point: str = ",") ->
     is for a column whose point is the dot and whose groups are parted by commas.
     """
     group = "." if point == "," else ","
+    # most amounts are bare digits: one short pattern tells, and the forms below are for the rest
+    raw = _col(c)
+    bare = raw.rlike(rf"^[0-9]+(?:[{point}][0-9]{{1,2}})?$")
     text = F.upper(tidy(c))
     form = rf"^[+-]?(R\$ ?)?[+-]?(\d+|\d{{1,3}}([{group}]\d{{3}})+)([{point}]\d{{1,2}})?$"
     number = F.replace(F.replace(F.regexp_replace(text, r"R\$ ?", ""), F.lit(group), F.lit("")), F.lit(point), F.lit("."))
-    return F.when(text.rlike(form), number.try_cast(type_))
+    return F.when(bare, F.replace(raw, F.lit(point), F.lit(".")).try_cast(type_)).when(text.rlike(form), number.try_cast(type_))
 
 
 def to_date(c: Column | str, fmt: str = DATE_FORMAT) -> Column:
