@@ -411,6 +411,14 @@ SELECT o_orderstatus, count(code) AS n, round(sum(code)::DOUBLE / count(code), 4
 FROM codes GROUP BY o_orderstatus""",
     "gold_distinct": _silver("""
 SELECT region, count(*) AS n, count(DISTINCT state) AS state_distinct FROM silver GROUP BY region"""),
+    "gold_distinct_sketches": _silver("""
+SELECT k AS "column", count(DISTINCT v) FILTER (a) AS first, count(DISTINCT v) FILTER (b) AS second,
+       count(DISTINCT v) FILTER (a AND in_b) AS both, count(DISTINCT v) FILTER (a OR b) AS either,
+       count(DISTINCT v) FILTER (a AND NOT in_b) AS gone, count(DISTINCT v) FILTER (b AND NOT in_a) AS new
+FROM (SELECT *, bool_or(a) OVER (PARTITION BY k, v) AS in_a, bool_or(b) OVER (PARTITION BY k, v) AS in_b
+      FROM (SELECT coalesce(edition <= 1994, false) AS a, coalesce(edition >= 1994, false) AS b,
+                   unnest(['role', 'region', 'state', 'seniority']) AS k, unnest([role, region, state, seniority]) AS v FROM silver))
+GROUP BY k"""),
     "gold_crosstab": _crosstab("seniority", "work_model"),
     "gold_crosstab_wide": _silver("""
 SELECT seniority, count(*) FILTER (work_model = 'Presencial') AS presencial,

@@ -24,6 +24,7 @@ from surveylake.operators.missing import (
 )
 from surveylake.operators.quantiles import quantiles
 from surveylake.operators.ranking import top_k
+from surveylake.operators.sketches import compared, distinct_sketches
 from surveylake.operators.typed import enforce_schema, to_date_fmt, to_decimal_br
 from surveylake.plans import fronts
 from surveylake.plans.silver import build_silver, latest_answers
@@ -284,6 +285,14 @@ def gold_distinct(spark, sf):
     return groups.summarise(silver, ["region"], distinct="state")
 
 
+def gold_distinct_sketches(spark, sf):
+    """Distinct values over all editions, and of two editions against each other, from one sketch per edition."""
+    silver = survey_silver(spark, sf, ["edition", "role", "region", "state", "seniority"])
+    kept = distinct_sketches(silver, ["edition"], ["role", "region", "state", "seniority"])
+    e = F.col("edition")
+    return compared(kept, e <= 1994, e >= 1994)
+
+
 def gold_crosstab(spark, sf):
     silver = survey_silver(spark, sf, ["seniority", "work_model"])
     return crosstab(silver, "seniority", "work_model")
@@ -392,7 +401,7 @@ _OPERATORS = (
     silver_text_key, silver_category_map, silver_unmapped, silver_organise,
     silver_pay_band, silver_aux_columns, silver_quantile_band, silver_multi_split,
     silver_tech_long, silver_dedupe, silver_survey, catalog_profile, sql_view_query,
-    gold_filter, gold_group, gold_aggregates, gold_quantiles, gold_quantiles_double, gold_quantiles_bigint, gold_distinct,
+    gold_filter, gold_group, gold_aggregates, gold_quantiles, gold_quantiles_double, gold_quantiles_bigint, gold_distinct, gold_distinct_sketches,
     gold_crosstab, gold_crosstab_wide, gold_grouping_sets, gold_rollup, gold_cube,
     gold_rate, gold_index, gold_cramers_v, gold_correlation, gold_lift, gold_top_k,
     gold_top_k_per_group, gold_join_semi, gold_join_anti, gold_join_inner, gold_join_left,

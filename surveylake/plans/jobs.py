@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from surveylake.operators.technology import explode_tech
-from surveylake.plans.cells import FAMILIES, cells, family, from_cells
+from surveylake.plans import cells
 from surveylake.plans.fronts import GOLD_TABLES
 from surveylake.plans.silver import build_silver, latest_answers
 from surveylake.rules import SilverRules
@@ -137,7 +137,7 @@ def _publish_gold(spark: SparkSession, lake: Lake, stored: Mapping[str, Table],
         rest = [f for f in before[name].versions if f not in set(only[name])]
         return rows.unionByName(read_parts(spark, lake, "gold", before[name], rest))
 
-    made = [stage(from_cells(name, read), lake, "gold", name, source=source) for name in names]
+    made = [stage(cells.from_cells(name, read), lake, "gold", name, source=source) for name in names]
     publish(spark, lake, "gold", [*staged, *made], only)
     for t in [*staged, *made]:
         register(spark, lake, "gold", t.name, replace=True)
@@ -146,28 +146,31 @@ def _publish_gold(spark: SparkSession, lake: Lake, stored: Mapping[str, Table],
 def run_gold(
     spark: SparkSession, lake: Lake, names: Sequence[str] | None = None
 ) -> None:
-    """All gold tables, or some, from the counts of all editions: silver is read once per family of counts."""
+    """All gold tables, or some, from the counts of all editions: silver is read once per family of counts that they need."""
     source, names = _newest(spark, lake, "silver"), list(names or GOLD_TABLES)
     answers = read_table(spark, lake, "silver", "answers", source)
-    wanted = [f for f in FAMILIES if f in {family(n) for n in names}]
-    stored = {f: stage(cells(answers, f), lake, "gold", f, ["edition"], source=source) for f in wanted}
+    stored = {f: stage(cells.stored(answers, f), lake, "gold", f, ["edition"], source=source) for f in cells.needed(names)}
     _publish_gold(spark, lake, stored, names, {}, source)
 
 
 def refresh_gold(spark: SparkSession, lake: Lake) -> list[str]:
-    """Bring gold up to the newest silver: only changed editions are counted again; returns their folders."""
+    """Bring the gold tables there are up to the newest silver, all of them if there are none.
+
+    Only changed editions are counted again; returns their folders.
+    """
     source, found = _newest(spark, lake, "silver"), tables(spark, lake, "gold")
-    made = {t.source for name, t in found.items() if name in {*FAMILIES, *GOLD_TABLES}}
-    if set(FAMILIES) | set(GOLD_TABLES) != set(found) & (set(FAMILIES) | set(GOLD_TABLES)) or len(made) != 1 or not (
-            made <= set(snapshots(spark, lake, "silver"))):
-        run_gold(spark, lake)
+    names = [n for n in GOLD_TABLES if n in found] or list(GOLD_TABLES)
+    kept = cells.needed(names)
+    made = {found[n].source if n in found else None for n in (*kept, *names)}
+    if len(made) != 1 or not made <= set(snapshots(spark, lake, "silver")):
+        run_gold(spark, lake, names)
         return sorted(tables(spark, lake, "silver", source)["answers"].versions)
     old, new = (tables(spark, lake, "silver", n)["answers"] for n in (made.pop(), source))
     editions = changed(old, new)
     if editions:
         answers = read_parts(spark, lake, "silver", new, editions)
-        stored = {f: stage(cells(answers, f), lake, "gold", f, ["edition"], source=source) for f in FAMILIES}
-        _publish_gold(spark, lake, stored, list(GOLD_TABLES), {f: editions for f in FAMILIES}, source)
+        stored = {f: stage(cells.stored(answers, f), lake, "gold", f, ["edition"], source=source) for f in kept}
+        _publish_gold(spark, lake, stored, names, {f: editions for f in kept}, source)
     return editions
 
 
