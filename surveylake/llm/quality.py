@@ -247,6 +247,7 @@ def quality_filter(docs: DataFrame, labels: DataFrame, stratum: str = "lang") ->
     own = boxed(docs, F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col(f"`{stratum}`").cast("string").alias("lang"), _same())
     sample = fit_sample(labels)
     weights = word_weights(own, sample)
-    labelled = own.drop("_input").join(_labels(labels).select("doc_id"), "doc_id", "left_semi")
-    chosen = cutoffs(with_features(labelled, weights, drop_text=True), labels, sample, "lang")
-    return unboxed(judged(with_features(own, weights), chosen, "lang").where("_kept"), docs)
+    # features are made once; the labels are joined with those, not with texts
+    scored = save(with_features(own, weights))
+    chosen = cutoffs(scored.drop("_input", "text"), labels, sample, "lang")
+    return unboxed(judged(scored, chosen, "lang").where("_kept"), docs)
