@@ -25,7 +25,7 @@ from surveylake.llm.common import per_worker, released, save, texts, words
 #: Ranks are counted in this many parts per length, so one hot length is no hot task.
 RANK_PARTS = 256
 #: Words whose ids a worker remembers; it keeps as many of the generation before.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 #: Bytes of text that are cut into words at a time.
 CHUNK_BYTES = 4 << 20
 #: The pieces that the vocabulary's own splitter makes of a normalised text.
@@ -74,7 +74,7 @@ class WordIds:
         if len(self.pieces) > CACHED_WORDS:
             self.pieces = {}
         new = []
-        for word in sorted(found):
+        for word in found:
             if word not in self.words:
                 if word in self.old:
                     self.words[word] = self.old[word]
@@ -86,6 +86,7 @@ class WordIds:
                     new.append(word)
         if not new:
             return
+        new.sort()
         parts = [self.split(w) for w in self.normalised([w.decode() for w in new])]
         unseen = list(dict.fromkeys(p for ps in parts for p in ps if p not in self.pieces))
         if unseen:
