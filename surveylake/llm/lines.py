@@ -3,10 +3,10 @@
 A text is its lines with words. From every line starts, and at every line ends, a
 shortest window of whole lines that holds MIN_WORDS words. Of each window the line
 with the least hash is its fingerprint: equal windows choose the same one, so every
-repeated run of that many words is guaranteed to share a fingerprint. Fingerprints
-are joined by hash with the windows around them; overlapping windows that stood
-earlier extend the match both ways, line by line, to the whole repeated run. All
-but the earliest occurrence of a run are deleted.
+repeated run of that many words is guaranteed to share a fingerprint. Windows are joined by
+fingerprint and by the hash of the whole window, which alone would decide; matches are not
+extended by comparing lines, but overlapping windows that stood earlier add up to the whole
+repeated run, forwards and backwards. All but the earliest occurrence of a run are deleted.
 """
 
 from __future__ import annotations

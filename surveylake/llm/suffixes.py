@@ -1,6 +1,7 @@
-"""Removal of repeated byte strings by distributed prefix doubling.
+"""Removal of repeated byte strings by prefix doubling of names.
 
-Names of substrings double in length (1, 2, 4, ... bytes) by pairing the names of
+The doubling is done in the tasks, on hashes, not by Spark sorts of rank pairs at growing
+offsets until all ranks are unique; Spark sorts winnowed anchors. Names of substrings double in length (1, 2, 4, ... bytes) by pairing the names of
 their halves; equal strings have equal names in every task, so a name serves as the
 rank that a sort would give. Names of LONG bytes at all places would be far more
 data than the text, so the sorts start at anchors: of every LONG-byte string the
