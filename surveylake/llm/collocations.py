@@ -6,8 +6,8 @@
    own words again, so no dictionary is sent to all tasks.
 3. A chunk counts its pairs of frequent words in a counting quotient filter. Filters are cut by
    quotient ranges, and the sorted parts of one range are merged over all chunks.
-4. Phrases of three words or more are counted the same way where all their pairs are frequent;
-   no other phrase can be frequent. A chunk meets only its own frequent pairs.
+4. Phrases of three words are counted the same way where their pairs are frequent, longer ones where
+   all their phrases of three are; no others can be frequent. A chunk meets only its own frequent ones.
 
 Ids of the counted n-grams come back from the filter by undoing the permutation, so counts
 are exact. Scores are integers of up to 38 digits.
@@ -22,9 +22,11 @@ import itertools
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,9 +46,9 @@ PLAIN = bytes.maketrans(b",;:!?\x0a\x0b\x0c\x0d\t" + bytes(range(65, 91)), b"."
 STOP = re.compile(rb"\.")
 CHUNKS = "chunk long, local int, lang string, word binary, n long, stream binary"
 FILTERS = "chunk long, part int, n int, body binary"
-#: Frequent n-grams with their counts; and the frequent pairs of a chunk, packed.
-COUNTED = "n int, ids array<long>, f long, chunk long, pairs binary"
-COUNTED_COLUMNS = ["n", "ids", "f", "chunk", "pairs"]
+#: Frequent n-grams with their counts; and those of a chunk, packed.
+COUNTED = "n int, ids array<long>, f long, chunk long, grams binary"
+COUNTED_COLUMNS = ["n", "ids", "f", "chunk", "grams"]
 #: Words with their number in a task; and a chunk's words by their number in it and in the task, packed.
 NAMED = "part int, number long, lang string, word binary, f long, chunk long, body binary"
 NAMED_COLUMNS = ["part", "number", "lang", "word", "f", "chunk", "body"]
@@ -133,27 +135,41 @@ def _pairs(parts: int):
     return run
 
 
-def _longer(parts: int, longest: int):
-    """Phrases of three words or more whose pairs are all frequent."""
+def _among(grams: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which columns of ``grams`` are columns of ``known``; both have 32-bit values, two rows or more."""
+    shift, there = np.uint64(32), np.ones(grams.shape[1], bool)
+    if not known.shape[1]:
+        return ~there
+    left, right = grams[0] << shift | grams[1], known[0] << shift | known[1]
+    for row in range(2, len(known)):  # a pair's number stands for it beside the next value
+        pairs, number = np.unique(right, return_inverse=True)
+        at = np.minimum(np.searchsorted(pairs, left), len(pairs) - 1)
+        there &= pairs[at] == left
+        left, right = at.astype(np.uint64) << shift | grams[row], number.astype(np.uint64) << shift | known[row]
+    return there & np.isin(left, right)
+
+
+def _longer(parts: int, known: int, sizes: range):
+    """Phrases of ``sizes`` words, all of whose parts of ``known`` words are frequent."""
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return _table([])
         ids = np.frombuffer(left.column("body")[0].as_py(), "<u4").astype(np.uint64)
-        shift = np.uint64(32)
-        frequent = np.frombuffer(b"".join(right.column("pairs").to_pylist()), "<u8")
-        pair = np.isin(ids[:-1] << shift | ids[1:], frequent)
-        good, rows = pair, []
-        for n in range(3, longest + 1):
-            good = good[:-1] & pair[n - 2:]
-            at = np.flatnonzero(good)
-            rows += _blocks(key[0].as_py(), np.stack([ids[at + i] for i in range(n)]), parts)
+        grams = lambda n, at: np.stack([ids[at + i] for i in range(n)])
+        frequent = np.frombuffer(b"".join(right.column("grams").to_pylist()), "<u4").reshape(-1, known).T.astype(np.uint64)
+        part = _among(grams(known, np.arange(max(0, len(ids) - known + 1))), frequent)
+        good, rows = part, []
+        for n in range(known + 1, sizes.stop):
+            good = good[:-1] & part[n - known:]
+            if n in sizes:
+                rows += _blocks(key[0].as_py(), grams(n, np.flatnonzero(good)), parts)
         return _table(rows)
 
     return run
 
 
-def _merge(least: int):
-    """The frequent n-grams of one quotient range; of pairs, also the chunks that have them."""
+def _merge(least: int, prunes: bool):
+    """The frequent n-grams of one quotient range; and, if they prune longer ones, the chunks that have them."""
     def run(key: tuple, table: pa.Table) -> pa.Table:
         n = key[1].as_py()
         chunks = table.column("chunk").to_pylist()
@@ -161,17 +177,15 @@ def _merge(least: int):
         whole = CountingQuotientFilter.merged(filters)
         keep = whole.counts >= least
         whole = CountingQuotientFilter(whole.limbs[:, keep], whole.counts[keep])
-        shift = np.uint64(32)
         ids = whole.ids()
         n_rows = ids.shape[1]
         flat = ids.T.astype(np.int64)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * n_rows + 1, n), pa.int32()), pa.array(flat.ravel()))
         rows = [pa.table(
             [pa.array([n] * n_rows, pa.int32()), lists, pa.array(whole.counts), pa.nulls(n_rows, pa.int64()), pa.nulls(n_rows, pa.binary())], COUNTED_COLUMNS)]
-        if n == 2 and n_rows:
-            wanted, pairs = whole.limbs[0] << shift | whole.limbs[1], ids[0] << shift | ids[1]
-            there = [(c, pairs[np.isin(wanted, f.limbs[0] << shift | f.limbs[1])]) for c, f in zip(chunks, filters)]
-            there = [(c, p.astype("<u8").tobytes()) for c, p in there if len(p)]
+        if prunes and n_rows:
+            there = [(c, flat[_among(whole.limbs, f.limbs)]) for c, f in zip(chunks, filters)]
+            there = [(c, p.astype("<u4").tobytes()) for c, p in there if len(p)]
             m = len(there)
             rows.append(pa.table(
                 [pa.nulls(m, pa.int32()), pa.nulls(m, lists.type), pa.nulls(m, pa.int64()), pa.array([c for c, _ in there], pa.int64()), pa.array([p for _, p in there], pa.binary())],
@@ -203,11 +217,13 @@ def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys = [batch.column(c).to_numpy() for c in ("first_chunk", "first_local")]
+        keys = [batch.column(c) for c in ("lang", "word")]
         new = np.ones(batch.num_rows, bool)
-        new[1:] = (keys[0][1:] != keys[0][:-1]) | (keys[1][1:] != keys[1][:-1])
-        new[0] = last != (keys[0][0], keys[1][0])
-        last = (keys[0][-1], keys[1][-1])
+        for k in keys:
+            same = pc.equal(k.slice(1), k.slice(0, len(k) - 1)).to_numpy(zero_copy_only=False)
+            new[1:] = ~same if k is keys[0] else new[1:] | ~same
+        first = tuple(k[0].as_py() for k in keys)
+        new[0], last = last != first, tuple(k[-1].as_py() for k in keys)
         numbers = number + new.cumsum()
         number = int(numbers[-1])
         words = batch.filter(pa.array(new))
@@ -236,9 +252,8 @@ def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
     words, streams = chunks.where("local >= 0").drop("stream"), chunks.where("local < 0").select("chunk", "stream")
     sizes = save(words.groupBy("lang").agg(F.sum("n").alias("n")))
     # A word has one row per chunk, so no word is hot.
-    group = Window.partitionBy("lang", "word")
-    frequent = words.withColumns({"f": F.sum("n").over(group), "first": F.min(F.struct("chunk", "local")).over(group)}).where(F.col("f") >= least)
-    frequent = frequent.select("chunk", "local", "lang", "word", "f", F.col("first.chunk").alias("first_chunk"), F.col("first.local").alias("first_local"))
+    frequent = words.withColumn("f", F.sum("n").over(Window.partitionBy("lang", "word"))).where(F.col("f") >= least)
+    frequent = frequent.select("chunk", "local", "lang", "word", "f")
     named = save(frequent.mapInArrow(_named, NAMED))
     # A row per partition of the frequent words, so that their numbers become ids from 1, without gaps.
     tasks = named.where("number IS NOT NULL").groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()
@@ -251,10 +266,15 @@ def counted(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
     parts = max(1, -(-(sizes.agg(F.sum("n")).first()[0] or 0) // RANGE_WORDS))
     paired = streams.groupBy("chunk").cogroup(local.groupBy("chunk")).applyInArrow(_pairs(parts), FILTERS)
     paired = save(paired.withColumn("kind", F.when(F.col("part") < 0, "stream").otherwise("filter")), "kind")
-    pairs = save(paired.where("kind = 'filter'").drop("kind").groupBy("part", "n").applyInArrow(_merge(least), COUNTED))
-    streams = paired.where("kind = 'stream'").select("chunk", "body")
-    longer = streams.groupBy("chunk").cogroup(pairs.where("chunk IS NOT NULL").select("chunk", "pairs").groupBy("chunk")).applyInArrow(_longer(parts, longest), FILTERS)
-    phrases = longer.groupBy("part", "n").applyInArrow(_merge(least), COUNTED).unionByName(pairs.where("n IS NOT NULL"))
+    levels = [save(paired.where("kind = 'filter'").drop("kind").groupBy("part", "n").applyInArrow(_merge(least, longest > 2), COUNTED))]
+    streams = paired.where("kind = 'stream'").select("chunk", "body").groupBy("chunk")
+    # phrases of three words where both pairs are frequent, then all longer ones where their phrases of three are
+    for known, lengths in ((2, range(3, min(longest, 3) + 1)), (3, range(4, longest + 1))):
+        if lengths:
+            frequent = levels[-1].where("chunk IS NOT NULL").select("chunk", "grams").groupBy("chunk")
+            more = streams.cogroup(frequent).applyInArrow(_longer(parts, known, lengths), FILTERS)
+            levels.append(save(more.groupBy("part", "n").applyInArrow(_merge(least, known == 2 and longest > 3), COUNTED)))
+    phrases = reduce(DataFrame.unionByName, [x.where("n IS NOT NULL") for x in levels])
     langs = vocabulary.select("lang", F.col("id").alias("first"))
     phrases = phrases.withColumn("first", F.col("ids")[0]).join(langs, "first").select("lang", "n", "ids", "f")
     return sizes, vocabulary, save(phrases)
