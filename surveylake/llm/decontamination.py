@@ -473,5 +473,6 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows in which an item was found. A row is known by a number written with it, so ids may be NULL or repeat."""
     row = unused(docs, "_row")
     rows = numbered(docs, row)
-    found = contaminated(rows.select(F.col(row).alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias(row)).distinct()
+    # written first, so that Spark knows its size when it plans the join
+    found = save(contaminated(rows.select(F.col(row).alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias(row)).distinct())
     return rows.join(found, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
