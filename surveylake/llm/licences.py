@@ -1,15 +1,18 @@
 """Licence scan by a positional rare-token index, in DataFrame and SQL operations only.
 
-Statements of known licences are templates. A scan keeps, per text, where content
-words of templates, those that are rare in common text, and their mandatory phrases
-stand. In texts with a phrase, each content word looks its template postings up and
-votes for the place where the template would start. Places with enough votes whose
-mandatory phrase stands exactly where the template has it count. All content words
-vote, so a statement's label does not depend on what else is in the file.
+Statements of known licences are templates. A scan keeps, per text, where words of
+templates and their mandatory phrases stand. The number of texts that have a word, over the
+whole table, says how rare it is; each template is indexed by its rarest words. In texts with a
+phrase, each of them looks its template postings up and votes for the place where the
+template would start. Places with enough votes whose mandatory phrase stands exactly where
+the template has it count. Every template has words of its own that vote, so a
+statement's label does not depend on what else is in the file.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,15 +43,19 @@ TEMPLATES = (
 )
 #: Phrases whose places are counted, with their labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
-#: Words of templates that are in most texts; they vote for nothing.
-FUNCTION_WORDS = frozenset("a all and any are as be by for form free held in is it met no of or that the this to under use will with without copy person 0 1 2 3 4 v".split())
+#: The rarest of a template's distinct words, by the number of texts that have them, vote: this share of them.
+RARE_SHARE = 0.5
 MIN_VOTES = 2
 SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PHRASES = tuple(dict.fromkeys([p for p, _ in BASE] + [p for _, _, p in TEMPLATES]))
 
 
-def content(words: str) -> list[tuple[str, int]]:
-    return [(w, i) for i, w in enumerate(words.split()) if w not in FUNCTION_WORDS]
+def content(words: str, frequency: dict[str, int]) -> list[tuple[str, int]]:
+    """A template's rarest words by document frequency, MIN_VOTES of them at least, with their places."""
+    found = words.split()
+    rarest = sorted(set(found), key=lambda w: (frequency.get(w, 0), w))
+    rarest = set(rarest[:max(MIN_VOTES, math.ceil(RARE_SHARE * len(rarest)))])
+    return [(w, i) for i, w in enumerate(found) if w in rarest]
 
 
 def _quoted(words) -> str:
@@ -56,8 +63,11 @@ def _quoted(words) -> str:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """(_row, doc_id, n_words, hits of content words, places of phrases), written once."""
-    vocabulary = sorted({w for _, t, _ in TEMPLATES for w, _ in content(t)})
+    """(_row, doc_id, n_words, distinct template words, their places, places of phrases), written once.
+
+    Places of words are kept of texts with a phrase only: no template is verified without its phrase.
+    """
+    vocabulary = sorted({w for _, t, _ in TEMPLATES for w in t.split()})
     first = {p.split()[0] for p in PHRASES}
     checks = ", ".join(
         f"named_struct('phrase', {k}, 'pos', i, 'there', slice(w, i + 1, {len(p.split())}) = array({_quoted(p.split())}))"
@@ -67,27 +77,35 @@ def scan(docs: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("_row"), "doc_id",
         F.filter(F.split(lower, SPLIT), lambda x: x != "").alias("w"))
     found = found.withColumn("at", F.expr(f"if(size(w) = 0, array(), filter(sequence(0, size(w) - 1), i -> w[i] IN ({_quoted(sorted({*vocabulary, *first}))})))"))
+    found = found.withColumn("phrases", F.expr(f"flatten(transform(filter(at, i -> w[i] IN ({_quoted(sorted(first))})), i -> filter(array({checks}), x -> x.there)))"))
     return save(found.select(
         "_row", "doc_id", F.size("w").cast("long").alias("n_words"),
-        F.expr(f"transform(filter(at, i -> w[i] IN ({_quoted(vocabulary)})), i -> named_struct('word', w[i], 'pos', i))").alias("hits"),
-        F.expr(f"flatten(transform(filter(at, i -> w[i] IN ({_quoted(sorted(first))})), i -> filter(array({checks}), x -> x.there)))").alias("phrases")))
+        F.expr(f"array_distinct(filter(transform(at, i -> w[i]), x -> x IN ({_quoted(vocabulary)})))").alias("words"),
+        F.expr(f"if(size(phrases) = 0, array(), transform(filter(at, i -> w[i] IN ({_quoted(vocabulary)})), i -> named_struct('word', w[i], 'pos', i)))").alias("hits"),
+        "phrases"))
+
+
+def document_frequencies(scanned: DataFrame) -> dict[str, int]:
+    """The number of texts that have each template word: as many rows as the templates have words."""
+    counted = scanned.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return {r["word"]: r["n"] for r in counted.collect()}
 
 
-def _postings(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
-    """Template words by position, and each template's label, number of words and mandatory phrase: fixed tables."""
+def _postings(spark: SparkSession, frequency: dict[str, int]) -> tuple[DataFrame, DataFrame]:
+    """Rare template words by position, and each template's label, number of rare words and mandatory phrase: small tables."""
     words, heads = [], []
     for k, (label, text, phrase) in enumerate(TEMPLATES):
-        words += [(w, k, i) for w, i in content(text)]
+        words += [(w, k, i) for w, i in content(text, frequency)]
         start = next(i for i in range(len(text.split())) if text.split()[i:i + len(phrase.split())] == phrase.split())
-        heads.append((k, label, len({w for w, _ in content(text)}), PHRASES.index(phrase), start))
+        heads.append((k, label, len({w for w, _ in content(text, frequency)}), PHRASES.index(phrase), start))
     return (spark.createDataFrame(words, "word string, template int, at int"),
             spark.createDataFrame(heads, "template int, label string, n int, phrase int, start int"))
 
 
 def template_labels(scanned: DataFrame) -> DataFrame:
     """(_row, labels, score) of rows in which a template was found."""
-    postings, heads = _postings(scanned.sparkSession)
-    hits = scanned.where("size(phrases) > 0").select("_row", F.inline("hits"))  # no template is verified without its phrase
+    postings, heads = _postings(scanned.sparkSession, document_frequencies(scanned))
+    hits = scanned.where("size(phrases) > 0").select("_row", F.inline("hits"))
     votes = hits.join(F.broadcast(postings), "word").select(
         "_row", "template", (F.col("pos") - F.col("at")).alias("place"), "word")
     counted = votes.groupBy("_row", "template", "place").agg(F.count_distinct("word").alias("votes")).join(F.broadcast(heads), "template")
@@ -102,7 +120,7 @@ def scan_licences(docs: DataFrame) -> DataFrame:
 
     NULL and empty texts have no words and no labels (empty strings, score 0).
     Repeated rows and NULL ids are rows of their own; other columns are not read.
-    The score is the share of a template's content words that stand in place, at least
+    The score is the share of a template's rare words that stand in place, at least
     0.5 where a base phrase stands.
     """
     scanned = scan(docs)

@@ -182,6 +182,16 @@ def test_licences_of_bundles_are_those_of_their_statements(spark):
     assert all(r["score"] == 1 for r in rows.values())
 
 
+def test_the_words_that_are_rare_in_the_table_vote(spark):
+    """The same text scores by other words where other words are common."""
+    def score(others):
+        rows = scan_licences(documents(spark, ["released by the mit license"] + [others] * 30)).collect()
+        return next(r["score"] for r in rows if r["doc_id"] == 0)
+
+    assert score("under the") == 1  # released, mit and license are rare, and all stand in place
+    assert score("license released mit") == 2 / 3  # under, the and license are the rarest; under is missing
+
+
 def lcs(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
