@@ -9,6 +9,7 @@ their rank among the pieces of their length.
 
 from __future__ import annotations
 
+import gc
 import re
 import struct
 import zlib
@@ -20,17 +21,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from surveylake.llm.common import per_worker, released, save, texts, words
+from surveylake.llm.common import LOWER, per_worker, released, save, texts, words
 
 #: Ranks are counted in this many parts per length, so one hot length is no hot task.
 RANK_PARTS = 256
 #: Words whose ids a worker remembers; it keeps as many of the generation before.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 500_000
 #: Bytes of text that are cut into words at a time.
 CHUNK_BYTES = 4 << 20
 #: The pieces that the vocabulary's own splitter makes of a normalised text.
 SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^ \p{L}\p{N}]+"
 SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
+#: The splitter's pieces of a printable ASCII word in lower case without apostrophe, and what no such word has.
+ASCII_RUNS = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+").findall
+SPLIT_APART = re.compile(rb"[^!-~]|'|<\|").search
 #: White space of any alphabet; words are split at that of ASCII only.
 SPACE = re.compile(r"\s")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -58,6 +62,9 @@ class WordIds:
         self.merges = Tokenizer(self.whole.model)
         self.split = regex.compile(SPLITTER).findall
         self.character = byte_characters()
+        printable = "".join(map(chr, range(33, 127)))
+        #: All that the normaliser does to ASCII words is to lower their letters, so they can be split without it.
+        self.lowers = self.whole.normalizer.normalize_str(printable) == printable.lower()
         self.words: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
@@ -67,38 +74,59 @@ class WordIds:
         out = self.whole.normalizer.normalize_str(" ".join(found)).split(" ")
         return out if len(out) == len(found) else [self.whole.normalizer.normalize_str(w) for w in found]
 
+    def cut(self, text: bytes) -> list[bytes]:
+        """The words of a text, in lower case where that changes no id: not beside marks that join letters, nor in special tokens."""
+        if self.lowers and not any(x in text for x in (b"<|", b"\xcc", b"\xcd")):
+            text = text.translate(LOWER)
+        return words(text)
+
+    def merged(self, found: list[str], shown: list[str]) -> dict[str, bytes]:
+        """The ids of pieces, by the characters that stand for their bytes."""
+        coded = self.merges.encode(shown, is_pretokenized=True, add_special_tokens=False)
+        raw = np.array(coded.ids, "<u4").tobytes()
+        edges = np.searchsorted(np.array(coded.word_ids), np.arange(len(found) + 1)).tolist()
+        return dict(zip(found, [raw[4 * a:4 * b] for a, b in zip(edges, edges[1:])]))
+
     def add(self, found: set[bytes]) -> None:
         """From now on, until the next call, ``words`` has all of ``found``."""
         if len(self.words) > CACHED_WORDS:
             self.old, self.words = self.words, {}
         if len(self.pieces) > CACHED_WORDS:
             self.pieces = {}
-        new = []
-        for word in found:
-            if word not in self.words:
-                if word in self.old:
-                    self.words[word] = self.old[word]
-                elif any(x in word for x in SPECIAL) or not word.isascii() and SPACE.search(word.decode()):
-                    # a special token, or white space that the tokenizer splits at: encoded by itself
-                    ids = self.whole.encode(word.decode(), add_special_tokens=False).ids
-                    self.words[word] = struct.pack(f"<{len(ids)}I", *ids)
-                else:
-                    new.append(word)
-        if not new:
-            return
-        new.sort()
-        parts = [self.split(w) for w in self.normalised([w.decode() for w in new])]
-        unseen = list(dict.fromkeys(p for ps in parts for p in ps if p not in self.pieces))
-        if unseen:
-            shown = [p if p.isascii() and p.isprintable() else "".join([self.character[b] for b in p.encode()]) for p in unseen]
-            coded = self.merges.encode(shown, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(coded.ids, "<u4")
-            edges = np.searchsorted(np.array(coded.word_ids), np.arange(len(unseen) + 1))
-            raw = ids.tobytes()
-            self.pieces.update(zip(unseen, (raw[4 * a:4 * b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()))))
-        pieces = self.pieces
-        for word, ps in zip(new, parts):
-            self.words[word] = pieces[ps[0]] if len(ps) == 1 else b"".join([pieces[p] for p in ps])
+        known, old = self.words, self.old
+        new = found.difference(known)
+        if old:
+            known.update([(w, old[w]) for w in new if w in old])
+            new = new.difference(known)
+        plain, others = [], []
+        for word in sorted(new):
+            if self.lowers and word.isascii() and not SPLIT_APART(word):
+                plain.append(word)
+            elif any(x in word for x in SPECIAL) or not word.isascii() and SPACE.search(word.decode()):
+                # a special token, or white space that the tokenizer splits at: encoded by itself
+                ids = self.whole.encode(word.decode(), add_special_tokens=False).ids
+                known[word] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                others.append(word)
+        if plain:
+            runs = [w.lower() if w.isalpha() else ASCII_RUNS(w.lower()) for w in plain]
+            unseen = {r for r in runs if r.__class__ is bytes and r not in known}
+            unseen.update(p for ps in runs if ps.__class__ is list for p in ps if p not in known)
+            shown = [p.decode() for p in sorted(unseen)]
+            if shown:
+                own = self.merged(shown, shown)
+                known.update(zip(map(str.encode, own), own.values()))
+            for word, ps in zip(plain, runs):
+                known[word] = known[ps] if ps.__class__ is bytes else b"".join([known[p] for p in ps])
+        if others:
+            parts = [self.split(w) for w in self.normalised([w.decode() for w in others])]
+            unseen = list(dict.fromkeys(p for ps in parts for p in ps if p not in self.pieces))
+            if unseen:
+                shown = [p if p.isascii() and p.isprintable() else "".join([self.character[b] for b in p.encode()]) for p in unseen]
+                self.pieces.update(self.merged(unseen, shown))
+            pieces = self.pieces
+            for word, ps in zip(others, parts):
+                known[word] = pieces[ps[0]] if len(ps) == 1 else b"".join([pieces[p] for p in ps])
 
 
 def _pieces(tokenizer_file: str, capacity: int, end_id: int):
@@ -108,10 +136,10 @@ def _pieces(tokenizer_file: str, capacity: int, end_id: int):
 
         def pieces(chunk: list[tuple[int, list[bytes]]]) -> pa.RecordBatch:
             out: tuple[list, ...] = ([], [], [], [], [])
-            encoder.add({w for _, found in chunk for w in found})
+            encoder.add(set().union(*[found for _, found in chunk]))
             known = encoder.words
             for doc_id, found in chunk:
-                ids = b"".join([known[w] for w in found]) + end
+                ids = b"".join(map(known.__getitem__, found)) + end
                 for piece, start in enumerate(range(0, len(ids), step)):
                     part = ids[start:start + step]
                     for column, value in zip(out, (doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part))):
@@ -120,16 +148,20 @@ def _pieces(tokenizer_file: str, capacity: int, end_id: int):
                 [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-        for batch in batches:
-            chunk, size = [], 0
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
-                chunk.append((doc_id, words(text)))
-                size += len(text)
-                if size >= CHUNK_BYTES:
+        gc.disable()  # many small objects are made and none in cycles
+        try:
+            for batch in batches:
+                chunk, size = [], 0
+                for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
+                    chunk.append((doc_id, encoder.cut(text)))
+                    size += len(text)
+                    if size >= CHUNK_BYTES:
+                        yield pieces(chunk)
+                        chunk, size = [], 0
+                if chunk:
                     yield pieces(chunk)
-                    chunk, size = [], 0
-            if chunk:
-                yield pieces(chunk)
+        finally:
+            gc.enable()
 
     return run
 

@@ -78,3 +78,20 @@ def test_repeated_texts_are_no_further_evidence(spark):
         labels = scored.select("doc_id", (1 - worse).alias("quality"), worse.alias("toxic"))
         found = quality.cutoffs(scored, labels, labels.limit(0), "lang", limit, error).collect()
         assert [[x is not None for x in list(r)[1:]] for r in found] == [[certified] * len(rules)]
+
+
+def test_plain_words_are_encoded_as_by_the_tokenizer():
+    """Words that the ASCII path splits, and their neighbours that it must leave."""
+    import struct
+
+    from surveylake.llm.packing import WordIds
+    from surveylake.llm.queries import tokenizer_file
+
+    ids = WordIds(tokenizer_file())
+    text = "Don't IT'S 's 'LL a1B22 3.14, (Foo) __Init__ x_y-Z ... J̌ay Café Ét İz <|endoftext|>x <|ENDOFTEXT|> \x01\x02Ab \x7f Kelvin H̱ K"
+    for part in (text, *text.split()):
+        found = ids.cut(part.encode())
+        ids.add(set(found))
+        raw = b"".join(ids.words[w] for w in found)
+        assert list(struct.unpack(f"<{len(raw) // 4}I", raw)) == ids.whole.encode(part, add_special_tokens=False).ids
+    assert ids.lowers and ids.cut(b"One TWO") == [b"one", b"two"]
