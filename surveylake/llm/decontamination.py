@@ -81,21 +81,44 @@ def common_subsequence(a: list[bytes], b: list[bytes]) -> int:
     return len(a) - row.bit_count()
 
 
-class Codes:
+class Codes(dict):
     """Numbers of words in the vocabulary, -1 of others, whatever marks stand around them; words seen are kept up to a bound."""
 
     KEPT = 400_000
 
     def __init__(self, vocabulary: dict[bytes, int]):
-        self.vocabulary, self.known = vocabulary, {}
+        self.number = vocabulary.get
+
+    def __missing__(self, word: bytes) -> int:
+        code = self[word] = self.number(word.strip(MARKS), -1)
+        return code
 
     def __call__(self, found: list[bytes]) -> np.ndarray:
-        if len(self.known) > self.KEPT:
-            self.known = {}
-        known, number = self.known, self.vocabulary.get
-        for word in set(found).difference(known):
-            known[word] = number(word.strip(MARKS), -1)
-        return np.fromiter(map(known.__getitem__, found), np.int32, len(found))
+        if len(self) > self.KEPT:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, found), np.int32, len(found))
+
+
+def sums_of_runs(table: np.ndarray, at: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Per run of ``at``, the runs beginning at ``starts``, the sum of its rows of ``table``.
+
+    Runs are cut in pieces of a stride's length, and all pieces are added up side by side, the
+    longer ones first, so that no row per entry is held.
+    """
+    length = np.diff(np.r_[starts, len(at)])
+    pieces = -(-length // STRIDE)
+    first = pieces.cumsum() - pieces
+    begin = np.repeat(starts - first * STRIDE, pieces) + np.arange(pieces.sum()) * STRIDE
+    size = np.minimum(np.repeat(starts + length, pieces) - begin, STRIDE)
+    order = np.argsort(-size, kind="stable")
+    begin = begin[order]
+    total = table.take(at[begin], 0)
+    for k in range(1, int(size.max(initial=0))):
+        longer = np.count_nonzero(size > k)
+        total[:longer] += table.take(at[begin[:longer] + k], 0)
+    out = np.empty_like(total)
+    out[order] = total
+    return out if len(out) == len(starts) else np.add.reduceat(out, first)
 
 
 def _encoded(vocabulary: dict[bytes, int]):
@@ -132,12 +155,12 @@ class Chunk:
         self.stride = np.concatenate([at // STRIDE + b for (_, _, at, _), b in zip(docs, self.base)])
         self.code = np.concatenate([c for _, _, _, c in docs])
 
-    def sums(self, rows: np.ndarray) -> np.ndarray:
-        """Per stride, the sum of a row per word."""
-        out = np.zeros((self.strides, rows.shape[1]), rows.dtype)
+    def sums(self, table: np.ndarray, feature: np.ndarray) -> np.ndarray:
+        """Per stride, the sum over its words of the rows of their features."""
+        out = np.zeros((self.strides, table.shape[1]), table.dtype)
         if len(self.stride):
             starts = np.flatnonzero(np.r_[True, self.stride[1:] != self.stride[:-1]])
-            out[self.stride[starts]] = np.add.reduceat(rows, starts)
+            out[self.stride[starts]] = sums_of_runs(table, feature, starts)
         return out
 
     def passages(self, strides: np.ndarray) -> np.ndarray:
@@ -241,7 +264,7 @@ def _gram(vocabulary, idf: np.ndarray, basis: np.ndarray):
             length = norms(chunk, feature, idf)
             live = length > 0
             rows += int(live.sum())
-            image = chunk.passages(chunk.sums(weighted[feature]))
+            image = chunk.passages(chunk.sums(weighted, feature))
             image[live] /= (length[live] ** 2)[:, None]
             image[~live] = 0
             back = np.zeros((chunk.strides, basis.shape[1]), image.dtype)
@@ -250,7 +273,7 @@ def _gram(vocabulary, idf: np.ndarray, basis: np.ndarray):
             order = np.argsort(feature, kind="stable")
             ordered = feature[order]
             starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-            total[ordered[starts]] += idf[ordered[starts], None] * np.add.reduceat(back[chunk.stride[order]], starts)
+            total[ordered[starts]] += idf[ordered[starts], None] * sums_of_runs(back, chunk.stride[order], starts)
         at = np.flatnonzero(total.any(1))
         counts = np.zeros(len(at), np.int64)
         counts[:1] = rows
@@ -356,7 +379,7 @@ def _search(table: np.ndarray, latent: np.ndarray, idf: np.ndarray, vocabulary:
     def candidates(chunk: Chunk) -> Iterator[tuple[int, int, float]]:
         """(passage, part, cosine), in order of passages."""
         feature = features[chunk.code]
-        vectors = chunk.passages(chunk.sums(table[feature]))
+        vectors = chunk.passages(chunk.sums(table, feature))
         length = np.linalg.norm(vectors, axis=1)
         vectors /= np.maximum(length, 1e-12)[:, None]
         exact = rare.pairs(chunk, feature)
