@@ -13,7 +13,14 @@ from surveylake.rules import MISSING_WORDS, MULTI_SEP
 def split_list(c: Column | str, sep: str = MULTI_SEP) -> Column:
     """``'b; a;b'`` to ``['A', 'B']``: upper case, no repeats, no missing words, sorted; empty is NULL."""
     # built-in array functions without a lambda, so the whole stays in generated code
-    parts = F.split(F.upper(tidy(c)), f" *{re.escape(sep)} *")
+    text = F.upper(tidy(c))
+    if len(sep) == 1 and sep != " ":
+        # one blank at most is left on each side, and a single character is found without a pattern
+        for around in (f" {sep}", f"{sep} "):
+            text = F.replace(text, F.lit(around), F.lit(sep))
+        parts = F.split(text, re.escape(sep))
+    else:
+        parts = F.split(text, f" *{re.escape(sep)} *")
     nothing = F.array(*[F.lit(x.upper()) for x in dict.fromkeys(("", *MISSING_WORDS))])
     parts = F.sort_array(F.array_except(parts, nothing))
     return F.nullif(parts, F.array().cast("array<string>"))

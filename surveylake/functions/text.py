@@ -20,10 +20,11 @@ def tidy(c: Column | str) -> Column:
 
 def text_key(c: Column | str) -> Column:
     """The form in which two spellings of one category are equal."""
-    text = tidy(c)
-    # only text with a letter of more than one byte can have an accent to remove
+    text = _col(c)
+    # only text with a letter of more than one byte can have an accent to remove; accents go first, so that blanks
+    # are reduced once in the plan
     plain = F.when(F.octet_length(text) != F.length(text), F.translate(text, ACCENTED, PLAIN))
-    return F.lower(plain.otherwise(text))
+    return F.lower(tidy(plain.otherwise(text)))
 
 
 def key_of(text: str) -> str:

@@ -13,7 +13,7 @@ from surveylake.operators.issues import no_issues
 from surveylake.operators.missing import null_sentinels
 from surveylake.operators.technology import explode_tech
 from surveylake.operators.typed import enforce_schema, to_date_fmt, to_decimal_br
-from surveylake.rules import RAW_COLUMNS, SILVER_SCHEMA, TECH_CATEGORIES, SilverRules
+from surveylake.rules import MISSING_WORDS, RAW_COLUMNS, SILVER_SCHEMA, TECH_CATEGORIES, SilverRules
 
 _NAMES = ("role", "region", "state")
 
@@ -29,8 +29,11 @@ def build_silver(raw: DataFrame, rules: SilverRules = SilverRules()) -> DataFram
     df = no_issues(raw)
 
     # "no answer" to NULL: before types, so that a missing value is
-    # not reported as an unreadable one
-    df = null_sentinels(df, [c for c in RAW_COLUMNS[1:] if c in here], rules.missing_words)
+    # not reported as an unreadable one; lists drop the usual words by themselves
+    lists = [c for c in TECH_CATEGORIES if c in here]
+    dropped = all(w in MISSING_WORDS and rules.multi_sep not in w for w in rules.missing_words)
+    texts = [c for c in RAW_COLUMNS[1:] if c in here and not (dropped and c in lists)]
+    df = null_sentinels(df, texts, rules.missing_words)
 
     for c in _NAMES:
         if c in here and c in rules.names:
@@ -52,7 +55,6 @@ def build_silver(raw: DataFrame, rules: SilverRules = SilverRules()) -> DataFram
         df = map_category(df, "work_model", rules.work_model)
     if "ai_use" in here:
         df = map_category(df, "ai_use", rules.yes_no)
-    lists = [c for c in TECH_CATEGORIES if c in here]
     df = df.withColumns({c: split_list(c, rules.multi_sep) for c in lists})
     if len(lists) == len(TECH_CATEGORIES):
         sizes = [list_size(c) for c in lists]

@@ -1,6 +1,7 @@
 """Cleaning operators on small hand-written rows."""
 
 import datetime
+import re
 from decimal import Decimal
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F, types as T
 
 from surveylake.functions import split_list, text_key, to_date, to_flag, to_int, to_money
+from surveylake.functions.text import tidy
 from surveylake.operators.category import map_category, mapping_from_rows, unmapped
 from surveylake.operators.dedupe import dedupe
 from surveylake.operators.derive import add_band, add_quantile_band, organise
@@ -18,6 +20,7 @@ from surveylake.operators.missing import drop_missing, fill_missing, impute, mis
 from surveylake.operators.technology import explode_tech
 from surveylake.operators.typed import enforce_schema, to_decimal_br, to_type
 from surveylake.plans.silver import build_silver, latest_answers
+from surveylake.rules import MISSING_WORDS, SilverRules
 
 
 def one(spark, column, value, type_="string"):
@@ -303,3 +306,38 @@ def test_latest_answers_sees_the_same_key_in_two_spellings(spark):
 def test_decimal_contract(spark):
     df = to_decimal_br(spark.createDataFrame([("1,005",)], "v string"), "v")
     assert df.schema["v"].dataType == T.DecimalType(12, 2)
+
+
+def test_lists_are_split_as_by_the_pattern(spark):
+    """A one-character separator, found without a pattern, gives the parts the pattern gives; longer ones still do."""
+    texts = ["b; a;b", " ; ", ";;", "a ; ; b", "a ;; b", "x;  y\t;\nz ", "a;null;N/A ;b", "não  informado", "", None, "a b;a  b", "a|b | c", "a/ b /n/a", "a, b ,c"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for sep in (";", "|", "/", ", ", " ", ";;"):
+        nothing = ["", *[w.upper() for w in MISSING_WORDS if w]]
+        parts = F.split(F.upper(tidy("t")), f" *{re.escape(sep)} *")
+        wanted = F.sort_array(F.array_except(parts, F.array(*[F.lit(w) for w in nothing])))
+        rows = df.select(split_list("t", sep).alias("got"), wanted.alias("wanted")).collect()
+        assert [r["got"] for r in rows] == [r["wanted"] or None for r in rows]
+
+
+def analyzed(df):
+    return df._jdf.queryExecution().analyzed().toString()
+
+
+def test_blanks_are_reduced_once_per_text(spark):
+    df = spark.createDataFrame([(" Sao   PAULO", "a")], "t string, u string")
+    key = df.select(text_key("t").alias("k"))
+    assert analyzed(key).count("regexp_replace") == 1
+    assert key.first()["k"] == "sao paulo"
+
+
+def test_lists_of_answers_are_tidied_once(spark):
+    """Lists drop missing words by themselves; other words of the rules still count."""
+    raw = spark.createDataFrame([("1", "sql; N/A", " n/a", "-", None)], "resp_id string, langs string, bi_tools string, databases string, clouds string")
+    silver = build_silver(raw)
+    assert silver.first().asDict() | {"issues": 0} == {"resp_id": 1, "langs": ["SQL"], "bi_tools": None, "databases": ["-"], "clouds": None, "n_tools": 2, "issues": 0}
+    assert analyzed(silver).count("regexp_replace") == 4
+    for rules in (SilverRules(missing_words=(*MISSING_WORDS, "-")), SilverRules(missing_words=("-",))):
+        assert build_silver(raw, rules).first()["databases"] is None
+    slash = spark.createDataFrame([("1", "n/a", "a/b", "c", "d")], raw.schema)
+    assert build_silver(slash, SilverRules(multi_sep="/")).first()["langs"] is None
