@@ -276,9 +276,10 @@ def _prefixed(category: str) -> Callable[[Column], Column]:
 
 def pay_tech(silver: DataFrame, exact: bool = True) -> DataFrame:
     """Pay of those who name a technology, against all who answered its category."""
-    paid = explode_tech(_answered(silver, "pay"), keep=["pay", *kept(silver)], with_base=True)
+    paid = explode_tech(silver, keep=["pay", *kept(silver)], with_base=True)
     by = ["category", "technology"]
-    table = quantiles(paid, by, "pay", {"median": 0.5}, exact=exact)
+    # groups without pay go after the counting: a filter on pay would be moved to the raw text, which would be parsed twice
+    table = quantiles(paid, by, "pay", {"median": 0.5}, exact=exact).filter(F.col("n") > 0)
     is_base = F.col("technology").isNull()
     overall = F.max(F.when(is_base, F.col("mean"))).over(Window.partitionBy("category"))
     return table.withColumn("overall", overall).filter(~is_base).select(
@@ -303,7 +304,8 @@ def ai_state(silver: DataFrame) -> DataFrame:
 def ai_pay(silver: DataFrame, exact: bool = True) -> DataFrame:
     """Median pay with and without AI use, per seniority, and the gap."""
     by = ["seniority", "ai_use"]
-    table = quantiles(_answered(silver, "ai_use", "pay"), by, "pay", {"median": 0.5}, exact=exact)
+    # as in pay_tech, pay is not filtered before the counting
+    table = quantiles(_answered(silver, "ai_use"), by, "pay", {"median": 0.5}, exact=exact).filter(F.col("n") > 0)
     use = F.col("ai_use")
     wide = table.groupBy("seniority").agg(
         F.coalesce(F.max(F.when(use, F.col("n"))), F.lit(0)).alias("n_with"),

@@ -184,3 +184,18 @@ def test_technologies_join_either_way(spark):
     assert combine.with_technologies(answers, tech, "left").count() == 3
     with pytest.raises(ValueError):
         combine.with_technologies(answers, tech, "cross")
+
+
+def test_pay_by_technology_reads_pay_once(spark, oracle_dir):
+    """No filter on pay is moved to the raw answers, and technologies that only unpaid answers name stay out."""
+    table = fronts.pay_tech(survey_silver(spark, oracle_dir, fronts.GOLD_COLUMNS["f4_pay_tech"]))
+    assert not [x for x in table._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x and "RLIKE" in x]
+    silver = spark.createDataFrame(
+        [(Decimal("10.00"), ["A", "B"], ["X"]), (Decimal("30.00"), ["A"], None), (None, ["A", "C"], ["Y"])],
+        "pay decimal(12,2), langs array<string>, bi_tools array<string>",
+    ).withColumns({c: F.lit(None).cast("array<string>") for c in ("databases", "clouds")})
+    found = {(r["technology"], r["n"], r["mean"], r["median"], r["index"]) for r in fronts.pay_tech(silver).collect()}
+    assert found == {("A", 2, 20.0, 20.0, 100.0), ("B", 1, 10.0, 10.0, 50.0), ("X", 1, 10.0, 10.0, 100.0)}
+    answers = silver.withColumns({"seniority": F.lit("s"), "ai_use": F.col("bi_tools").isNotNull()})
+    by_ai = fronts.ai_pay(answers.filter(F.col("pay").isNull())).collect()
+    assert by_ai == []
