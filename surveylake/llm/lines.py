@@ -24,6 +24,8 @@ from surveylake.llm.common import boxed, released, save, texts, unboxed, unused
 
 #: A run is deleted only if it holds at least this many words.
 MIN_WORDS = 50
+#: Windows that a task holds before it hands them on, but for those of one text.
+AT_ONCE = 1 << 16
 ROW = ["doc_id", "_sum"]
 
 
@@ -31,32 +33,52 @@ def lines_with_words(text: bytes) -> list[bytes]:
     return [x for x in text.split(b"\n") if x and not x.isspace()]
 
 
-def windows(text: bytes, min_words: int) -> list[tuple[int, int, int, int]]:
-    """(fingerprint, window hash, first line, last line) of all shortest windows, each once."""
+def window_columns(text: bytes, min_words: int) -> list[np.ndarray]:
+    """Fingerprints, window hashes, first lines and last lines of all shortest windows, each once."""
     lines = lines_with_words(text)
-    if not lines:
-        return []
-    edge = np.concatenate(([0], np.cumsum([len(x.split()) for x in lines])))
-    if edge[-1] < min_words:
-        return []
+    edge = np.concatenate(([0], np.cumsum([len(x.split()) for x in lines], dtype=np.int64)))
+    if edge[-1] < max(min_words, 1):
+        return [np.zeros(0, t) for t in ("<u8", "<u8", np.int64, np.int64)]
     ends = np.searchsorted(edge, edge[:-1] + min_words) - 1  # last line of the window from each line
     starts = np.searchsorted(edge, edge[1:] - min_words, side="right") - 1  # first line of the window to each line
-    spans = {(i, int(j)) for i, j in enumerate(ends) if j < len(lines)}
-    spans |= {(int(i), j) for j, i in enumerate(starts) if i >= 0 and edge[j + 1] >= min_words}
+    at, n = np.arange(len(lines)), len(lines)
+    from_line, to_line = ends < n, starts >= 0
+    first, last = np.divmod(np.unique(np.concatenate(((at * n + ends)[from_line], (starts * n + at)[to_line]))), n)
     hashes = np.array([xxhash.xxh64_intdigest(x) for x in lines], "<u8")
-    return [(int(hashes[i:j + 1].min()), xxhash.xxh64_intdigest(hashes[i:j + 1].tobytes()), i, j) for i, j in sorted(spans)]
+    least = np.minimum.reduceat(np.append(hashes, hashes[-1]), np.column_stack((first, last + 1)).ravel())[::2]
+    raw = hashes.tobytes()
+    whole = (xxhash.xxh64_intdigest(raw[8 * i:8 * j + 8]) for i, j in zip(first.tolist(), last.tolist()))
+    return [least, np.fromiter(whole, "<u8", len(first)), first, last]
+
+
+def windows(text: bytes, min_words: int) -> list[tuple[int, int, int, int]]:
+    """(fingerprint, window hash, first line, last line) of all shortest windows, each once."""
+    return list(zip(*(c.tolist() for c in window_columns(text, min_words))))
+
+
+def _rows(held: list[tuple[int, int, list[np.ndarray]]]) -> pa.RecordBatch:
+    ids, sums, found = zip(*held)
+    counts = [len(w[0]) for w in found]
+    fp, win, first, last = (np.concatenate(c) for c in zip(*found))
+    columns = [np.repeat(np.array(x, np.int64), counts) for x in (ids, sums)]
+    columns += [fp.view(np.int64), win.view(np.int64), first.astype(np.int32), last.astype(np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [*ROW, "fingerprint", "win", "first", "last"])
 
 
 def _windows(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sums = (batch.column(c).to_pylist() for c in ROW)
-            rows = [(d, s, *w) for d, s, t in zip(ids, sums, texts(batch)) for w in windows(t, min_words)]
-            d, s, fp, win, first, last = zip(*rows) if rows else [()] * 6
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(d, pa.int64()), pa.array(s, pa.int64()), pa.array(np.array(fp, np.uint64).view(np.int64)),
-                 pa.array(np.array(win, np.uint64).view(np.int64)), pa.array(first, pa.int32()), pa.array(last, pa.int32())],
-                [*ROW, "fingerprint", "win", "first", "last"])
+            held, n = [], 0
+            for d, s, text in zip(*(batch.column(c).to_pylist() for c in ROW), texts(batch)):
+                found = window_columns(text, min_words)
+                if len(found[0]):
+                    held.append((d, s, found))
+                    n += len(found[0])
+                if n >= AT_ONCE:
+                    yield _rows(held)
+                    held, n = [], 0
+            if held:
+                yield _rows(held)
 
     return run
 
@@ -86,9 +108,10 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out, gone = [], []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist()):
-            if spans:
-                cut, n = without(text.encode(), [(s["first"], s["last"]) for s in spans])
+        for text, spans in zip(batch.column("text"), batch.column("_spans")):
+            text = text.as_py()
+            if spans.is_valid:  # row by row: many lines give many spans
+                cut, n = without(text.encode(), list(zip(*(spans.values.field(c).to_pylist() for c in ("first", "last")))))
                 text = cut.decode()
             else:
                 n = 0

@@ -1,7 +1,9 @@
 """Every operator that carries its input, and every stage, on rows without an id, repeated rows and clashing columns: the values."""
 
 import collections
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,6 +67,17 @@ def test_lines_count_in_a_free_column(spark):
     assert got == [(1, run, 5, 0), (2, "", 6, 1)]
 
 
+def test_lines_hold_few_windows_at_once():
+    """200 texts of 2,000 lines of a word: 390,200 windows, of which a task holds some 65,536 with those of one text."""
+    texts = ["\n".join(chr(97 + (i * k + k // 7) % 26) for k in range(2_000)) for i in range(200)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(200)), "_sum": list(range(200)), "text": texts})
+    tracemalloc.start()
+    rows = [b.num_rows for b in lines._windows(50)(iter([batch]))]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(rows) == 200 * (2_000 - 49) and max(rows) < lines.AT_ONCE + 2_000 and most < 40e6
+
+
 def test_repeated_texts_are_no_further_evidence(spark):
     """98 good texts without a false rejection do not certify a limit of 2.5 %; neither do five copies of each, under one id or five; 490 texts do."""
     rules = quality.RULES
