@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from surveylake.operators.weights import count, weight
+from surveylake.operators.weights import count, count_if, weight
+
+#: Columns of an exact profile that one pass counts; Spark takes up to 64 in grouping sets.
+PROFILED = 32
 
 
 def number_stats(col: str) -> dict[str, Column]:
@@ -85,20 +89,40 @@ def one_way(
     )
 
 
+def _counted_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``profile`` from the counted values of every column."""
+    own = [f"c{i}" for i in range(len(cols))]
+    counted = multi_group(df.select(*[F.col(c).alias(o) for c, o in zip(cols, own)]), [[o] for o in own])
+    full, n = (1 << len(own)) - 1, F.col("n")
+    per_column = []
+    for i, o in enumerate(own):
+        here = F.col("level") == (full & ~(1 << (len(own) - 1 - i)))
+        per_column.append(F.struct(
+            count_if(n, here).alias("rows"),
+            count_if(n, here & F.col(o).isNull()).alias("nulls"),
+            F.count(o).alias("distinct_values"),  # NULL in the rows of other columns
+            F.min(o).cast("string").alias("least"),
+            F.max(o).cast("string").alias("greatest"),
+        ).alias(cols[i]))
+    return counted.agg(*per_column).unpivot([], list(cols), "column", "s").select("column", "s.*")
+
+
 def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = False) -> DataFrame:
     """Per column: rows, NULLs, distinct values, least and greatest value as text.
 
     Distinct values are estimated, so a table of any width is profiled in one
-    pass without a shuffle of its rows; ``exact=True`` counts them, which shuffles
-    the distinct values of every column.
+    pass without a shuffle of its rows; ``exact=True`` counts the rows of every value of
+    every column, ``PROFILED`` columns in a pass, which shuffles the distinct values.
     """
     cols = list(cols or df.columns)
-    distinct = F.count_distinct if exact else F.approx_count_distinct
+    if exact:
+        parts = [_counted_profile(df, cols[i:i + PROFILED]) for i in range(0, len(cols), PROFILED)]
+        return reduce(DataFrame.union, parts)
     per_column = {
         c: F.struct(
             F.count("*").alias("rows"),
             F.count_if(F.col(c).isNull()).alias("nulls"),
-            distinct(F.col(c)).alias("distinct_values"),
+            F.approx_count_distinct(F.col(c)).alias("distinct_values"),
             F.min(F.col(c)).cast("string").alias("least"),
             F.max(F.col(c)).cast("string").alias("greatest"),
         )

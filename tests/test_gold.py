@@ -157,6 +157,17 @@ def test_profile_estimates(silver):
         assert near[c]["distinct_values"] == pytest.approx(exact[c]["distinct_values"], rel=0.1)
 
 
+def test_exact_profile_of_wide_and_empty_tables(spark):
+    """70 columns, more than grouping sets take, with names that are used inside; NULLs, NaN and no rows."""
+    rows = [(1, 2.5, "b"), (1, float("nan"), None), (None, None, "a"), (3, 2.5, "b")]
+    few = spark.createDataFrame(rows, "n int, level double, _weight string")
+    wide = few.select("*", *[F.lit(i).alias(f"x{i}") for i in range(67)])
+    got = [tuple(r) for r in groups.profile(wide, exact=True).collect()]
+    assert got[:3] == [("n", 4, 1, 2, "1", "3"), ("level", 4, 1, 2, "2.5", "NaN"), ("_weight", 4, 1, 2, "a", "b")]
+    assert got[3:] == [(f"x{i}", 4, 0, 1, str(i), str(i)) for i in range(67)]
+    assert [tuple(r) for r in groups.profile(few.limit(0), exact=True).collect()] == [(c, 0, 0, 0, None, None) for c in few.columns]
+
+
 def test_stacking_tables_with_different_columns(spark):
     a, b = spark.createDataFrame([(1, 2)], "x int, y int"), spark.createDataFrame([(3,)], "x int")
     assert sorted(map(tuple, union_indicators(a, b).collect()), key=str) == [(1, 2), (3, None)]

@@ -69,3 +69,9 @@ def test_quantiles_spread_a_group_and_reuse_the_counts(plans, name):
 def test_top_k_is_cut_before_the_shuffle(plans):
     assert "WindowGroupLimit" in plans("gold_top_k_per_group")
     assert "TakeOrderedAndProject" in plans("gold_top_k")
+
+
+def test_profile_counts_values_without_sorting_answers(plans):
+    plan = plans("catalog_profile")
+    assert "HashAggregate(keys=[c0" in plan and "SortAggregate(key=[c" not in plan and "SortAggregate(key=[pay" not in plan
+    assert not [x for x in plan.splitlines() if "SortAggregate(key=[" in x and "SortAggregate(key=[]" not in x]
