@@ -9,7 +9,7 @@ from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F, types as T
 
 from surveylake.functions import split_list, text_key, to_date, to_flag, to_int, to_money
-from surveylake.functions.text import tidy
+from surveylake.functions.text import is_missing_word, tidy
 from surveylake.operators.category import map_category, mapping_from_rows, unmapped
 from surveylake.operators.dedupe import dedupe
 from surveylake.operators.derive import add_band, add_quantile_band, organise
@@ -341,3 +341,22 @@ def test_lists_of_answers_are_tidied_once(spark):
         assert build_silver(raw, rules).first()["databases"] is None
     slash = spark.createDataFrame([("1", "n/a", "a/b", "c", "d")], raw.schema)
     assert build_silver(slash, SilverRules(multi_sep="/")).first()["langs"] is None
+
+
+def test_missing_words_are_told_by_one_pattern(spark):
+    """The same texts as by tidying, lowering and comparing: other letters with these lower cases, blanks of all kinds, odd words."""
+    words = (*MISSING_WORDS, "kaß å.ÿ+", "Upper", " edge", "two  blanks", "[x]")
+    odd = ["", " ", "k", "K", "\u212a", "i", "I", "\u0130", "\u0131", "s", "S", "\u017f", "ß", "\u1e9e", "SS", "\u212b", "Å", "\u0178", "\u00a0", "\u2003",
+           "\u0085", "\u200b", "\t", "\r\n", "\n", "\x1c", "\U00010400", "e\u0301"]
+    texts = [None, *odd]
+    for w in words:
+        for i in range(len(w) + 1):
+            texts += [f(w[:i] + x + w[i:]) for x in odd for f in (str, str.upper)] + [f(w[:i] + x + w[i + 1:]) for x in odd for f in (str, str.title)]
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    for given in (words, ("\u03c9",), ("Upper",), ()):
+        found = is_missing_word("c", given)
+        want = F.coalesce(F.lower(tidy("c")).isin(*given), F.lit(False))
+        assert df.where(found.isNull() | (found != want)).collect() == []
+    assert df.where(is_missing_word("c", words)).count() > 400
+    plan = df.select(is_missing_word("c"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" in plan and "regexp_replace" not in plan
