@@ -65,7 +65,7 @@ def _tools(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("l_orderkey")
         .agg(F.collect_set(F.struct("p_type", "p_brand", "first", "second")).alias("parts"))
         .selectExpr(
-            "l_orderkey",
+            "l_orderkey AS o_orderkey",
             "sort_array(array_distinct(parts.p_type)) AS types",
             "sort_array(array_distinct(parts.p_brand)) AS brands",
             "sort_array(array_distinct(parts.first)) AS firsts",
@@ -117,25 +117,35 @@ _QUESTIONS = {
         WHEN types IS NOT NULL THEN
             CASE o_orderkey % 3 WHEN 0 THEN 'Não' WHEN 1 THEN 'NAO' ELSE 'n' END
         END""",
-    "langs": """coalesce(CASE WHEN o_orderkey % 7 = 1 THEN lower(array_join(types, '; '))
+    "langs": """CASE WHEN o_orderkey % 7 = 1 THEN lower(array_join(types, '; '))
         WHEN o_orderkey % 13 = 5 THEN concat(array_join(types, ';'), '; Não  informado')
-        ELSE array_join(types, ';') END, '')""",
-    "bi_tools": "coalesce(array_join(seconds, ';'), '')",
-    "databases": "coalesce(array_join(firsts, ';'), '')",
-    "clouds": "coalesce(array_join(brands, ';'), '')",
+        ELSE array_join(types, ';') END""",
+    "bi_tools": "array_join(seconds, ';')",
+    "databases": "array_join(firsts, ';')",
+    "clouds": "array_join(brands, ';')",
 }
 
 
 def survey_raw(
     spark: SparkSession, sf_dir: str, columns: Sequence[str] = RAW_COLUMNS
 ) -> DataFrame:
-    wanted = set(columns)
+    wanted = [c for c in _QUESTIONS if c in set(columns)]
+
+    def made(*questions: str) -> list[str]:
+        return [f"{_QUESTIONS[c]} AS {c}" for c in questions]
+
+    tools = [c for c in wanted if c in _TOOLS]
+    # beside the lists, each question is made before the joins: generated code stays in pieces that the JVM compiles
+    alone = [c for c in wanted if c not in _PEOPLE | _TOOLS] if tools else []
+    last = {c: f"coalesce({c}, '')" if c in TECH_CATEGORIES else c for c in alone + tools}
     df = table(spark, sf_dir, "orders")
-    if wanted & _PEOPLE:
+    if tools:
+        df = df.selectExpr("o_orderkey", "o_custkey", *made(*alone))
+    if _PEOPLE & set(wanted):
         df = df.join(_people(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
-    if wanted & _TOOLS:
-        df = df.join(_tools(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    return df.selectExpr(*[f"{sql} AS {c}" for c, sql in _QUESTIONS.items() if c in wanted])
+    if tools:
+        df = df.join(_tools(spark, sf_dir).selectExpr("o_orderkey", *made(*tools)), "o_orderkey", "left")
+    return df.selectExpr(*[f"{last.get(c, _QUESTIONS[c])} AS {c}" for c in wanted])
 
 
 def survey_batches(spark: SparkSession, sf_dir: str, columns: Sequence[str] = RAW_COLUMNS) -> DataFrame:

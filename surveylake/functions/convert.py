@@ -26,7 +26,7 @@ def to_money(c: Column | str, type_: str = "decimal(12,2)", point: str = ",") ->
     bare = raw.rlike(rf"^[0-9]+(?:[{point}][0-9]{{1,2}})?$")
     text = F.upper(tidy(c))
     form = rf"^[+-]?(R\$ ?)?[+-]?(\d+|\d{{1,3}}([{group}]\d{{3}})+)([{point}]\d{{1,2}})?$"
-    number = F.replace(F.replace(F.regexp_replace(text, r"R\$ ?", ""), F.lit(group), F.lit("")), F.lit(point), F.lit("."))
+    number = F.translate(text, f"{point}{group}R$ ", ".")  # of a text in that form: the point stays, the rest goes
     return F.when(bare, F.replace(raw, F.lit(point), F.lit(".")).try_cast(type_)).when(text.rlike(form), number.try_cast(type_))
 
 

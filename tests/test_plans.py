@@ -75,3 +75,15 @@ def test_profile_counts_values_without_sorting_answers(plans):
     plan = plans("catalog_profile")
     assert "HashAggregate(keys=[c0" in plan and "SortAggregate(key=[c" not in plan and "SortAggregate(key=[pay" not in plan
     assert not [x for x in plan.splitlines() if "SortAggregate(key=[" in x and "SortAggregate(key=[]" not in x]
+
+
+def test_profile_stays_in_methods_that_the_jvm_compiles(spark, small):
+    """The JVM leaves methods of over 8,000 bytes uncompiled; Spark makes them up to 65,535 by default."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = QUERIES["catalog_profile"](spark, small)._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    stages = debug.codegenStringSeq(plan)
+    assert 0 < max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < 8_000
