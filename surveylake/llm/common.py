@@ -74,23 +74,40 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
-def released(run: Callable) -> Callable:
-    """``run`` for ``mapInArrow``; at its end the worker, which Spark keeps for other tasks, gives free memory back."""
+def kept() -> dict[str, Any]:
+    """What steps keep in this worker from task to task; functions come to workers by value, so it hangs on a module of its own."""
+    return sys.modules.setdefault("_surveylake_worker", types.ModuleType("_surveylake_worker")).__dict__.setdefault("kept", {})
+
+
+def trim() -> None:
+    """Gives free memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    give = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if give:
+        give(0)
+
+
+def released(run: Callable, keeps: str = "") -> Callable:
+    """``run`` for ``mapInArrow``; at its end the worker, which Spark keeps for other tasks, gives free memory back.
+
+    What other steps kept in the worker is dropped first, all but the cache ``keeps``.
+    """
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        others = [name for name in kept() if name != keeps]
+        for name in others:
+            del kept()[name]
+        if others:
+            trim()
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
-            if trim:
-                trim(0)
+            trim()
 
     return wrapped
 
 
 def per_worker(name: str, make: Callable[[], Any]) -> Any:
-    """A cache that outlives a task: Spark keeps its Python workers, and functions come to them by value."""
-    held = sys.modules.setdefault("_surveylake_worker", types.ModuleType("_surveylake_worker")).__dict__
-    if name not in held:
-        held[name] = make()
-    return held[name]
+    """A cache that outlives a task, as Spark keeps its Python workers, until one of another ``released`` step comes."""
+    if name not in kept():
+        kept()[name] = make()
+    return kept()[name]

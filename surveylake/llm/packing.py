@@ -28,7 +28,7 @@ RANK_PARTS = 256
 #: Words whose ids a worker remembers; it keeps as many of the generation before.
 CACHED_WORDS = 500_000
 #: Bytes of text that are cut into words at a time.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 #: The pieces that the vocabulary's own splitter makes of a normalised text.
 SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^ \p{L}\p{N}]+"
 SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
@@ -129,9 +129,14 @@ class WordIds:
                 known[word] = pieces[ps[0]] if len(ps) == 1 else b"".join([pieces[p] for p in ps])
 
 
+def cache(tokenizer_file: str) -> str:
+    """The name under which a worker keeps the words of a tokenizer."""
+    return f"words of {tokenizer_file}"
+
+
 def _pieces(tokenizer_file: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = per_worker(f"words of {tokenizer_file}", lambda: WordIds(tokenizer_file))
+        encoder = per_worker(cache(tokenizer_file), lambda: WordIds(tokenizer_file))
         end, step = struct.pack("<I", end_id), 4 * capacity
 
         def pieces(chunk: list[tuple[int, list[bytes]]]) -> pa.RecordBatch:
@@ -169,7 +174,7 @@ def _pieces(tokenizer_file: str, capacity: int, end_id: int):
 def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """One row per piece: each text's ids and an end id, cut only where longer than ``capacity``. NULL text is empty."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(released(_pieces(tokenizer_file, capacity, end_id)), PIECES)
+    return docs.mapInArrow(released(_pieces(tokenizer_file, capacity, end_id), cache(tokenizer_file)), PIECES)
 
 
 def fullest(counts: Counter, room: int) -> Counter:

@@ -3,7 +3,12 @@
 import collections
 
 import corpus_pipeline as p
+import pyarrow as pa
 from llm_helpers import documents
+from surveylake.llm import packing
+from surveylake.llm.common import kept, per_worker, released
+from surveylake.llm.decontamination import _encoded
+from surveylake.llm.queries import tokenizer_file
 
 
 def test_stages(spark, small):
@@ -38,3 +43,19 @@ def test_decontamination_takes_rows_without_an_id(spark, small, table):
     kept = p.decontamination(spark, docs, small)
     assert kept.columns == docs.columns
     assert sorted(r["text"] for r in kept.collect()) == ["clean words only", "other words"]
+
+
+def test_a_later_stage_drops_the_words_that_packing_kept():
+    file = tokenizer_file()
+    name = packing.cache(file)
+    pack = released(packing._pieces(file, 2048, 0), name)
+    search = released(_encoded({b"one": 0}))
+    rows = lambda text: iter([pa.RecordBatch.from_pydict({"doc_id": [1], "text": [text]})])
+    first = [r.to_pylist() for r in pack(rows("one two"))]
+    words = per_worker(name, dict)
+    assert b"two" in words.words
+    list(pack(rows("three")))
+    assert per_worker(name, dict) is words and b"two" in words.words  # kept from task to task
+    assert [r["n_words"] for b in search(rows("one two")) for r in b.to_pylist()] == [2]
+    assert name not in kept()
+    assert [r.to_pylist() for r in pack(rows("one two"))] == first
